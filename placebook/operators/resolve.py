@@ -13,8 +13,8 @@ Run record by record that is a sequential loop. Here it is worked out by sets, w
 2.  Parents form a forest; pointer doubling over the records that are parents finds each root.
 3.  What is left are records that bring a new place id and are known by name only. A business without
     a place id takes the first of them; each tries the business under name+address, then the one under
-    the name. That is a matching in which businesses prefer the earliest record, solved in rounds of
-    min() per business until nobody is turned away.
+    the name. That is first come, first served, solved in rounds of min() per business until nobody is
+    turned away (`matching.first_come`).
 4.  A merged business answers to its own name with the address it took over. When such a key exists
     before any record brings it itself, the affected lookups are corrected and the steps repeated
     until nothing changes.
@@ -32,8 +32,9 @@ from placebook.functions.geo import distance_km
 from placebook.functions.provenance import TRUST_LEVELS, trust
 from placebook.functions.rules import unclassified
 from placebook.functions.text import norm_addr, norm_name
+from placebook.operators.matching import first_come
 from placebook.operators.skew import HOT_ROWS, lookup
-from placebook.schema import MULTI_SOURCE, QUIET_FIELDS, RECORD, SURVIVING_NUMBERS, SURVIVING_TEXT
+from placebook.schema import MULTI_SOURCE, QUIET_FIELDS, RECORD, SURVIVING_NUMBERS, SURVIVING_TEXT, conform
 from placebook.session import materialise
 
 # fixed values: key levels, strongest first
@@ -129,7 +130,7 @@ def _hub_tops(forest: DataFrame, n_rows: int, hot_rows: int) -> DataFrame:
 
 def _match_newcomers(forest: DataFrame, tops: DataFrame, n_rows: int, hot_rows: int) -> DataFrame:
     """Which newcomer joins which business: ord, home, via. Newcomers that join none are absent."""
-    first_id = (tops.groupBy("top").agg(F.min("child_id").alias("c"), F.first("top_id").alias("o"))
+    first_id = (tops.groupBy("top").agg(F.min("child_id").alias("c"), F.max("top_id").alias("o"))
                 .select("top", F.least("c", "o").alias("first_id")))
     doors = (tops.filter("not top_new").select("hub", "top")
              .join(first_id, "top").select("hub", "top", "first_id"))
@@ -141,27 +142,19 @@ def _match_newcomers(forest: DataFrame, tops: DataFrame, n_rows: int, hot_rows:
         return found.withColumn(out, F.when(open_, F.col("top"))).drop("top", "first_id", side)
 
     tries = door(door(news, "a", "ra"), "b", "rb")
-    tries = tries.withColumn("rb", F.when(F.col("ra").isNull() | (F.col("ra") != F.col("rb")), F.col("rb")))
-    # state of the matching: every newcomer knocks at `home`; `spare` is where it goes if turned away
-    state = materialise(tries.filter("ra is not null or rb is not null").select(
-        "ord", F.coalesce("ra", "rb").alias("home"),
-        F.when(F.col("ra").isNotNull(), F.lit(NAME_ADDR)).otherwise(F.lit(NAME)).alias("via"),
-        F.when(F.col("ra").isNotNull(), F.col("rb")).alias("spare")), "newcomers")
-    while True:
-        taken = state.groupBy("home").agg(F.min("ord").alias("winner"))
-        judged = materialise(lookup(state, taken, ["home"], n_rows, hot_rows=hot_rows), "newcomers")
-        won = judged.filter("ord = winner").drop("winner")
-        lost = judged.filter("ord != winner and spare is not null").select(
-            "ord", F.col("spare").alias("home"), F.lit(NAME).alias("via"),
-            F.lit(None).cast("bigint").alias("spare"))
-        if lost.isEmpty():
-            return won.select("ord", "home", "via")
-        state = won.unionByName(lost, allowMissingColumns=True)
+
+    def choice(col: str, level: int) -> Column:
+        return F.when(F.col(col).isNotNull(), F.struct(F.col(col).alias("key"), F.lit(level).alias("tag")))
+
+    other = F.when(~F.col("rb").eqNullSafe(F.col("ra")), choice("rb", NAME))
+    wishes = tries.select("ord", F.array_compact(F.array(choice("ra", NAME_ADDR), other)).alias("choices"))
+    return first_come(wishes, n_rows, hot_rows).select(
+        "ord", F.col("choice").alias("home"), F.col("tag").alias("via"))
 
 
 def _clusters(links: DataFrame, n_rows: int, hot_rows: int) -> DataFrame:
     """ord, cluster (ord of the business's first record), via (level, NULL for that first record)."""
-    forest = materialise(_parents(links), "forest")
+    forest = _parents(links)
     tops = materialise(_hub_tops(forest, n_rows, hot_rows), "tops")
     homes = materialise(_match_newcomers(forest, tops, n_rows, hot_rows), "homes")
     moved = homes.select(F.col("ord").alias("top"), "home")
@@ -239,8 +232,8 @@ def resolve(records: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         seen = mark
         corrected = (lookup(keys.filter(F.col("level") == NAME_ADDR), borrowed, ["key"], n_keys, "inner", hot_rows)
                      .filter("first < ord").select("ord", F.col("first").alias("fixed")))
-        clusters = _clusters(links.join(corrected, "ord", "left")
-                             .withColumn("f2", F.coalesce("fixed", "f2")).drop("fixed"), n_rows, hot_rows)
+        fixed = (links.join(corrected, "ord", "left").withColumn("f2", F.coalesce("fixed", "f2")).drop("fixed"))
+        clusters = _clusters(materialise(fixed, "links"), n_rows, hot_rows)
 
 
 # ------------------------------------------------------------------ what the business record holds
@@ -271,7 +264,8 @@ def merge_state(members: DataFrame) -> DataFrame:
     """
     rows = members.withColumn("t", _effective_trust())
     values = ["lat", "lng", *_TRACKED]
-    slot = F.struct("ord", "t", "source", *values)
+    lead = F.when(F.col("ord") == F.col("cluster"), F.get("sources_all", F.lit(0))).otherwise(F.col("source"))
+    slot = F.struct("ord", "t", lead.alias("source"), *values)
     aggs = [F.min(F.when(F.col("t") == t, slot)).alias(f"l{t}") for t in TRUST_LEVELS]
     for f in _TRACKED:
         aggs.append(F.min(F.when(_filled(f), F.struct("ord", f))).alias(f"s_{f}"))
@@ -285,14 +279,9 @@ def merge_state(members: DataFrame) -> DataFrame:
     return state.withColumn("leaders", leaders).drop(*[f"l{t}" for t in TRUST_LEVELS])
 
 
-def _current(field: str, leaders: Column) -> Column:
-    """The field's value given the leaders so far: the last leader that fills it, else the first filler."""
-    last = F.element_at(F.filter(leaders, lambda e: _slot_filled(e, field)), -1)
-    return last, F.col(f"s_{field}")
-
-
-def _try_last(items: Column) -> Column:
-    return F.try_element_at(items, F.lit(-1))
+def _last_filled(leaders: Column, field: str) -> Column:
+    """The latest leader that fills the field, NULL if none does."""
+    return F.try_element_at(F.filter(leaders, lambda e: _slot_filled(e, field)), F.lit(-1))
 
 
 def survivors(state: DataFrame, lists: DataFrame) -> DataFrame:
@@ -300,10 +289,10 @@ def survivors(state: DataFrame, lists: DataFrame) -> DataFrame:
     cols = {}
     leaders = F.col("leaders")
     for f in _TRACKED:
-        last = _try_last(F.filter(leaders, lambda e, f=f: _slot_filled(e, f)))
+        last = _last_filled(leaders, f)
         value = F.coalesce(last[f], F.col(f"s_{f}")[f])
         cols[f] = value if f in SURVIVING_NUMBERS else F.coalesce(value, F.lit(""))
-    last = _try_last(F.filter(leaders, lambda e: _slot_filled(e, "lat")))
+    last = _last_filled(leaders, "lat")
     cols["lat"] = F.coalesce(last["lat"], F.col("s_lat")["lat"])
     cols["lng"] = F.when(last.isNotNull(), last["lng"]).otherwise(F.col("s_lat")["lng"])
     head = F.col("head")
@@ -379,7 +368,6 @@ def merge_events(members: DataFrame, state: DataFrame, items: DataFrame, n_rows:
     second = (items.filter("kind = 'source'").groupBy("cluster")
               .agg(F.array_sort(F.collect_list(F.struct("ord", "pos"))).alias("at"))
               .select("cluster", F.try_element_at("at", F.lit(2))["ord"].alias("second_source")))
-    # the first record alone may carry several sources (a combined run): its own count from the start
     before = state.select("cluster", "leaders", *[f"s_{f}" for f in _TRACKED], "s_lat",
                           F.col("head")["name"].alias("kept_name"), F.col("head")["source"].alias("head_source"))
     before = before.join(second, "cluster", "left")
@@ -392,7 +380,7 @@ def merge_events(members: DataFrame, state: DataFrame, items: DataFrame, n_rows:
 
 def _before(field: str) -> Column:
     """The business's value of a field just before this sighting joined, NULL if it had none."""
-    last = _try_last(F.filter(F.col("earlier"), lambda e: _slot_filled(e, field)))
+    last = _last_filled(F.col("earlier"), field)
     first = F.col(f"s_{field}")
     if field == "lat":
         return F.when(last.isNotNull(), F.struct(last["lat"].alias("lat"), last["lng"].alias("lng"))).when(
@@ -406,7 +394,6 @@ def conflicts(events: DataFrame) -> DataFrame:
     A table rather than a list in the record, because a busy business may have any number of them.
     """
     lead_source = F.col("lead")["source"]
-    # the first record of a combined run is led by the first of its sources, not by its summary text
     entries = []
     old = _before("lat")
     moved = distance_km(F.col("lat"), F.col("lng"), old["lat"], old["lng"]) > 0.2
@@ -450,7 +437,7 @@ class Resolution:
     """One run of entity resolution and the tables that come out of it, each computed on demand."""
 
     def __init__(self, records: DataFrame, hot_rows: int = HOT_ROWS, list_bound: int = LIST_BOUND):
-        self.records = records
+        records = conform(records)
         self.hot_rows = hot_rows
         self.clusters = resolve(records, hot_rows)
         _, self.dropped = split_nameless(records)

@@ -18,7 +18,8 @@ def lookup(facts: DataFrame, dim: DataFrame, on: list[str], total_rows: int, how
     A key is hot when it holds at least max(hot_rows, total/HOT_KEYS) of the `total_rows` facts; there
     are never more than HOT_KEYS such keys, which bounds the broadcast below. Facts of a hot key are
     spread over enough salts to bring each below that size, and the key's one dim row is repeated per
-    salt (fewer than 2 * HOT_KEYS rows in all). Every other key joins as usual.
+    salt (fewer than 2 * HOT_KEYS rows in all). Every other key joins as usual. The salt is a hash of
+    the row, not a random number, so a task that is run again sends its rows the same way.
     """
     if total_rows <= hot_rows:
         return facts.join(dim, on, how)
@@ -26,9 +27,11 @@ def lookup(facts: DataFrame, dim: DataFrame, on: list[str], total_rows: int, how
     hot = (facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= limit)
            .select(*on, F.ceil(F.col("_n") / limit).cast("int").alias("_salts")))
     hot = F.broadcast(hot)
+    rest = [f.name for f in facts.schema.fields
+            if f.name not in on and "map<" not in f.dataType.simpleString()]
     salted = (facts.join(hot, on, "left")
               .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
-                          .otherwise(F.floor(F.rand(17) * F.col("_salts")).cast("int")))
+                          .otherwise(F.pmod(F.xxhash64(*rest), F.col("_salts")).cast("int")))
               .drop("_salts"))
     spread = (dim.join(hot, on, "left")
               .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
