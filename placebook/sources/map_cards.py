@@ -16,7 +16,7 @@ RATING = r"^\d(?:\.\d)?$"
 REVIEWS = r"^\(([\d,]+)\)$"
 STARS = r"(?i)([\d.]+)\s*stars?(?:\s*([\d,]+)\s*review)?"
 NO_REVIEWS = r"(?i)^no reviews$"
-ICON = r"(?U)^[-\s]+$"
+ICON = r"(?U)^[-\s]+$"          # glyphs of an icon font
 
 
 def place_id_in(url: Column | str) -> Column:
