@@ -70,7 +70,7 @@ def site_rank() -> Column:
 
 
 def site_order() -> list[Column]:
-    return [site_rank(), F.coalesce("reviews", F.lit(0)).desc(), F.col("ord")]
+    return [site_rank(), -F.coalesce("reviews", F.lit(0)), F.col("ord")]
 
 
 def site_candidates(records: DataFrame, limit: int) -> DataFrame:
@@ -147,8 +147,11 @@ def guard_phones(records: DataFrame, found: DataFrame, order: list[Column], n_ro
     return served.select(F.col("ord.record").alias("ord"), F.col("choice").alias("phone"))
 
 
-def _with_phones(records: DataFrame, found: DataFrame, given: DataFrame, own_first: bool) -> DataFrame:
-    """Join found contacts (ord, phones, …) and granted phones; extend phones_all."""
+def _with_phones(records: DataFrame, found: DataFrame, given: DataFrame, own_first: bool, relist: Column) -> DataFrame:
+    """Join found contacts (ord, found_phones, …) and granted phones; extend phones_all where `relist`.
+
+    The record's own number leads its list: as it was before (own_first False) or as it is now.
+    """
     out = (records.join(found, "ord", "left")
            .join(given.withColumnRenamed("phone", "_granted"), "ord", "left"))
     phones = F.coalesce("found_phones", F.array().cast("array<string>"))
@@ -156,7 +159,7 @@ def _with_phones(records: DataFrame, found: DataFrame, given: DataFrame, own_fir
     after = F.filter(F.array(first_filled("phone", "_granted")), lambda p: p != "")
     front = after if own_first else before
     grown = F.array_distinct(F.concat(front, F.coalesce("phones_all", F.array().cast("array<string>")), phones))
-    return (out.withColumn("phones_all", F.when(F.size(phones) > 0, grown).otherwise(F.col("phones_all")))
+    return (out.withColumn("phones_all", F.when(relist, grown).otherwise(F.col("phones_all")))
             .withColumn("phone", first_filled("phone", "_granted")).drop("_granted", "found_phones"))
 
 
@@ -169,7 +172,7 @@ def apply_site_contacts(records: DataFrame, contacts: DataFrame, n_rows: int, ho
                    "inner", hot_rows).drop("website")
     found = sites.withColumn("found_phones", F.col("f_phones"))
     granted = guard_phones(records, found.select("ord", F.col("f_phones").alias("phones")), site_order(), n_rows, hot_rows)
-    out = _with_phones(records, found, granted, own_first=False)
+    out = _with_phones(records, found, granted, own_first=False, relist=F.col("read"))
     none = F.array().cast("array<string>")
     signals = F.array_distinct(F.concat("delivery_text_signals", F.coalesce("f_delivery", none),
                                         F.when(F.col("f_order_online"), F.array(F.lit("online ordering"))).otherwise(none)))
@@ -192,7 +195,7 @@ def apply_details(records: DataFrame, details: DataFrame, checked: str, n_rows:
     found = (lookup(keyed, renamed, ["key"], n_rows, "inner", hot_rows).drop("key")
              .withColumn("found_phones", F.filter(F.array("f_phone"), lambda p: p != "")))
     granted = guard_phones(records, found.select("ord", F.col("found_phones").alias("phones")), [F.col("ord")], n_rows, hot_rows)
-    out = _with_phones(records, found, granted, own_first=True)
+    out = _with_phones(records, found, granted, own_first=True, relist=F.size("found_phones") > 0)
     none = F.create_map().cast("map<string,array<map<string,boolean>>>")
     old = F.coalesce("additional_info", none)
     fresh = F.coalesce("f_attrs", none)
@@ -219,7 +222,7 @@ def apply_api(records: DataFrame, answers: DataFrame, source_label: str, n_rows:
     found = (lookup(keyed, answers, ["key"], n_rows, "inner", hot_rows).drop("key")
              .withColumn("read", F.lit(True)).withColumn("found_phones", F.filter(F.array(number), lambda p: p != "")))
     granted = guard_phones(records, found.select("ord", F.col("found_phones").alias("phones")), [F.col("ord")], n_rows, hot_rows)
-    out = _with_phones(records, found.withColumnRenamed("rating", "f_rating"), granted, own_first=True)
+    out = _with_phones(records, found.withColumnRenamed("rating", "f_rating"), granted, own_first=True, relist=F.size("found_phones") > 0)
     listed = F.exists("sources_all", lambda s: F.contains(s, F.lit("Places API")))
     cols = {
         "website": first_filled("website", "websiteUri"),
