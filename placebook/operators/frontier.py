@@ -205,14 +205,10 @@ def saturation_plan(searches: DataFrame, box: tuple[float, float, float, float]
 
 def top_up_plan(records: DataFrame, terms: DataFrame, areas: list[Area], floors: dict[str, int]) -> DataFrame:
     """Closer searches of every term for areas whose records stay under their floor."""
-    spark = records.sparkSession
-    rows = [(a.name, floors[a.name], f"topup {a.name} @{a.centre[0]:.4f},{a.centre[1]:.4f},15z")
-            for a in areas if a.name in floors and a.centre]
-    wanted = spark.createDataFrame(rows, "name string, floor int, search string")
+    wanted = F.array(*[F.struct(F.lit(a.name).alias("name"), F.lit(floors[a.name]).alias("floor"),
+                                F.lit(f"topup {a.name} @{a.centre[0]:.4f},{a.centre[1]:.4f},15z").alias("search"))
+                       for a in areas if a.name in floors and a.centre])
     counts = records.groupBy(F.col("area").alias("name")).agg(F.count(F.lit(1)).alias("n"))
-    short = wanted.join(counts, "name", "left").filter(F.coalesce("n", F.lit(0)) < F.col("floor"))
-    # both sides are registries: areas with a floor, and search terms
-    return terms.select("term").join(F.broadcast(short.select("search")), how="cross").select(
-        F.lit("gmaps_browser").alias("source"), "term", F.col("search").alias("area"))
-
-
+    grid = terms.select("term", F.explode(wanted).alias("w")).select("term", "w.*")
+    return (grid.join(counts, "name", "left").filter(F.coalesce("n", F.lit(0)) < F.col("floor"))
+            .select(F.lit("gmaps_browser").alias("source"), "term", F.col("search").alias("area")))

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from placebook.areas import Area
 from placebook.functions.rules import unclassified
@@ -112,8 +113,8 @@ def report_totals(totals: dict[str, DataFrame]) -> DataFrame:
     for name, df in totals.items():
         part = df.select(F.lit(name).alias("name"), F.col("n").cast("bigint").alias("n"))
         out = part if out is None else out.unionByName(part)
-    span = out.agg((F.min("n") == F.max("n")).alias("ok"))
-    return out.join(F.broadcast(span), how="cross")
+    all_rows = Window.partitionBy(F.lit(0))          # one row per dataset
+    return out.withColumn("ok", F.min("n").over(all_rows) == F.max("n").over(all_rows))
 
 
 def spot_check(records: DataFrame, run_id: str, n: int = 10) -> DataFrame:

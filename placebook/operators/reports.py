@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from placebook.areas import Area, areas_df
 from placebook.functions.provenance import source_kind
@@ -79,11 +80,11 @@ def group_table(records: DataFrame, taxonomy: Taxonomy) -> DataFrame:
 def _with_total(rows: DataFrame, name: str, ord_col: str, cols: list[str]) -> DataFrame:
     """Add a TOTAL row (last) and each row's share of it; rows are one per dimension value."""
     sums = rows.agg(*[F.sum(c).alias(c) for c in cols], (F.max(ord_col) + 1).alias(ord_col))
-    total = sums.select(ord_col, F.lit(TOTAL).alias(name), *cols)
-    both = rows.select(ord_col, name, *cols).unionByName(total)
-    share = both.join(F.broadcast(sums.select(F.col("total").alias("_all"))), how="cross")
-    pct = F.when(F.col("_all") > 0, F.round(F.col("total") / F.col("_all"), 6)).otherwise(F.lit(0.0))
-    return share.select(ord_col, name, *cols, pct.alias("share"))
+    both = rows.select(ord_col, name, *cols).unionByName(sums.select(ord_col, F.lit(TOTAL).alias(name), *cols))
+    # a window over the report, which has one row per dimension value
+    everything = F.max(F.when(F.col(name) == TOTAL, F.col("total"))).over(Window.partitionBy(F.lit(0)))
+    share = F.when(everything > 0, F.round(F.col("total") / everything, 6)).otherwise(F.lit(0.0))
+    return both.select(ord_col, name, *cols, share.alias("share"))
 
 
 def area_summary(records: DataFrame, areas: list[Area], core: list[str]) -> DataFrame:
