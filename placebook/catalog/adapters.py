@@ -118,7 +118,7 @@ SELECT event_id, 'gmaps_browser' AS source, concat(event_type, ' ', CAST(user_id
             ELSE concat('sweep 6.', CAST(5400 + (user_id * 37) % 500 AS string), ',3.', CAST(3500 + (user_id * 13) % 400 AS string), ',', CAST(14 + event_id % 3 AS string), 'z') END AS area,
        CASE event_id % 7 WHEN 0 THEN 'running' WHEN 1 THEN 'error' ELSE 'done' END AS status,
        CASE WHEN event_id % 7 IN (0, 1) THEN NULL ELSE CAST(CASE WHEN event_id % 11 = 3 THEN 0 ELSE (event_id * 31) % 150 END AS int) END AS raw_count,
-       CASE WHEN event_id % 7 = 1 THEN 'timeout' ELSE '' END AS error, ts AS at
+       CASE WHEN event_id % 7 = 1 THEN 'timeout' ELSE '' END AS error, ts AS happened_at
 FROM events
 """
 
@@ -138,8 +138,11 @@ def listings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sightings(spark: SparkSession, folder: str) -> DataFrame:
+    return to_sightings(listings(spark, folder))
+
+
+def to_sightings(raw: DataFrame) -> DataFrame:
     """Listings as mapped records."""
-    raw = listings(spark, folder)
     phone = clean_phone("phone_raw")
     return conform(raw.select(
         "ord", "name", "place_id", "addr", "lat", "lng", "label", phone.alias("phone"),

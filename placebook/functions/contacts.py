@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from placebook.functions.text import MOBILE, clean_phones
 
@@ -33,7 +34,7 @@ TAG = r"<[^>]+>"
 SCRIPTS = r"(?is)<(script|style)\b.*?</\1>"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape(html: pd.Series) -> pd.Series:
     """HTML entities, named and numeric, as characters."""
     from html import unescape as decode

@@ -1,7 +1,7 @@
 """What to search next: plans, what is pending, splits of saturated searches, top-ups, odd results.
 
 A search is (source, term, area); a viewport search's area reads 'sweep 6.5613,3.3721,14z'. The log is
-append-only: events (source, term, area, status, raw_count, error, at).
+append-only: events (event_id, source, term, area, status, raw_count, error, happened_at).
 """
 
 from __future__ import annotations
@@ -76,9 +76,9 @@ def prefix_of(area: Column) -> Column:
 def current_searches(log: DataFrame) -> DataFrame:
     """The latest state per search. One still running when the log ends never finished: it is pending."""
     last = log.groupBy("source", "term", "area").agg(
-        F.max_by(F.struct("status", "raw_count", "error"), F.struct("at", "event_id")).alias("s"),
-        F.max(F.when(F.col("status") == "running", F.col("at"))).alias("started_at"),
-        F.max(F.when(F.col("status") != "running", F.col("at"))).alias("finished_at"))
+        F.max_by(F.struct("status", "raw_count", "error"), F.struct("happened_at", "event_id")).alias("s"),
+        F.max(F.when(F.col("status") == "running", F.col("happened_at"))).alias("started_at"),
+        F.max(F.when(F.col("status") != "running", F.col("happened_at"))).alias("finished_at"))
     return last.select("source", "term", "area",
                        F.when(F.col("s.status") == "running", "pending").otherwise(F.col("s.status")).alias("status"),
                        "s.raw_count", "s.error", "started_at", "finished_at")
@@ -104,7 +104,7 @@ def force(log: DataFrame, terms: list[str], areas: list[str], at: Column) -> Dat
     hit = F.col("term").isin(terms) | F.col("area").isin(areas)
     return (log.filter(hit).select("source", "term", "area").distinct()
             .select("source", "term", "area", F.lit("pending").alias("status"), F.lit(None).cast("int").alias("raw_count"),
-                    F.lit(None).cast("string").alias("error"), at.alias("at")))
+                    F.lit(None).cast("string").alias("error"), at.alias("happened_at")))
 
 
 def kept_counts(searches: DataFrame, mapped: DataFrame) -> DataFrame:

@@ -54,7 +54,7 @@ def search_states(events: DataFrame) -> DataFrame:
     State is one row per search. Use with output mode update or complete.
     """
     return events.groupBy("source", "term", "area").agg(
-        F.max_by("status", F.struct("at", "event_id")).alias("status"), F.max("at").alias("at"))
+        F.max_by("status", F.struct("happened_at", "event_id")).alias("status"), F.max("happened_at").alias("happened_at"))
 
 
 def upsert_states(states: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
