@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from placebook.functions.text import clean_phone, first_filled
 from placebook.schema import conform
+from placebook.session import spread
 from placebook.sources.directories import parse_listings
 
 # one order is one sighting of business o_custkey, from one of five sources
@@ -134,7 +135,7 @@ def _sql(spark: SparkSession, text: str, **tables: DataFrame) -> DataFrame:
 
 
 def listings(spark: SparkSession, folder: str) -> DataFrame:
-    return _sql(spark, LISTINGS, **read(spark, folder, "orders", "part"))
+    return spread(_sql(spark, LISTINGS, **read(spark, folder, "orders", "part")))
 
 
 def sightings(spark: SparkSession, folder: str) -> DataFrame:
@@ -152,11 +153,11 @@ def to_sightings(raw: DataFrame) -> DataFrame:
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
-    return _sql(spark, PAGES_WITH_CONTACTS, **read(spark, folder, "pages"))
+    return spread(_sql(spark, PAGES_WITH_CONTACTS, **read(spark, folder, "pages")))
 
 
 def site_pages(spark: SparkSession, folder: str) -> DataFrame:
-    return _sql(spark, SITE_PAGES, **read(spark, folder, "pages"))
+    return spread(_sql(spark, SITE_PAGES, **read(spark, folder, "pages")))
 
 
 def elements(spark: SparkSession, folder: str) -> DataFrame:

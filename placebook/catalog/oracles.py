@@ -412,17 +412,18 @@ BLANKED = f"{CENSUS},\nbl AS (SELECT * REPLACE (CASE WHEN ord % 3 = 0 THEN phone
 def seg_dist(a, b) -> str:
     import math
 
-    kx = KM_PER_DEG_LNG * math.cos(math.radians((a[0] + b[0]) / 2))
-    ax, ay, bx, by = a[1] * kx, a[0] * KM_PER_DEG_LAT, b[1] * kx, b[0] * KM_PER_DEG_LAT
-    dx, dy = bx - ax, by - ay
-    t = f"greatest(0.0, least(1.0, ((lng * {kx} - {ax}) * {dx} + (lat * {KM_PER_DEG_LAT} - {ay}) * {dy}) / {dx * dx + dy * dy}))"
-    return f"sqrt(pow(lng * {kx} - ({ax} + {t} * {dx}), 2) + pow(lat * {KM_PER_DEG_LAT} - ({ay} + {t} * {dy}), 2))"
+    squeeze = math.cos(math.radians((a[0] + b[0]) / 2))
+    ax, ay = a[1] * KM_PER_DEG_LNG * squeeze, a[0] * KM_PER_DEG_LAT
+    dx, dy = b[1] * KM_PER_DEG_LNG * squeeze - ax, b[0] * KM_PER_DEG_LAT - ay
+    px, py = f"(lng * {KM_PER_DEG_LNG}e0 * {squeeze!r}e0)", f"(lat * {KM_PER_DEG_LAT}e0)"
+    t = f"greatest(0.0, least(1.0, (({px} - {ax!r}e0) * {dx!r}e0 + ({py} - {ay!r}e0) * {dy!r}e0) / {dx * dx + dy * dy!r}e0))"
+    return f"sqrt(pow({px} - ({t} * {dx!r}e0 + {ax!r}e0), 2) + pow({py} - ({t} * {dy!r}e0 + {ay!r}e0), 2))"
 
 
 def in_poly(polygon) -> str:
     edges = [(p, polygon[i - 1]) for i, p in enumerate(polygon)]
     return "(" + " + ".join(
-        f"CASE WHEN ({y1} > lat) <> ({y2} > lat) AND lng < ({x2} - {x1}) * (lat - {y1}) / ({y2} - {y1}) + {x1} THEN 1 ELSE 0 END"
+        f"CASE WHEN ({y1}e0 > lat) <> ({y2}e0 > lat) AND lng < {x2 - x1!r}e0 * (lat - {y1}e0) / {y2 - y1!r}e0 + {x1}e0 THEN 1 ELSE 0 END"
         for (y1, x1), (y2, x2) in edges) + ") % 2 = 1"
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from placebook.areas import KM_PER_DEG_LAT, KM_PER_DEG_LNG, MAX_AREAS, Area
-from placebook.functions.text import column
+from placebook.functions.text import column, let
 from placebook.schema import CORE_ZONE, OUTSIDE, RING_ZONE, UNASSIGNED
 
 
@@ -26,10 +26,11 @@ def distance_to_point(lat: Column, lng: Column, point: tuple[float, float]) -> C
 
 def distance_to_segment(lat: Column, lng: Column, a: tuple[float, float], b: tuple[float, float]) -> Column:
     """Distance to the nearest point of the segment a-b; the projection is fixed, so it is literal."""
-    kx = KM_PER_DEG_LNG * math.cos(math.radians((a[0] + b[0]) / 2))
-    ax, ay, bx, by = a[1] * kx, a[0] * KM_PER_DEG_LAT, b[1] * kx, b[0] * KM_PER_DEG_LAT
+    squeeze = math.cos(math.radians((a[0] + b[0]) / 2))
+    ax, ay = a[1] * KM_PER_DEG_LNG * squeeze, a[0] * KM_PER_DEG_LAT
+    bx, by = b[1] * KM_PER_DEG_LNG * squeeze, b[0] * KM_PER_DEG_LAT
     dx, dy = bx - ax, by - ay
-    px, py = lng * kx, lat * KM_PER_DEG_LAT
+    px, py = lng * KM_PER_DEG_LNG * squeeze, lat * KM_PER_DEG_LAT
     length2 = dx * dx + dy * dy
     along = ((px - ax) * dx + (py - ay) * dy) / length2 if length2 else F.lit(0.0)
     t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), along))
@@ -43,7 +44,7 @@ def in_polygon(lat: Column, lng: Column, polygon: tuple[tuple[float, float], ...
         if y1 == y2:
             continue
         spans = (F.lit(y1) > lat) != (F.lit(y2) > lat)
-        left = lng < (lat - y1) * ((x2 - x1) / (y2 - y1)) + x1
+        left = lng < (lat - y1) * (x2 - x1) / (y2 - y1) + x1
         crossings.append((spans & left).cast("int"))
     return reduce(lambda a, b: a + b, crossings, F.lit(0)) % 2 == 1
 
@@ -99,11 +100,10 @@ def assign_area(lat: Column | str, lng: Column | str, addr: Column | str, areas:
                           F.lit(None).cast("double").alias("distance_km"))
     if len(shapeless) == len(areas):
         return by_address
-    best = nearest_area(lat, lng, areas)
-    placed = F.struct(
+    placed = let(nearest_area(lat, lng, areas), lambda best: F.struct(
         F.when(best["inside"], best["area"])
         .otherwise(F.coalesce(area_in_address(addr, shapeless), F.lit(OUTSIDE))).alias("area"),
-        best["distance_km"].alias("distance_km"))
+        best["distance_km"].alias("distance_km")))
     return F.when(column(lat).isNotNull() & column(lng).isNotNull(), placed).otherwise(by_address)
 
 

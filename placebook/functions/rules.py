@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placebook.functions.text import blank, column
+from placebook.functions.provenance import source_kind
+from placebook.functions.text import blank, column, let
 from placebook.schema import UNCLASSIFIED_GROUP, UNCLASSIFIED_SUB
 from placebook.taxonomy import LEGACY_FIRST, Taxonomy
 
@@ -18,7 +19,7 @@ def _literal(rows: list[dict], ddl: str) -> Column:
 
 
 def classify(label: Column | str, name: Column | str, taxonomy: Taxonomy) -> Column:
-    """struct(grp, sub) of the first rule whose key occurs in ' label name '.
+    """struct(grp, sub, key) of the first rule whose key occurs in ' label name '.
 
     Slashes count as blanks, runs of blanks as one; keys are substrings and are not trimmed, so a key
     may ask for a word end ('park ').
@@ -28,9 +29,9 @@ def classify(label: Column | str, name: Column | str, taxonomy: Taxonomy) -> Col
     blob = F.concat(F.lit(" "), spaced, F.lit(" "))
     rules = _literal([{"g": g, "s": s, "k": k.lower()} for g, s, k in taxonomy.rules],
                      "struct<g:string,s:string,k:string>")
-    hit = F.get(F.filter(rules, lambda r: F.contains(blob, r["k"])), F.lit(0))
-    return F.struct(F.coalesce(hit["g"], F.lit(UNCLASSIFIED_GROUP)).alias("grp"),
-                    F.coalesce(hit["s"], F.lit(UNCLASSIFIED_SUB)).alias("sub"))
+    hit = let(blob, lambda b: F.get(F.filter(rules, lambda r: F.contains(b, r["k"])), F.lit(0)))
+    nothing = F.struct(F.lit(UNCLASSIFIED_GROUP).alias("g"), F.lit(UNCLASSIFIED_SUB).alias("s"), F.lit("").alias("k"))
+    return F.coalesce(hit, nothing).cast("struct<grp:string,sub:string,key:string>")
 
 
 def legacy_category(label: Column | str, name: Column | str, taxonomy: Taxonomy) -> Column:
@@ -42,7 +43,7 @@ def legacy_category(label: Column | str, name: Column | str, taxonomy: Taxonomy)
 
     def by_rules(text: Column) -> Column:
         padded = F.concat(F.lit(" "), F.translate(F.lower(text), "/-", "  "), F.lit(" "))
-        return F.get(F.filter(rules, lambda r: F.contains(padded, r["k"])), F.lit(0))["c"]
+        return let(padded, lambda t: F.get(F.filter(rules, lambda r: F.contains(t, r["k"])), F.lit(0))["c"])
 
     early = [F.when(F.contains(both, F.lit(key)), F.lit(category)) for key, category in LEGACY_FIRST]
     return F.coalesce(*early, by_rules(label), by_rules(name), F.lit(""))
@@ -52,16 +53,17 @@ def unclassified(grp: Column | str = "grp", sub: Column | str = "sub") -> Column
     return (column(grp) == UNCLASSIFIED_GROUP) & (column(sub) == UNCLASSIFIED_SUB)
 
 
-def classify_record(taxonomy: Taxonomy) -> tuple[Column, Column]:
-    """(struct(grp, sub), legacy18) of a mapped record.
+def classify_records(records: DataFrame, taxonomy: Taxonomy) -> DataFrame:
+    """Fill grp, sub and, where empty, legacy18.
 
-    A directory listing without a category is classified a second time, from its tagline.
+    A directory listing without a category is classified a second time, from its tagline. The first
+    result is a column of its own, so that it is worked out once.
     """
-    from placebook.functions.provenance import source_kind
-
-    first = classify("label", "name", taxonomy)
-    retry = (unclassified(first["grp"], first["sub"]) & blank("label")
+    first = records.withColumn("_first", classify("label", "name", taxonomy))
+    retry = (unclassified(F.col("_first.grp"), F.col("_first.sub")) & blank("label")
              & (source_kind("source") == "directory") & ~blank("notes"))
-    found = F.when(retry, classify(F.substring("notes", 1, 160), "name", taxonomy)).otherwise(first)
+    again = classify(F.substring("notes", 1, 160), "name", taxonomy)
+    both = first.withColumn("_found", F.when(retry, again).otherwise(F.col("_first")))
     legacy = F.when(blank("legacy18"), legacy_category("label", "name", taxonomy)).otherwise(F.col("legacy18"))
-    return found, legacy
+    return both.withColumns({"grp": F.col("_found.grp"), "sub": F.col("_found.sub"), "legacy18": legacy}).drop(
+        "_first", "_found")

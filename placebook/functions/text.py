@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -31,6 +32,14 @@ def column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Work out `value` once per row and use it in `body`.
+
+    Inside a higher-order function an outer expression would be worked out again for every element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column | str) -> Column:
     """Trim every kind of blank, not only spaces."""
     return F.regexp_replace(column(c), r"(?U)^\s+|\s+$", "")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from placebook.areas import Area
-from placebook.session import materialise
+from placebook.session import materialise_counting
 
 # fixed values: results a feed shows at most, closest zoom, screen of the reference window
 FEED_CAP = 120
@@ -195,8 +195,8 @@ def saturation_plan(searches: DataFrame, box: tuple[float, float, float, float]
     full = searches.filter((F.col("status") == "done") & (F.col("raw_count") >= FEED_CAP)).select("source", "term", "area")
     frontier, plan = full, None
     for _ in range(MAX_ZOOM):
-        kids = materialise(split_searches(frontier, box), "split")
-        if kids.isEmpty():
+        kids, n_kids = materialise_counting(split_searches(frontier, box), "split", F.lit(True))
+        if n_kids == 0:
             break
         plan = kids if plan is None else plan.unionByName(kids)
         frontier = kids.join(full, ["source", "term", "area"], "left_semi")

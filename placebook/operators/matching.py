@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placebook.operators.skew import HOT_ROWS, lookup
-from placebook.session import materialise
+from placebook.session import materialise, materialise_counting
 
 
 def first_come(wishes: DataFrame, n_rows: int, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -23,10 +23,11 @@ def first_come(wishes: DataFrame, n_rows: int, hot_rows: int = HOT_ROWS) -> Data
     while True:
         asked = state.withColumn("key", F.get("choices", F.col("at"))["key"])
         best = asked.groupBy("key").agg(F.min("ord").alias("winner"))
-        judged = materialise(lookup(asked, best, ["key"], n_rows, hot_rows=hot_rows), "wishes")
-        lost = judged.filter("ord != winner and at + 1 < size(choices)")
+        turned_away = F.expr("ord != winner and at + 1 < size(choices)")
+        judged, n_lost = materialise_counting(
+            lookup(asked, best, ["key"], n_rows, hot_rows=hot_rows), "wishes", turned_away)
         won = judged.filter("ord = winner")
-        if lost.isEmpty():
+        if n_lost == 0:
             return won.select("ord", F.col("key").alias("choice"), F.get("choices", F.col("at"))["tag"].alias("tag"))
         state = won.select("ord", "choices", "at").unionByName(
-            lost.select("ord", "choices", (F.col("at") + 1).alias("at")))
+            judged.filter(turned_away).select("ord", "choices", (F.col("at") + 1).alias("at")))

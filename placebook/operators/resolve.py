@@ -35,7 +35,7 @@ from placebook.functions.text import norm_addr, norm_name
 from placebook.operators.matching import first_come
 from placebook.operators.skew import HOT_ROWS, lookup
 from placebook.schema import MULTI_SOURCE, QUIET_FIELDS, RECORD, SURVIVING_NUMBERS, SURVIVING_TEXT, conform
-from placebook.session import materialise
+from placebook.session import materialise, materialise_counting
 
 # fixed values: key levels, strongest first
 LEVELS = ["pid", "p", "na", "n"]
@@ -108,23 +108,18 @@ def _hub_tops(forest: DataFrame, n_rows: int, hot_rows: int) -> DataFrame:
     hubs = children.join(candidates, "hub", "full")
     own = forest.select(F.col("ord").alias("hub"), "parent", "newcomer",
                         F.when(F.col("has_id"), F.col("ord")).alias("own_id"))
-    tops = materialise(hubs.join(own, "hub").select(
+    tops, inner = materialise_counting(hubs.join(own, "hub").select(
         "hub", F.coalesce("parent", "hub").alias("top"), "child_id", "own_id", "newcomer",
-        F.col("parent").isNull().alias("is_top")), "hub-tops")
+        F.col("parent").isNull().alias("is_top")), "hub-tops", F.expr("not is_top"))
     ends = tops.filter("is_top").select(F.col("hub").alias("top"), F.col("newcomer").alias("top_new"),
                                         F.col("own_id").alias("top_id"))
-    while True:
+    while inner:
         step = tops.filter("not is_top").select(F.col("hub").alias("top"), F.col("top").alias("next"))
-        if step.isEmpty():
-            break
         moved = lookup(tops, step, ["top"], n_rows, hot_rows=hot_rows)
-        nxt = materialise(moved.select(
-            "hub", F.coalesce("next", "top").alias("top"), "child_id", "own_id", "newcomer", "is_top",
-            F.col("next").isNotNull().alias("moved")), "hub-tops")
-        settled = nxt.filter("moved").isEmpty()
-        tops = nxt.drop("moved")
-        if settled:
-            break
+        tops, inner = materialise_counting(moved.select(
+            "hub", F.coalesce("next", "top").alias("top"), "child_id", "is_top",
+            F.col("next").isNotNull().alias("moved")), "hub-tops", F.col("moved"))
+        tops = tops.drop("moved")
     return lookup(tops.select("hub", "top", "child_id"), ends, ["top"], n_rows, hot_rows=hot_rows)
 
 
@@ -232,10 +227,32 @@ def resolve(records: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         seen = mark
         corrected = (lookup(keys.filter(F.col("level") == NAME_ADDR), borrowed, ["key"], n_keys, "inner", hot_rows)
                      .filter("first < ord").select("ord", F.col("first").alias("fixed")))
+        moved, n_moved = materialise_counting(_moved(corrected, links, clusters, n_rows, hot_rows), "moved",
+                                              F.expr("was != now"))
+        if n_moved == 0:
+            return _relabelled(clusters, moved)
         fixed = (links.join(corrected, "ord", "left").withColumn("f2", F.coalesce("fixed", "f2")).drop("fixed"))
         clusters = _clusters(materialise(fixed, "links"), n_rows, hot_rows)
 
 
+def _moved(corrected: DataFrame, links: DataFrame, clusters: DataFrame, n_rows: int, hot_rows: int) -> DataFrame:
+    """Corrected records that look by name: the business they found (was) and the one they would find (now)."""
+    by_name = links.filter("f0 is null and f1 is null").select("ord", F.coalesce("f2", "f3").alias("weak"))
+    asked = corrected.join(by_name, "ord")
+    home = clusters.select("ord", "cluster")
+    for col, out in (("weak", "was"), ("fixed", "now")):
+        asked = lookup(asked, home.select(F.col("ord").alias(col), F.col("cluster").alias(out)), [col], n_rows,
+                       hot_rows=hot_rows)
+    return asked.select("ord", "was", "now")
+
+
+def _relabelled(clusters: DataFrame, moved: DataFrame) -> DataFrame:
+    """The same businesses, with the level of a merge put right where the address would have found it too."""
+    named = moved.select("ord", F.lit(True).alias("by_address"))
+    via = F.when(F.col("by_address") & (F.col("via") == NAME), F.lit(NAME_ADDR)).otherwise(F.col("via"))
+    return materialise(clusters.join(named, "ord", "left").select("ord", "cluster", via.alias("via")), "clusters")
+
+
 # ------------------------------------------------------------------ what the business record holds
 
 _TRACKED = [*SURVIVING_TEXT, *SURVIVING_NUMBERS]

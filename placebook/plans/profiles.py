@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from placebook.areas import CENSUS_AREAS, CENSUS_CORE, PROSPECT_AREAS, Area
 from placebook.functions.geo import assign_area, zone_of
-from placebook.functions.rules import classify_record
+from placebook.functions.rules import classify_records
 from placebook.functions.scoring import in_scope, score_records
 from placebook.functions.text import first_filled, street_of
 from placebook.operators import quality, reports
@@ -24,7 +24,7 @@ from placebook.operators.ordering import census_order, number_rows, prospect_ord
 from placebook.operators.priority import assign_priority, split_pois
 from placebook.operators.resolve import Resolution
 from placebook.schema import conform
-from placebook.session import materialise
+from placebook.session import materialise, spread
 from placebook.sources.raw_store import write_metrics, write_reports, write_stage
 from placebook.taxonomy import Taxonomy
 
@@ -79,9 +79,7 @@ def place(records: DataFrame, profile: Profile, today: str) -> DataFrame:
 
 def classify(records: DataFrame, profile: Profile) -> DataFrame:
     """Group, subcategory and legacy category; no shuffle."""
-    found, legacy = classify_record(profile.taxonomy)
-    return records.withColumn("_c", found).withColumns(
-        {"grp": F.col("_c.grp"), "sub": F.col("_c.sub"), "legacy18": legacy}).drop("_c")
+    return classify_records(records, profile.taxonomy)
 
 
 def warn_shapeless(profile: Profile) -> list[str]:
@@ -103,7 +101,7 @@ def score(records: DataFrame, n_rows: int) -> DataFrame:
 
 def census(records: DataFrame, profile: Profile, today: str) -> dict[str, DataFrame]:
     """From mapped records to the census: stages and reports by name."""
-    ready = materialise(conform(classify(place(records, profile, today), profile)), "classified")
+    ready = materialise(conform(classify(place(spread(records), profile, today), profile)), "classified")
     resolution = Resolution(ready)
     kept, dropped = finish_businesses(resolution.businesses(), profile)
     kept = materialise(kept, "businesses")

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -56,3 +57,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialise_counting(df: DataFrame, name: str, test: Column) -> tuple[DataFrame, int]:
+    """Materialise, and count the rows that pass a test on the way: no second job.
+
+    For tests against zero: a task that runs twice may count twice, but never makes something of nothing.
+    """
+    seen = Observation()
+    out = materialise(df.observe(seen, F.count_if(test).alias("n")), name)
+    return out, seen.get["n"]
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core work on a small input; a large one comes in enough partitions already."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -54,7 +54,8 @@ def map_csv(raw: DataFrame) -> DataFrame:
         found = [strip(F.col(f"`{by_header[h]}`")) for h in HEADERS[field] if h in by_header]
         return first_filled(*found) if found else F.lit("")
 
-    phones = clean_phones(F.split(F.regexp_replace(value("phone"), "[/,]", ";"), ";"))
+    raw = raw.withColumn("_phones", clean_phones(F.split(value("phone"), "[/,;]")))
+    phones = F.col("_phones")
     file = F.col("_file") if "_file" in raw.columns else F.lit("import")
     source = F.concat(F.lit("Manual CSV ("), F.coalesce(file, F.lit("import")), F.lit(")"))
     cols = {

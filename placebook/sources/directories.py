@@ -199,12 +199,12 @@ def latest_listing(raw: DataFrame) -> DataFrame:
 
 def map_listings(listings: DataFrame) -> DataFrame:
     label = F.when(F.col("category") != "", F.element_at(F.split("category", " > "), -1)).otherwise("")
-    phones = clean_phones(F.split("phone", "[,/;]| or "))
+    phones = F.col("_phones")
     site = column("site")
     name = F.when(site == "finelib", SITES["finelib"][0]).when(site == "businesslist", SITES["businesslist"][0])
     source = F.concat(F.coalesce(name, site), F.lit(" ("), month_label("_fetched"), F.lit(")"))
     keep = ["ord"] if "ord" in listings.columns else []
-    return listings.select(
+    return listings.withColumn("_phones", clean_phones(F.split("phone", "[,/;]| or "))).select(
         *keep, strip("name").alias("name"), "addr", street_of("addr").alias("street"), label.alias("label"),
         first_of(phones).alias("phone"), phones.alias("phones_all"), number("lat").alias("lat"),
         number("lng").alias("lng"), F.col("url").alias("maps"), F.substring("desc", 1, 300).alias("notes"),

@@ -62,13 +62,14 @@ def label_of() -> Column:
 
 def map_osm(elements: DataFrame) -> DataFrame:
     lat, lng = _place()
-    phones = clean_phones(F.flatten(F.array(*[F.split(tag(k), ";") for k in PHONE_TAGS])))
+    numbers = clean_phones(F.flatten(F.array(*[F.split(tag(k), ";") for k in PHONE_TAGS])))
+    phones = F.col("_phones")
     house = F.concat_ws(" ", F.nullif(tag("addr:housenumber"), F.lit("")), F.nullif(tag("addr:street"), F.lit("")))
     parts = [house, first_filled(tag("addr:suburb"), tag("addr:district")), tag("addr:city"), tag("addr:state")]
     source = F.concat(F.lit("OpenStreetMap ("), month_label("_fetched"), F.lit(")"))
     hours = tag("opening_hours")
     keep = ["ord"] if "ord" in elements.columns else []
-    return elements.select(
+    return elements.withColumn("_phones", numbers).select(
         *keep,
         strip(first_filled(tag("name"), tag("name:en"), tag("brand"))).alias("name"),
         lat.alias("lat"), lng.alias("lng"),
