@@ -554,6 +554,9 @@ def build() -> dict[str, str]:
         f"{cards.split(', cd AS', 1)[1].join(['cd AS', ''])}, csvr AS ({csv})",
         "SELECT source, count(*) AS n, count(*) FILTER (phone <> '') AS with_phone FROM (SELECT source, phone FROM osm UNION ALL SELECT source, phone FROM cards UNION ALL SELECT source, phone FROM csvr) GROUP BY 1")
 
+    out["unmappable_rows"] = w(LISTINGS, "SELECT source, raw, raw - gone AS mapped, gone AS unmappable FROM (SELECT 'osm' AS source, count(*) AS raw, count(*) FILTER (ord % 13 = 0) AS gone FROM listings "
+                                         "UNION ALL SELECT 'gmaps_browser', count(*) FILTER (source LIKE 'Google%'), 0 FROM listings UNION ALL SELECT 'manual_csv', count(*) FILTER (ord % 34 <> 0), 0 FROM listings)")
+
     # entity resolution
     out["dedupe_clusters"] = w(CLUSTERED, "SELECT ord, cluster, via FROM cl")
     out["survivorship"] = w(GOLDEN, "SELECT ord, name, grp, sub, phone, website, addr, street, label, legacy18, place_id, maps, rating, reviews, "

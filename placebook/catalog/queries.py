@@ -354,6 +354,17 @@ def source_union(spark, folder):
     return union_sources(parts).groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.expr("phone != ''")).alias("with_phone"))
 
 
+@query
+def unmappable_rows(spark, folder):
+    """Raw rows without a name, per source."""
+    from placebook.sources.raw_store import mapping_stats
+
+    raw = {"osm": A.elements(spark, folder), "gmaps_browser": A.cards(spark, folder), "manual_csv": A.odd_headers(spark, folder)}
+    mapped = {"osm": osm.map_osm(raw["osm"]), "gmaps_browser": map_cards.map_cards(raw["gmaps_browser"]),
+              "manual_csv": csv_import.map_csv(raw["manual_csv"])}
+    return mapping_stats(raw, mapped)
+
+
 # ------------------------------------------------------------------------ entity resolution
 
 @query

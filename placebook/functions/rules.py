@@ -18,6 +18,18 @@ def _literal(rows: list[dict], ddl: str) -> Column:
     return F.from_json(F.lit(json.dumps(rows, ensure_ascii=False)), f"array<{ddl}>")
 
 
+# rules are tried in blocks, so that a text that meets an early rule is not held against all of them
+BLOCK = 50
+
+
+def first_hit(text: Column, rows: list[dict], ddl: str) -> Column:
+    """The first rule whose key `k` occurs in the text; NULL if none does."""
+    def look(t: Column) -> Column:
+        blocks = [_literal(rows[i:i + BLOCK], ddl) for i in range(0, len(rows), BLOCK)]
+        return F.coalesce(*[F.get(F.filter(b, lambda r: F.contains(t, r["k"])), F.lit(0)) for b in blocks])
+    return let(text, look)
+
+
 def classify(label: Column | str, name: Column | str, taxonomy: Taxonomy) -> Column:
     """struct(grp, sub, key) of the first rule whose key occurs in ' label name '.
 
@@ -27,9 +39,8 @@ def classify(label: Column | str, name: Column | str, taxonomy: Taxonomy) -> Col
     text = F.concat_ws(" ", F.coalesce(column(label), F.lit("")), F.coalesce(column(name), F.lit("")))
     spaced = F.regexp_replace(F.replace(F.lower(text), F.lit("/"), F.lit(" ")), r"(?U)\s+", " ")
     blob = F.concat(F.lit(" "), spaced, F.lit(" "))
-    rules = _literal([{"g": g, "s": s, "k": k.lower()} for g, s, k in taxonomy.rules],
-                     "struct<g:string,s:string,k:string>")
-    hit = let(blob, lambda b: F.get(F.filter(rules, lambda r: F.contains(b, r["k"])), F.lit(0)))
+    hit = first_hit(blob, [{"g": g, "s": s, "k": k.lower()} for g, s, k in taxonomy.rules],
+                    "struct<g:string,s:string,k:string>")
     nothing = F.struct(F.lit(UNCLASSIFIED_GROUP).alias("g"), F.lit(UNCLASSIFIED_SUB).alias("s"), F.lit("").alias("k"))
     return F.coalesce(hit, nothing).cast("struct<grp:string,sub:string,key:string>")
 
@@ -38,12 +49,11 @@ def legacy_category(label: Column | str, name: Column | str, taxonomy: Taxonomy)
     """The flat category: early keys over both texts, then the rules over the label, then over the name."""
     label, name = F.coalesce(column(label), F.lit("")), F.coalesce(column(name), F.lit(""))
     both = F.lower(F.concat_ws(" ", label, name))
-    rules = _literal([{"c": c, "k": k.strip()} for c, k in taxonomy.legacy if k.strip()],
-                     "struct<c:string,k:string>")
+    rows = [{"c": c, "k": k.strip()} for c, k in taxonomy.legacy if k.strip()]
 
     def by_rules(text: Column) -> Column:
         padded = F.concat(F.lit(" "), F.translate(F.lower(text), "/-", "  "), F.lit(" "))
-        return let(padded, lambda t: F.get(F.filter(rules, lambda r: F.contains(t, r["k"])), F.lit(0))["c"])
+        return first_hit(padded, rows, "struct<c:string,k:string>")["c"]
 
     early = [F.when(F.contains(both, F.lit(key)), F.lit(category)) for key, category in LEGACY_FIRST]
     return F.coalesce(*early, by_rules(label), by_rules(name), F.lit(""))

@@ -45,6 +45,12 @@ def attribute(group: str, key: str) -> Column:
     return F.get(F.filter(entries, lambda e: F.map_contains_key(e, key)), F.lit(0))[key]
 
 
+def flag_in_text(c: Column | str) -> Column:
+    """An attribute that arrives as text: anything but '', no and false means yes."""
+    c = F.col(c) if isinstance(c, str) else c
+    return ~F.lower(F.trim(F.coalesce(c, F.lit("")))).isin("", "no", "false")
+
+
 def category_of(label: Column | str = "label", name: Column | str = "name") -> Column:
     text = F.lower(F.concat_ws("  ", label, name))
     out = None

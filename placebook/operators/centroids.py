@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from placebook.areas import KM_PER_DEG_LAT, KM_PER_DEG_LNG, Area
 from placebook.functions.geo import names_area
 from placebook.functions.provenance import is_google
+from placebook.operators.medians import medians
+from placebook.session import materialise
 
 
 def derive_centroids(records: DataFrame, areas: list[Area], min_n: int = 15, google_only: bool = True) -> DataFrame:
     """Median position of the records whose address names an area: area, n, lat, lng, low_confidence.
 
     A record may speak for several areas. Drawn shapes are skipped; an area nobody names has n = 0.
-    An exact median needs an area's coordinates together; there they are counted by value first, so what
-    is gathered per area grows with its distinct coordinates and not with its records.
     """
     spark = records.sparkSession
     open_areas = [a for a in areas if a.kind in ("disc", "name")]
@@ -25,14 +25,13 @@ def derive_centroids(records: DataFrame, areas: list[Area], min_n: int = 15, goo
     if google_only:
         voters = voters.filter(is_google())
     named = F.array_compact(F.array(*[F.when(names_area("addr", a), F.lit(a.name)) for a in open_areas]))
-    votes = voters.select("lat", "lng", F.explode(named).alias("area"))
-
-    def median(col: str) -> DataFrame:
-        counted = votes.groupBy("area", col).agg(F.count(F.lit(1)).alias("k"))
-        return counted.groupBy("area").agg(F.round(F.percentile(col, F.lit(0.5), F.col("k")), 5).alias(col),
-                                           F.sum("k").alias("n"))
-
-    found = median("lat").join(median("lng").drop("n"), "area")
+    axes = F.array(*[F.struct(F.lit(c).alias("axis"), F.col(c).alias("v")) for c in ("lat", "lng")])
+    votes = (voters.select(axes.alias("axes"), F.explode(named).alias("area")).select("area", F.explode("axes").alias("x"))
+             .select(F.concat_ws(":", "x.axis", "area").alias("slot"), "x.v"))
+    middles = medians(materialise(votes, "votes"), "slot", "v").withColumns({
+        "axis": F.substring("slot", 1, 3), "area": F.substr("slot", F.lit(5)), "v": F.round("median", 5)})
+    found = middles.groupBy("area").agg(F.max("n").alias("n"), *[
+        F.max(F.when(F.col("axis") == c, F.col("v"))).alias(c) for c in ("lat", "lng")])
     wanted = spark.createDataFrame([(i, a.name) for i, a in enumerate(open_areas)], "area_ord int, area string")
     n = F.coalesce("n", F.lit(0))
     return F.broadcast(wanted).join(found, "area", "left").select(

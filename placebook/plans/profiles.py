@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from placebook.functions.geo import assign_area, zone_of
 from placebook.functions.rules import classify_records
 from placebook.functions.scoring import in_scope, score_records
 from placebook.functions.text import first_filled, street_of
-from placebook.operators import quality, reports
+from placebook.operators import enrich, quality, reports
 from placebook.operators.enrich import contact_channels
 from placebook.operators.ordering import census_order, number_rows, prospect_order
 from placebook.operators.priority import assign_priority, split_pois
@@ -94,6 +95,24 @@ def finish_businesses(businesses: DataFrame, profile: Profile) -> tuple[DataFram
     return (assign_priority(kept, profile.core) if profile.kind == "census" else kept), dropped
 
 
+def enrich_records(records: DataFrame, today: str, sites: DataFrame | None = None, details: DataFrame | None = None,
+                   answers: DataFrame | None = None) -> DataFrame:
+    """Apply what was found, in order: websites, detail pages, API answers. Each is optional.
+
+    sites: per website (`enrich.site_contacts`), details: per place (`parse_details`), answers: per API
+    id (`latest_answers`). Each step is stored, since a number given away in one is taken in the next.
+    """
+    n = records.count()
+    if sites is not None:
+        records = materialise(enrich.apply_site_contacts(records, sites, n), "sites")
+    if details is not None:
+        records = materialise(enrich.apply_details(records, details, today, n), "details")
+    if answers is not None:
+        label = f"Google Places API ({date.fromisoformat(today).strftime('%b %Y')})"
+        records = materialise(enrich.apply_api(records, answers, label, n), "answers")
+    return records
+
+
 def score(records: DataFrame, n_rows: int) -> DataFrame:
     """Scored prospects; records of other trades leave after scoring."""
     return in_scope(score_records(records, n_rows))

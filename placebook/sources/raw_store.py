@@ -59,6 +59,18 @@ def union_sources(parts: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def mapping_stats(raw: dict[str, DataFrame], mapped: dict[str, DataFrame]) -> DataFrame:
+    """Per source: raw rows, mapped records, and the unmappable rows between them (no name)."""
+    counts = None
+    for source in SOURCE_ORDER:
+        if source in raw:
+            n_raw = raw[source].agg(F.lit(source).alias("source"), F.count(F.lit(1)).alias("raw"))
+            n_out = mapped[source].agg(F.lit(source).alias("source"), F.count(F.lit(1)).alias("mapped"))
+            part = n_raw.join(n_out, "source")
+            counts = part if counts is None else counts.unionByName(part)
+    return counts.withColumn("unmappable", F.col("raw") - F.col("mapped"))
+
+
 def write_stage(records: DataFrame, root: str, stage: str) -> None:
     """Store a stage; only the canonical schema passes."""
     conform(records).write.mode("overwrite").parquet(f"{root}/stages/{stage}")

@@ -171,3 +171,24 @@ def test_budgets(spark):
     done = spark.createDataFrame([("ChIJ9",)], "key string")
     assert {r.ord for r in enrich.api_candidates(recs, done, 2).collect()} == {4}       # the known one is not replaced
     assert {r.ord for r in enrich.api_candidates(recs, none, 2, in_scope_only=True).collect()} == {4, 2}
+
+
+def test_flags_that_come_as_text(spark):
+    from placebook.functions.scoring import flag_in_text
+    rows = [("Yes", True), ("No", False), (" false ", False), ("", False), (None, False), ("offered", True)]
+    got = spark.createDataFrame(rows, "t string, w boolean").select(flag_in_text("t"), "w").collect()
+    assert all(a == b for a, b in got)
+
+
+def test_the_enrichment_steps_follow_each_other(spark):
+    from placebook.plans.profiles import enrich_records
+    from placebook.sources.place_details import attributes, chips
+    site = "https://a.example"
+    pages = spark.createDataFrame([(site, "/", "<p>0803 111 1111 we deliver</p>")], "website string, path string, html string")
+    about = spark.createDataFrame([("0x1:0xa", ["Offers delivery"])], "key string, about array<string>")
+    details = about.select("key", F.lit("+2348031111111").alias("phone"), F.lit("").alias("website"), F.lit("").alias("addr"),
+                           F.lit("").alias("order_url"), attributes(chips()).alias("attrs"))
+    rows = [dict(name="first", website=site), dict(name="second", place_id="0x1:0xa")]
+    out = by_ord(enrich_records(records(spark, rows), "2026-12-01", enrich.site_contacts(pages), details))
+    assert out[1].phone == "+2348031111111" and out[2].phone == ""      # given to the first, so not to the second
+    assert out[2].phones_all == ["+2348031111111"] and out[2].score_basis == "Full"

@@ -184,3 +184,19 @@ def test_stream_resumes_where_it_stopped(spark, tmp_path):
     assert {(r.k, r.v) for r in ingest.current_rows(log, ["k"], ["at"]).collect()} == {("a", "new"), ("b", "x")}
     ingest.compact(spark, out, str(tmp_path / "compact"), ["k"], ["at"])
     assert spark.read.parquet(str(tmp_path / "compact")).count() == 2
+
+
+def test_medians_of_large_groups(spark):
+    import random
+    import statistics
+
+    from placebook.operators.medians import medians
+    rng = random.Random(3)
+    rows = [("even", rng.uniform(-7, 7)) for _ in range(400)] + [("odd", round(6.5 + rng.random() / 50, 5)) for _ in range(301)]
+    rows += [("one", 3.25), ("same", 1.0), ("same", 1.0), ("same", 2.0), ("far", -80.0), ("far", 80.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: (r.median, r.n) for r in medians(df, "k", "v", gather=0).collect()}
+    assert got == {r.k: (r.median, r.n) for r in medians(df, "k", "v").collect()}
+    for k in {k for k, _ in rows}:
+        vs = [v for key, v in rows if key == k]
+        assert abs(got[k][0] - statistics.median(vs)) < 1e-12 and got[k][1] == len(vs)
