@@ -104,8 +104,17 @@ def _json(value: object) -> str:
 
 
 def _bare_words(c: Column | str, words: list[str]) -> Column:
-    dropped = F.regexp_replace(F.lower(fold_ascii(c)), r"\b(" + "|".join(words) + r")\b", " ")
-    return F.trim(F.regexp_replace(dropped, "[^a-z0-9]+", " "))
+    """Lower-case ASCII words without the given ones.
+
+    Words are split first and looked up in a set, which is far cheaper than searching the text for
+    twenty alternatives. An underscore joins words (as it does for a word boundary) until the end; the
+    one given word with an apostrophe is taken out before the split.
+    """
+    text = F.lower(fold_ascii(c))
+    for word in [w for w in words if "'" in w]:
+        text = F.when(F.contains(text, F.lit("'")), F.regexp_replace(text, rf"\b{word}\b", " ")).otherwise(text)
+    kept = F.filter(F.split(text, "[^a-z0-9_]+"), lambda w: ~w.isin(words))
+    return F.trim(F.regexp_replace(F.array_join(kept, " "), "[ _]+", " "))
 
 
 def norm_name(c: Column | str) -> Column:

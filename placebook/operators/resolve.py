@@ -115,10 +115,15 @@ def _hub_tops(forest: DataFrame, n_rows: int, hot_rows: int) -> DataFrame:
                                         F.col("own_id").alias("top_id"))
     while inner:
         step = tops.filter("not is_top").select(F.col("hub").alias("top"), F.col("top").alias("next"))
-        moved = lookup(tops, step, ["top"], n_rows, hot_rows=hot_rows)
+        # a stored step goes as far as two jumps of up to two hops each, to need fewer of them
+        jump = lookup(step, step.select(F.col("top").alias("next"), F.col("next").alias("after")), ["next"], n_rows,
+                      hot_rows=hot_rows).select("top", F.coalesce("after", "next").alias("next"))
+        moved = lookup(lookup(tops, jump, ["top"], n_rows, hot_rows=hot_rows).select(
+            "hub", F.coalesce("next", "top").alias("top"), "child_id", "is_top", F.col("next").isNotNull().alias("once")),
+            jump, ["top"], n_rows, hot_rows=hot_rows)
         tops, inner = materialise_counting(moved.select(
             "hub", F.coalesce("next", "top").alias("top"), "child_id", "is_top",
-            F.col("next").isNotNull().alias("moved")), "hub-tops", F.col("moved"))
+            (F.col("once") | F.col("next").isNotNull()).alias("moved")), "hub-tops", F.col("moved"))
         tops = tops.drop("moved")
     return lookup(tops.select("hub", "top", "child_id"), ends, ["top"], n_rows, hot_rows=hot_rows)
 
@@ -209,8 +214,7 @@ def resolve(records: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """
     cols = ["ord", "name", "addr", "place_id", "phone", "source", "sources_all"]
     keyed, _ = split_nameless(records.select(*cols))
-    keyed = materialise(keyed, "keyed")
-    n_rows = keyed.count()
+    keyed, n_rows = materialise_counting(keyed, "keyed", F.lit(True))
     n_keys = 4 * n_rows
     has_id = keyed.select("ord", (F.col("place_id") != "").alias("has_id"))
     keys = match_keys(keyed)
@@ -459,8 +463,7 @@ class Resolution:
         self.clusters = resolve(records, hot_rows)
         _, self.dropped = split_nameless(records)
         members = records.join(self.clusters, "ord")
-        self.members = materialise(members, "members")
-        self.n_rows = self.members.count()
+        self.members, self.n_rows = materialise_counting(members, "members", F.lit(True))
         self.items = list_items(self.members)
         self.state = merge_state(self.members)
         self.list_bound = list_bound

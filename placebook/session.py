@@ -62,7 +62,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 def materialise_counting(df: DataFrame, name: str, test: Column) -> tuple[DataFrame, int]:
     """Materialise, and count the rows that pass a test on the way: no second job.
 
-    For tests against zero: a task that runs twice may count twice, but never makes something of nothing.
+    For sizes and tests against zero: a task that runs twice may count twice, but never makes something
+    of nothing.
     """
     seen = Observation()
     out = materialise(df.observe(seen, F.count_if(test).alias("n")), name)
