@@ -656,13 +656,13 @@ UNION ALL SELECT ord, 'dropped', NULL, NULL, NULL, NULL, NULL, NULL, name, sourc
         f"SELECT ord, coalesce(email, '') AS email, phone, coalesce(whatsapp, '') AS whatsapp, coalesce(instagram, '') AS instagram, {listed(distinct('p2'))} AS phones_all, {listed('sg')} AS signals, "
         "CASE WHEN hit THEN CAST(phone <> '' AS int) + CAST(website <> '' AS int) + CAST(coalesce(email, '') <> '' AS int) + CAST(coalesce(instagram, '') <> '' AS int) ELSE ch END AS contact_channels FROM l")
     out["detail_candidates"] = w(
-        f"{SCORED}, known AS (SELECT DISTINCT place_id AS key FROM biz WHERE grp = 'Food & Restaurants' AND place_id <> '' AND length(place_id) % 2 = 0), "
-        f"cand AS (SELECT ord, place_id AS key, reviews FROM prospects WHERE maps LIKE 'https://www.google.com/maps/place/%' AND area NOT IN ({q(OUTSIDE)}, {q(UNASSIGNED)}) AND place_id NOT IN (SELECT key FROM known))",
+        f"{SCORED}, {details.split(', dt AS', 1)[1].join(['dt AS', ''])}, cand AS (SELECT ord, place_id AS key, reviews FROM prospects WHERE maps LIKE 'https://www.google.com/maps/place/%' "
+        f"AND area NOT IN ({q(OUTSIDE)}, {q(UNASSIGNED)}) AND place_id NOT IN (SELECT key FROM det WHERE order_url <> ''))",
         "SELECT * FROM cand ORDER BY reviews DESC NULLS LAST, ord LIMIT 100")
     out["api_candidates"] = w(
-        f"{CENSUS}, best AS (SELECT ord, regexp_extract(maps, '!19s(ChIJ[\\w\\-]+)', 1) AS key, reviews FROM biz WHERE maps LIKE '%!19sChIJ%' AND area NOT IN ({q(OUTSIDE)}, {q(UNASSIGNED)}) "
+        f"{CENSUS}, {answers.split(', aa AS', 1)[1].join(['aa AS', ''])}, best AS (SELECT ord, regexp_extract(maps, '!19s(ChIJ[\\w\\-]+)', 1) AS key, reviews FROM biz WHERE maps LIKE '%!19sChIJ%' AND area NOT IN ({q(OUTSIDE)}, {q(UNASSIGNED)}) "
         "ORDER BY CAST(phone <> '' AND website <> '' AS int), reviews DESC NULLS LAST, ord LIMIT 100)",
-        "SELECT * FROM best WHERE NOT (key LIKE '%0\\_x-1' ESCAPE '\\')")
+        "SELECT * FROM best WHERE key NOT IN (SELECT key FROM api WHERE stars >= 4.5)")
     out["apply_details"] = w(
         f"{CENSUS}, {details.split(', dt AS', 1)[1].join(['dt AS', ''])}, want AS (SELECT b.ord, d.* FROM biz b JOIN det d ON d.key = b.place_id), "
         "won AS (SELECT w.ord, w.phone FROM want w JOIN biz b USING (ord) WHERE b.phone = '' AND w.phone <> '' AND w.phone NOT IN (SELECT phone FROM biz) QUALIFY w.ord = min(w.ord) OVER (PARTITION BY w.phone)), "

@@ -637,15 +637,14 @@ def phone_guard(spark, folder):
 
 @query
 def detail_candidates(spark, folder):
-    known = A.details(spark, folder).filter(F.length("key") % 2 == 0).select("key")
-    known = known.join(businesses(spark, folder).filter("grp = 'Food & Restaurants'").select(F.col("place_id").alias("key")), "key", "left_semi")
+    known = place_details.parse_details(A.details(spark, folder)).filter("order_url != ''").select("key")
     limit = 100 + known.count()
     return enrich.detail_candidates(businesses(spark, folder), known, limit).select("ord", "key", "reviews")
 
 
 @query
 def api_candidates(spark, folder):
-    known = A.api_answers(spark, folder).select("key").distinct().filter("key like '%0\\_x-1'")
+    known = place_details.latest_answers(A.api_answers(spark, folder)).filter("rating >= 4.5").select("key")
     return enrich.api_candidates(businesses(spark, folder), known, 100).select("ord", "key", "reviews")
 
 

@@ -71,6 +71,13 @@ def materialise_counting(df: DataFrame, name: str, test: Column) -> tuple[DataFr
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give every core work on a small input; a large one comes in enough partitions already."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """On a local master, give every core work on an input of a few small files.
+
+    On a cluster the input comes in enough splits, and this does nothing. Only the file list is asked
+    for; nothing runs.
+    """
+    context = df.sparkSession.sparkContext
+    if not context.master.startswith("local"):
+        return df
+    cores = context.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
