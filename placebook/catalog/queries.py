@@ -7,22 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placebook.areas import CENSUS_AREAS, CENSUS_CORE, PROSPECT_AREAS, Area, areas_df
+from placebook.areas import CENSUS_AREAS, CENSUS_CORE, Area
 from placebook.catalog import adapters as A
 from placebook.functions import geo, rules, scoring
 from placebook.functions.contacts import extract_contacts, is_social_site
-from placebook.functions.provenance import is_google, source_kind, trust
+from placebook.functions.provenance import source_kind, trust
 from placebook.functions.text import poi_reason, slugs, street_of
 from placebook.operators import centroids, enrich, frontier, quality, reports
 from placebook.operators.ordering import census_order, number_rows, prospect_order
-from placebook.operators.priority import programme
-from placebook.operators.resolve import Resolution, address_key, with_match_keys
+from placebook.operators.resolve import Resolution, with_match_keys
 from placebook.plans import profiles
-from placebook.schema import CHANNELS, COMPONENTS
+from placebook.schema import COMPONENTS
 from placebook.session import materialise, scratch_path
 from placebook.sources import csv_import, directories, map_cards, osm, place_details
 from placebook.streaming import ingest
-from placebook.taxonomy import Taxonomy
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}

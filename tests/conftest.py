@@ -11,7 +11,9 @@ from placebook.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("local[4]", "tests", **{
-        "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g"})
+        "spark.sql.shuffle.partitions": "2", "spark.ui.enabled": "false", "spark.driver.memory": "4g",
+        # tiny inputs: compiling a plan takes longer than running it (the bench and the driver compile)
+        "spark.sql.codegen.wholeStage": "false"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
