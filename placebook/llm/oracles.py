@@ -2,13 +2,44 @@
 
 OP3 = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 p AS (
-  SELECT q.vec_id AS query_id, v.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(q.x, v.x), z -> z[1] * z[2])) AS BIGINT) AS score
+  SELECT q.vec_id AS query_id, v.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(q.x, v.x), lambda z: z[1] * z[2])) AS BIGINT) AS score
   FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-ORACLES = {"op3_impact_topk": OP3}
+OP4 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+n AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM s),
+f AS (SELECT doc_id, unnest(s) AS h FROM s),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM f a JOIN f b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 75 * (x.n + y.n - i)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(id, top) AS (SELECT doc_id, doc_id FROM n UNION SELECT e.b, r.top FROM r JOIN e ON e.a = r.id)
+SELECT n.doc_id, n.n AS n_shingles, t.top AS component_id, n.doc_id = t.top AS kept
+FROM n JOIN (SELECT id, min(top) AS top FROM r GROUP BY id) t ON t.id = n.doc_id
+"""
+
+OP8 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x FROM embeddings),
+u AS (
+  SELECT vec_id, label, x, sqrt(list_sum(list_transform(x, lambda y: y * y))) AS n FROM v
+  WHERE label IS NOT NULL AND len(x) > 0 AND len(list_filter(x, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id AND a.n > 0 AND b.n > 0
+  WHERE list_sum(list_transform(list_zip(a.x, b.x), lambda z: z[1] * z[2])) / (a.n * b.n) >= 0.98),
+r(id, top) AS (SELECT vec_id, vec_id FROM v UNION SELECT l.b, r.top FROM r JOIN l ON l.a = r.id)
+SELECT v.vec_id, (SELECT count(*) FROM l WHERE l.a = v.vec_id) AS n_links, t.top AS component_id, v.vec_id = t.top AS kept
+FROM v JOIN (SELECT id, min(top) AS top FROM r GROUP BY id) t ON t.id = v.vec_id
+"""
+
+ORACLES = {"op3_impact_topk": OP3, "op4_minhash": OP4, "op8_cover_tree": OP8}

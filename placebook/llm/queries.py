@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placebook.llm import curriculum, impact_topk, url_rules
+from placebook.llm import cover_tree, curriculum, impact_topk, minhash, url_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,9 +23,17 @@ def op3_impact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return impact_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, mix = curriculum.plan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return rows.select("doc_id", *[F.col(f"{mix}.{c}").alias(c) for c in ("size", "source_size", "target", "taken", "copies", "positions")])
 
 
-QUERIES = {f.__name__: f for f in (op2_url_rules, op3_impact_topk, op6_curriculum)}
+def op8_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op2_url_rules, op3_impact_topk, op4_minhash, op6_curriculum, op8_cover_tree)}
