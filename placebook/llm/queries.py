@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placebook.llm import cover_tree, curriculum, impact_topk, minhash, url_rules
+from placebook.llm import cover_tree, curriculum, impact_topk, language, minhash, packing, url_rules
+from placebook.llm.common import crc_mod
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,8 +33,20 @@ def op6_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *[F.col(f"{mix}.{c}").alias(c) for c in ("size", "source_size", "target", "taken", "copies", "positions")])
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = crc_mod(F.col("doc_id"), 4) == 2
+    model = language.train(docs.filter(~held).select("doc_id", "text", "lang"))
+    return language.identify(docs.select("doc_id", "text", held.alias("held_out")), model, with_text=False)
+
+
 def op8_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op2_url_rules, op3_impact_topk, op4_minhash, op6_curriculum, op8_cover_tree)}
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
+
+
+QUERIES = {f.__name__: f for f in (op2_url_rules, op3_impact_topk, op4_minhash, op6_curriculum, op7_language,
+                                    op8_cover_tree, op9_packing)}
