@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placebook.llm import cover_tree, curriculum, impact_topk, language, minhash, packing, url_rules
+from placebook.llm import cover_tree, curriculum, impact_topk, language, line_templates, minhash, packing, url_rules
 from placebook.llm.common import crc_mod
 
 
@@ -13,6 +13,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, total, gone = line_templates.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", F.col(total).alias("n_lines"), F.col(gone).alias("n_dropped"), "text")
+
+
 def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels of the tables mark a page as bad if its id is labelled toxic or of low quality."""
     labels = table(spark, sf_dir, "labels").select(
@@ -48,5 +53,5 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op2_url_rules, op3_impact_topk, op4_minhash, op6_curriculum, op7_language,
+QUERIES = {f.__name__: f for f in (op1_line_templates, op2_url_rules, op3_impact_topk, op4_minhash, op6_curriculum, op7_language,
                                     op8_cover_tree, op9_packing)}
