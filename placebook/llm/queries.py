@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placebook.llm import cover_tree, curriculum, impact_topk, language, line_templates, minhash, packing, url_rules
+from placebook.llm import cover_tree, curriculum, impact_topk, language, line_templates, minhash, packing, toxicity, url_rules
 from placebook.llm.common import crc_mod
 
 
@@ -33,6 +33,14 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = crc_mod(F.col("doc_id"), 3) == 1
+    net = toxicity.train(docs.filter(~held).select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs.select("doc_id", "text", held.alias("held_out")), net, with_text=False)
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op6_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, mix = curriculum.plan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return rows.select("doc_id", *[F.col(f"{mix}.{c}").alias(c) for c in ("size", "source_size", "target", "taken", "copies", "positions")])
@@ -53,5 +61,5 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_line_templates, op2_url_rules, op3_impact_topk, op4_minhash, op6_curriculum, op7_language,
+QUERIES = {f.__name__: f for f in (op1_line_templates, op2_url_rules, op3_impact_topk, op4_minhash, op5_toxicity, op6_curriculum, op7_language,
                                     op8_cover_tree, op9_packing)}
