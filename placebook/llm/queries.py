@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placebook.llm import cover_tree, curriculum, impact_topk, language, line_templates, minhash, packing, toxicity, url_rules
+from placebook.llm import cover_tree, curriculum, impact_topk, language, line_templates, minhash, packing, pii, toxicity, url_rules
 from placebook.llm.common import crc_mod
 
 
@@ -61,5 +61,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find(docs, pii.train(docs), with_text=False)
+
+
 QUERIES = {f.__name__: f for f in (op1_line_templates, op2_url_rules, op3_impact_topk, op4_minhash, op5_toxicity, op6_curriculum, op7_language,
-                                    op8_cover_tree, op9_packing)}
+                                    op8_cover_tree, op9_packing, op10_pii)}
