@@ -29,10 +29,10 @@ from pyspark.sql.types import StructType
 from placebook.llm.common import batches
 
 WINDOW, STRIDE = 32, 24
-SAMPLE, SAMPLE_CHARS = 1200, 12_000
+SAMPLE, SAMPLE_CHARS = 1000, 12_000
 WORDS, GRAMS = 4000, 8192
 EMBED, HIDDEN = 8, 8
-PASSES, BATCH, RATE, DROP = 14, 64, 0.01, 0.3
+PASSES, BATCH, RATE, DROP = 10, 64, 0.01, 0.3
 CACHE, CHUNK = 300_000, 2048
 _EDGES = "\"'.,;:!?()[]{}<>*_-~`|/\\"
 
