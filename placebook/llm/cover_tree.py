@@ -21,6 +21,7 @@ occurs in a group of equal vectors; vectors of different lengths don't link. Oth
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -156,10 +157,12 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
 
     # the top of the trees: a net of sampled points per label
     sample = bounded_sample(classes.select("id", "part", "x"), "id", MAX_PIVOTS).collect()
+    total = classes.count()
+    share = Counter(r["part"] for r in sample)
     nets: dict[str, list] = {}
-    for r in sample:
+    for r in sample:                                             # as many points as the label fills blocks
         net = nets.setdefault(r["part"], [])
-        if len(net) < PIVOTS:
+        if len(net) < min(PIVOTS, math.ceil(share[r["part"]] / len(sample) * total / BLOCK_ROWS)):
             net.append(r["x"])
     names = {part: n for n, part in enumerate(nets)}
     unit = {}

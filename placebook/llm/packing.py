@@ -19,6 +19,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from functools import cache
 from itertools import repeat
 
 import numpy as np
@@ -32,7 +33,8 @@ from placebook.llm.common import batches
 
 WINDOW, END = 2048, 1
 BLOCK_DOCS = 4096
-CACHE_IDS, PIECE = 4_000_000, 1 << 20
+CACHE_WORDS, PIECE = 1_000_000, 1 << 20
+MARKS = ",.;:!?"
 
 
 def vocabulary_path(vocabulary: str) -> str:
@@ -47,6 +49,7 @@ class Words:
     """Token ids of texts, by words between spaces and line ends."""
 
     def __init__(self, vocabulary: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"          # the task's core is all it gets
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary_path(vocabulary))
@@ -56,30 +59,55 @@ class Words:
     def _clear(self) -> None:
         self.code: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, self.kind)
-        self.ends = [0]
+        self.ends, self.known = np.zeros(1 << 16, np.int64), 0   # of the ids of word i: ends[i] to ends[i + 1]
+
+    def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Words with their ids one after the other."""
+        begin, more = int(self.ends[self.known]), self.known + len(words) + 1
+        while begin + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while more > len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.flat[begin:begin + len(ids)] = ids
+        self.ends[self.known + 1:more] = begin + np.cumsum(sizes)
+        self.code.update(zip(words, range(self.known, more - 1), strict=True))
+        self.known = more - 1
+
+    def _flat(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of known words one after the other, and how many each has."""
+        start, n = self.ends[codes], self.ends[codes + 1] - self.ends[codes]
+        total = np.cumsum(n)
+        return self.flat[np.arange(total[-1] if len(total) else 0) + np.repeat(start - total + n, n)], n
 
     def _learn(self, words: list[str]) -> None:
-        for w, e in zip(words, self.tokenizer.encode_batch(words, add_special_tokens=False), strict=True):
-            end = self.ends[-1] + len(e.ids)
-            while end > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.flat[self.ends[-1]:end] = e.ids
-            self.code[w] = len(self.ends) - 1
-            self.ends.append(end)
+        # a mark behind a letter is a piece of its own, and ASCII letters are lower-cased: few words are new
+        cores = [w[:-1] if len(w) > 1 and w[-1] in MARKS and w[-2].lower().isalpha() else w for w in words]
+        cores = [c.lower() if c.isascii() and "<" not in c else c for c in cores]
+        new = [c for c in dict.fromkeys([*MARKS, *cores]) if c not in self.code]
+        if new:                                                  # all in one call; a token belongs to the word in which it starts
+            e = self.tokenizer.encode(" ".join(new), add_special_tokens=False)
+            begins = np.fromiter((a for a, _ in e.offsets), np.int64, len(e.ids))
+            cuts = np.searchsorted(begins, np.cumsum([0, *(len(w) + 1 for w in new)]))
+            self._add(new, np.array(e.ids, self.kind), np.diff(cuts))
+        marked = []
+        for w, c in zip(words, cores, strict=True):
+            if len(c) < len(w):
+                marked.append((w, self.code[c], self.code[w[-1]]))
+            elif w not in self.code:
+                self.code[w] = self.code[c]
+        if marked:
+            ids, n = self._flat(np.array([x[1:] for x in marked]).ravel())
+            self._add([x[0] for x in marked], ids, n.reshape(-1, 2).sum(1))
 
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words one after the other, and how many each has."""
-        if self.ends[-1] > CACHE_IDS:
+        if len(self.code) > CACHE_WORDS:
             self._clear()
         codes = np.fromiter(map(self.code.get, words, repeat(-1)), np.int64, len(words))
         if (codes < 0).any():
             self._learn(list(dict.fromkeys(w for w, c in zip(words, codes.tolist(), strict=True) if c < 0)))
             codes = np.fromiter(map(self.code.get, words), np.int64, len(words))
-        ends = np.array(self.ends)
-        start, n = ends[codes], ends[codes + 1] - ends[codes]
-        total = np.cumsum(n)
-        at = np.arange(total[-1] if len(total) else 0) + np.repeat(start - total + n, n)
-        return self.flat[at], n
+        return self._flat(codes)
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """Ids of each text with the end id."""
@@ -101,6 +129,12 @@ class Words:
             yield np.concatenate([*parts, np.array([END], self.kind)]).astype(self.kind)
 
 
+@cache
+def words_of(vocabulary: str) -> Words:
+    """One for each Python worker, which serves task after task."""
+    return Words(vocabulary)
+
+
 def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
@@ -168,7 +202,7 @@ def pack(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", window: int = W
     cols = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 
     def tokenize(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, number = Words(vocabulary), TaskContext.get().partitionId() << 40
+        words, number = words_of(vocabulary), TaskContext.get().partitionId() << 40
         for batch in stream:
             for part in batches(batch, "text", 1 << 20):
                 out = []
