@@ -58,7 +58,7 @@ def main() -> None:
 
     resolution, kept = timed("dedupe", dedupe)
     timed("merge_log", lambda: (run(resolution.decisions()), run(resolution.conflicts())))
-    scored = timed("score", lambda: materialise(score_records(kept, kept.count()), "scored"))
+    scored = timed("score", lambda: materialise(score_records(kept), "scored"))
     tables = profiles.census_reports(kept, profile, Q.TODAY)
     timed("report", lambda: [run(t) for t in tables.values()])
     timed("verify", lambda: [run(t) for t in profiles.verify(kept, profile, tables).values()])

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from placebook.functions.text import clean_phone, first_filled
 from placebook.schema import conform
-from placebook.session import spread
 from placebook.sources.directories import parse_listings
 
 # one order is one sighting of business o_custkey, from one of five sources
@@ -134,6 +133,12 @@ def _sql(spark: SparkSession, text: str, **tables: DataFrame) -> DataFrame:
     return spark.sql(text)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The test tables are one file each: give every core work on them, whatever the master."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def listings(spark: SparkSession, folder: str) -> DataFrame:
     return spread(_sql(spark, LISTINGS, **read(spark, folder, "orders", "part")))
 

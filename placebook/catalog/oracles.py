@@ -633,8 +633,7 @@ UNION ALL SELECT ord, 'dropped', NULL, NULL, NULL, NULL, NULL, NULL, name, sourc
                                      f"(SELECT page_id, list_transform(regexp_extract_all(t, {q(C.INSTAGRAM)}, 1), lambda h: 'https://www.instagram.com/' || rtrim(h, '.')) AS ig FROM p3)")
     ranks = " ".join(f"WHEN {q(x)} THEN {i}" for i, x in enumerate(["/", "/contact", "/contact-us", "/about", "/order", "/delivery"]))
     sites = (f"{page_tables(A.SITE_PAGES)}, s1 AS (SELECT *, CASE path {ranks} END AS rank FROM p3 QUALIFY html = max(html) OVER (PARTITION BY website, path)), "
-             "s2 AS (SELECT *, row_number() OVER (PARTITION BY website ORDER BY rank) AS nth, min(rank) OVER (PARTITION BY website) AS lowest FROM s1), "
-             "s3 AS (SELECT * FROM s2 WHERE lowest = 0 AND nth <= 4), "
+             "s3 AS (SELECT * FROM s1), "
              + "s4 AS (SELECT website, " + ", ".join(f"flatten(list({x} ORDER BY rank)) AS {x}" for x in ("emails", "phones", "whatsapp", "delivery"))
              + ", list_distinct([1]) AS one, bool_or(order_online OR path = '/order') AS order_online, "
              f"flatten(list(list_transform(regexp_extract_all(t, {q(C.INSTAGRAM)}, 1), lambda h: 'https://www.instagram.com/' || rtrim(h, '.')) ORDER BY rank)) AS ig FROM s3 GROUP BY 1), "

@@ -94,7 +94,7 @@ def attributed(spark: SparkSession, folder: str) -> DataFrame:
 def scored(spark: SparkSession, folder: str) -> DataFrame:
     def make() -> DataFrame:
         records = attributed(spark, folder)
-        return materialise(scoring.score_records(records, records.count()), "scored")
+        return materialise(scoring.score_records(records), "scored")
     return stage(spark, folder, "scored", make)
 
 
@@ -618,7 +618,7 @@ def without_phones(spark: SparkSession, folder: str) -> DataFrame:
 def apply_site_contacts(spark, folder):
     records = without_phones(spark, folder)
     found = enrich.site_contacts(A.site_pages(spark, folder))
-    out = enrich.apply_site_contacts(records, found, records.count())
+    out = enrich.apply_site_contacts(records, found)
     return out.select("ord", "email", "phone", "whatsapp", "instagram", joined("phones_all").alias("phones_all"),
                       joined("delivery_text_signals").alias("signals"), "contact_channels")
 
@@ -630,7 +630,7 @@ def phone_guard(spark, folder):
     number = [F.concat(F.lit("+234809"), F.lpad((k).cast("string"), 7, "0")) for k in (i % 40, i % 60, i % 90)]
     records = without_phones(spark, folder)
     found = records.filter("phone = ''").select("ord", F.array(*number).alias("phones"))
-    return enrich.guard_phones(records, found, [F.col("ord")], 3 * records.count()).select("ord", "phone")
+    return enrich.guard_phones(records, found, [F.col("ord")]).select("ord", "phone")
 
 
 @query
@@ -649,7 +649,7 @@ def api_candidates(spark, folder):
 @query
 def apply_details(spark, folder):
     records = businesses(spark, folder)
-    out = enrich.apply_details(records, place_details.parse_details(A.details(spark, folder)), TODAY, records.count())
+    out = enrich.apply_details(records, place_details.parse_details(A.details(spark, folder)), TODAY)
     return out.select("ord", "phone", joined("phones_all").alias("phones_all"), "website", "addr", "score_basis",
                       F.coalesce(F.col("meta")["order_online_url"], F.lit("")).alias("order_url"))
 
@@ -658,7 +658,7 @@ def apply_details(spark, folder):
 def apply_api(spark, folder):
     records = businesses(spark, folder)
     answers = place_details.latest_answers(A.api_answers(spark, folder))
-    out = enrich.apply_api(records, answers, "Google Places API (Dec 2026)", records.count())
+    out = enrich.apply_api(records, answers, "Google Places API (Dec 2026)")
     return out.select("ord", "phone", joined("phones_all").alias("phones_all"), "website", "reviews",
                       F.round("rating", 1).alias("rating"), F.size("sources_all").alias("n_sources"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placebook.functions.text import blank
-from placebook.operators.skew import HOT_ROWS, lookup
+from placebook.operators.skew import lookup
 from placebook.schema import BASIS_FLOOR, BASIS_FULL, COMPONENTS
 
 # fixed values: name parts of known chains (substrings, as they are meant)
@@ -103,13 +103,13 @@ def repeated_names(records: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_title")).filter("n_title > 1"))
 
 
-def score_records(records: DataFrame, n_rows: int, hot_rows: int = HOT_ROWS) -> DataFrame:
+def score_records(records: DataFrame) -> DataFrame:
     """Fill delivery_category, components, score, band and score_basis of every record.
 
     A name borne by several records marks a chain, counted over all records, in scope or not.
     """
     titled = records.withColumn("title", plain_title())
-    counted = lookup(titled, repeated_names(records), ["title"], n_rows, hot_rows=hot_rows)
+    counted = lookup(titled, repeated_names(records), ["title"])
     hints = F.array(*[F.lit(h) for h in CHAIN_HINTS])
     is_chain = F.exists(hints, lambda h: F.contains(F.col("title"), h)) | F.col("n_title").isNotNull()
     scored = (counted.withColumn("delivery_category", category_of())

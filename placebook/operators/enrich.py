@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from placebook.functions.contacts import SOCIAL_FIELDS, extract_contacts, is_social_site
 from placebook.functions.scoring import OTHER, category_of
 from placebook.functions.text import blank, clean_phone, first_filled
 from placebook.operators.matching import first_come
-from placebook.operators.skew import HOT_ROWS, lookup
+from placebook.operators.skew import lookup
 from placebook.schema import BASIS_FULL, CHANNELS, CORE_ZONE, OUTSIDE, RING_ZONE, UNASSIGNED
+from placebook.session import materialise
 from placebook.sources.map_cards import api_id_in, place_id_in
 
-# fixed values: extra paths of a site that are read, best first, and how many of them
+# fixed values: paths of a site that come after its home page, best first
 SITE_PATHS = ["/contact", "/contact-us", "/about", "/order", "/delivery"]
-EXTRA_PAGES = 3
 # fixed values: free calls per month and kind of API call
 FREE_CALLS = {"essentials": 10_000, "pro": 5_000, "enterprise": 1_000}
 DETAIL_URL = "https://www.google.com/maps/place/"
@@ -92,31 +92,44 @@ def quota(usage: DataFrame, ceiling_pct: int) -> DataFrame:
 
 # ------------------------------------------------------------------------ what was found
 
-def site_contacts(pages: DataFrame) -> DataFrame:
+def site_contacts(pages: DataFrame, paths: list[str] | None = None, limit: int | None = None) -> DataFrame:
     """Contacts per website from its saved pages (website, path, html): the lists of all pages united.
 
-    The home page comes first, then up to three of the known paths. A site has at most six such
-    pages, so its group is small whatever the size of the crawl.
+    Pages count in this order: the home page, the known paths, then the others by path. All stored pages
+    are read; `paths` (known ones to read besides the home page) and `limit` (so many of a site's pages)
+    narrow that. Of several versions of a page the latest by `fetched_at` counts, if there is that column;
+    equal ones settle by their text. Each distinct contact is kept, so a list is as long as the site's own.
     """
     rank = F.when(F.col("path").isin("", "/"), 0)
     for i, path in enumerate(SITE_PATHS, start=1):
         rank = rank.when(F.col("path") == path, i)
-    usable = pages.withColumn("rank", rank).filter("rank is not null and html != ''")
-    one_each = usable.groupBy("website", "rank").agg(F.max("html").alias("html"))
-    ranks = one_each.groupBy("website").agg(F.array_sort(F.collect_list("rank")).alias("ranks"))
-    read = F.concat(F.slice("ranks", 1, 1), F.slice("ranks", 2, EXTRA_PAGES))
-    chosen = one_each.join(ranks.filter(F.get("ranks", F.lit(0)) == 0).select("website", read.alias("read")), "website")
-    found = extract_contacts(chosen.filter(F.array_contains("read", F.col("rank"))))
+    usable = pages.withColumn("rank", F.struct(rank.otherwise(len(SITE_PATHS) + 1).alias("known"), F.col("path"))).filter("html != ''")
+    if paths is not None:
+        usable = usable.filter(F.col("path").isin("", "/", *paths))
+    version = F.struct("fetched_at", "html") if "fetched_at" in pages.columns else F.struct("html")
+    one_each = usable.groupBy("website", "rank").agg(F.max(version)["html"].alias("html"))
+    if limit is not None:
+        nth = F.row_number().over(Window.partitionBy("website").orderBy("rank"))
+        one_each = one_each.withColumn("nth", nth).filter(F.col("nth") <= limit).drop("nth")
     lists = ["emails", "phones", "whatsapp", *SOCIAL_FIELDS, "delivery"]
-    ordering = F.col("order_online") | (F.col("rank") == SITE_PATHS.index("/order") + 1)
-    page = F.struct("rank", *lists)
-    whole = found.groupBy("website").agg(F.array_sort(F.collect_list(page)).alias("p"),
-                                         F.bool_or(ordering).alias("order_online"))
-    return whole.select("website", *[_united(name).alias(name) for name in lists], "order_online")
+    ordering = F.col("order_online") | (F.col("rank.path") == "/order")
+    found = materialise(extract_contacts(one_each).select("website", "rank", *lists, ordering.alias("order_online")), "contacts")
 
+    def tagged(name: str) -> Column:
+        return F.transform(name, lambda v, i: F.struct(F.lit(name).alias("kind"), v.alias("value"), i.alias("pos")))
 
-def _united(name: str) -> Column:
-    return F.array_distinct(F.flatten(F.transform(F.col("p"), lambda e: e[name])))
+    items = F.concat(*map(tagged, lists))
+    each = (found.select("website", "rank", F.explode(items).alias("x")).groupBy("website", "x.kind", "x.value")
+            .agg(F.min(F.struct("rank", "x.pos")).alias("at")))
+
+    def listed(name: str) -> Column:
+        whole = F.collect_list(F.when(F.col("kind") == name, F.struct("at", "value")))
+        return F.transform(F.array_sort(whole), lambda e: e["value"])
+
+    whole = each.groupBy("website").agg(*[listed(name).alias(name) for name in lists])
+    sites = found.groupBy("website").agg(F.bool_or("order_online").alias("order_online")).join(whole, "website", "left")
+    none = F.array().cast("array<string>")
+    return sites.select("website", *[F.coalesce(name, none).alias(name) for name in lists], "order_online")
 
 
 def social_site_contacts(records: DataFrame) -> DataFrame:
@@ -128,8 +141,7 @@ def social_site_contacts(records: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------------ applying it
 
-def guard_phones(records: DataFrame, found: DataFrame, order: list[Column], n_rows: int,
-                 hot_rows: int = HOT_ROWS) -> DataFrame:
+def guard_phones(records: DataFrame, found: DataFrame, order: list[Column]) -> DataFrame:
     """Which found phone becomes a record's own: ord, phone.
 
     `found` has ord and phones (best first). A record without a phone takes the first found one that no
@@ -139,11 +151,11 @@ def guard_phones(records: DataFrame, found: DataFrame, order: list[Column], n_ro
     lacking = records.filter(blank("phone")).join(found.select("ord", "phones"), "ord")
     rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
     asked = lacking.select(F.col("ord").alias("record"), rank.alias("rank"), F.posexplode("phones").alias("pos", "phone"))
-    free = lookup(asked, used.withColumn("used", F.lit(True)), ["phone"], n_rows, hot_rows=hot_rows).filter("used is null")
+    free = lookup(asked, used.withColumn("used", F.lit(True)), ["phone"]).filter("used is null")
     wishes = free.groupBy("record", "rank").agg(F.transform(
         F.array_sort(F.collect_list(F.struct("pos", "phone"))),
         lambda e: F.struct(e["phone"].alias("key"), F.lit(0).alias("tag"))).alias("choices"))
-    served = first_come(wishes.select(F.struct("rank", "record").alias("ord"), "choices"), n_rows, hot_rows)
+    served = first_come(wishes.select(F.struct("rank", "record").alias("ord"), "choices"))
     return served.select(F.col("ord.record").alias("ord"), F.col("choice").alias("phone"))
 
 
@@ -163,15 +175,14 @@ def _with_phones(records: DataFrame, found: DataFrame, given: DataFrame, own_fir
             .withColumn("phone", first_filled("phone", "_granted")).drop("_granted", "found_phones"))
 
 
-def apply_site_contacts(records: DataFrame, contacts: DataFrame, n_rows: int, hot_rows: int = HOT_ROWS) -> DataFrame:
+def apply_site_contacts(records: DataFrame, contacts: DataFrame) -> DataFrame:
     """Fill records from the contacts of their website; nothing a record has is displaced."""
     columns = records.columns
     renamed = contacts.select("website", F.lit(True).alias("read"), *[
         F.col(c).alias(f"f_{c}") for c in contacts.columns if c != "website"])
-    sites = lookup(records.filter(~blank("website")).select("ord", "website"), renamed, ["website"], n_rows,
-                   "inner", hot_rows).drop("website")
+    sites = lookup(records.filter(~blank("website")).select("ord", "website"), renamed, ["website"], "inner").drop("website")
     found = sites.withColumn("found_phones", F.col("f_phones"))
-    granted = guard_phones(records, found.select("ord", F.col("f_phones").alias("phones")), site_order(), n_rows, hot_rows)
+    granted = guard_phones(records, found.select("ord", F.col("f_phones").alias("phones")), site_order())
     out = _with_phones(records, found, granted, own_first=False, relist=F.col("read"))
     none = F.array().cast("array<string>")
     signals = F.array_distinct(F.concat("delivery_text_signals", F.coalesce("f_delivery", none),
@@ -186,15 +197,15 @@ def apply_site_contacts(records: DataFrame, contacts: DataFrame, n_rows: int, ho
                           .otherwise(F.col("contact_channels"))).select(*columns)
 
 
-def apply_details(records: DataFrame, details: DataFrame, checked: str, n_rows: int, hot_rows: int = HOT_ROWS) -> DataFrame:
+def apply_details(records: DataFrame, details: DataFrame, checked: str) -> DataFrame:
     """Apply parsed detail pages (key, phone, website, addr, order_url, attrs); the basis becomes full."""
     columns = records.columns
     renamed = details.select("key", F.lit(True).alias("read"), *[
         F.col(c).alias(f"f_{c}") for c in details.columns if c != "key"])
     keyed = records.select("ord", detail_key().alias("key"))
-    found = (lookup(keyed, renamed, ["key"], n_rows, "inner", hot_rows).drop("key")
+    found = (lookup(keyed, renamed, ["key"], "inner").drop("key")
              .withColumn("found_phones", F.filter(F.array("f_phone"), lambda p: p != "")))
-    granted = guard_phones(records, found.select("ord", F.col("found_phones").alias("phones")), [F.col("ord")], n_rows, hot_rows)
+    granted = guard_phones(records, found.select("ord", F.col("found_phones").alias("phones")), [F.col("ord")])
     out = _with_phones(records, found, granted, own_first=True, relist=F.size("found_phones") > 0)
     none = F.create_map().cast("map<string,array<map<string,boolean>>>")
     old = F.coalesce("additional_info", none)
@@ -214,14 +225,14 @@ def apply_details(records: DataFrame, details: DataFrame, checked: str, n_rows:
     return out.withColumns(cols).select(*columns)
 
 
-def apply_api(records: DataFrame, answers: DataFrame, source_label: str, n_rows: int, hot_rows: int = HOT_ROWS) -> DataFrame:
+def apply_api(records: DataFrame, answers: DataFrame, source_label: str) -> DataFrame:
     """Apply API answers (key and the five fields): reviews are replaced, the rest is filled."""
     columns = records.columns
     keyed = records.select("ord", api_id_in("maps").alias("key")).filter("key != ''")
     number = clean_phone(first_filled("internationalPhoneNumber", "nationalPhoneNumber"))
-    found = (lookup(keyed, answers, ["key"], n_rows, "inner", hot_rows).drop("key")
+    found = (lookup(keyed, answers, ["key"], "inner").drop("key")
              .withColumn("read", F.lit(True)).withColumn("found_phones", F.filter(F.array(number), lambda p: p != "")))
-    granted = guard_phones(records, found.select("ord", F.col("found_phones").alias("phones")), [F.col("ord")], n_rows, hot_rows)
+    granted = guard_phones(records, found.select("ord", F.col("found_phones").alias("phones")), [F.col("ord")])
     out = _with_phones(records, found.withColumnRenamed("rating", "f_rating"), granted, own_first=True, relist=F.size("found_phones") > 0)
     listed = F.exists("sources_all", lambda s: F.contains(s, F.lit("Places API")))
     cols = {

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placebook.operators.skew import HOT_ROWS, lookup
+from placebook.operators.skew import lookup
 from placebook.session import materialise, materialise_counting
 
 
-def first_come(wishes: DataFrame, n_rows: int, hot_rows: int = HOT_ROWS) -> DataFrame:
+def first_come(wishes: DataFrame) -> DataFrame:
     """Serve records in the order of `ord`: ord, choices -> ord, choice, tag.
 
     `choices` is an array of structs (key, tag), best first. Taken one record after the other, a key goes
@@ -25,7 +25,7 @@ def first_come(wishes: DataFrame, n_rows: int, hot_rows: int = HOT_ROWS) -> Data
         best = asked.groupBy("key").agg(F.min("ord").alias("winner"))
         turned_away = F.expr("ord != winner and at + 1 < size(choices)")
         judged, n_lost = materialise_counting(
-            lookup(asked, best, ["key"], n_rows, hot_rows=hot_rows), "wishes", turned_away)
+            lookup(asked, best, ["key"]), "wishes", turned_away)
         won = judged.filter("ord = winner")
         if n_lost == 0:
             return won.select("ord", F.col("key").alias("choice"), F.get("choices", F.col("at"))["tag"].alias("tag"))

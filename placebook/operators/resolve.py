@@ -33,15 +33,13 @@ from placebook.functions.provenance import TRUST_LEVELS, trust
 from placebook.functions.rules import unclassified
 from placebook.functions.text import norm_addr, norm_name
 from placebook.operators.matching import first_come
-from placebook.operators.skew import HOT_ROWS, lookup
+from placebook.operators.skew import lookup
 from placebook.schema import MULTI_SOURCE, QUIET_FIELDS, RECORD, SURVIVING_NUMBERS, SURVIVING_TEXT, conform
 from placebook.session import materialise, materialise_counting
 
 # fixed values: key levels, strongest first
 LEVELS = ["pid", "p", "na", "n"]
 PID, PHONE, NAME_ADDR, NAME = range(4)
-# lists longer than this stay in their own table and out of the record
-LIST_BOUND = 1_000
 
 
 def address_key(addr: Column | str) -> Column:
@@ -73,10 +71,10 @@ def match_keys(keyed: DataFrame) -> DataFrame:
             .filter("key != ''"))
 
 
-def _link(keys: DataFrame, firsts: DataFrame, has_id: DataFrame, n_keys: int, hot_rows: int) -> DataFrame:
+def _link(keys: DataFrame, firsts: DataFrame, has_id: DataFrame) -> DataFrame:
     """Per record: the first earlier record under each of its keys (f0..f3, NULL if none)."""
     shared = firsts.filter("n > 1").select("level", "key", "first")
-    found = lookup(keys, shared, ["level", "key"], n_keys, hot_rows=hot_rows).filter("first < ord")
+    found = lookup(keys, shared, ["level", "key"]).filter("first < ord")
     wide = found.groupBy("ord").agg(*[
         F.min(F.when(F.col("level") == i, F.col("first"))).alias(f"f{i}") for i in range(4)])
     return has_id.join(wide, "ord", "left")
@@ -96,7 +94,7 @@ def _parents(links: DataFrame) -> DataFrame:
                         newcomer.alias("newcomer"))
 
 
-def _hub_tops(forest: DataFrame, n_rows: int, hot_rows: int) -> DataFrame:
+def _hub_tops(forest: DataFrame) -> DataFrame:
     """For every record that others point to: hub, the top of its tree, whether the top is a newcomer.
 
     Pointer doubling: the reach doubles per round, so the rounds grow with the log of the depth.
@@ -116,19 +114,18 @@ def _hub_tops(forest: DataFrame, n_rows: int, hot_rows: int) -> DataFrame:
     while inner:
         step = tops.filter("not is_top").select(F.col("hub").alias("top"), F.col("top").alias("next"))
         # a stored step goes as far as two jumps of up to two hops each, to need fewer of them
-        jump = lookup(step, step.select(F.col("top").alias("next"), F.col("next").alias("after")), ["next"], n_rows,
-                      hot_rows=hot_rows).select("top", F.coalesce("after", "next").alias("next"))
-        moved = lookup(lookup(tops, jump, ["top"], n_rows, hot_rows=hot_rows).select(
+        jump = lookup(step, step.select(F.col("top").alias("next"), F.col("next").alias("after")), ["next"]).select("top", F.coalesce("after", "next").alias("next"))
+        moved = lookup(lookup(tops, jump, ["top"]).select(
             "hub", F.coalesce("next", "top").alias("top"), "child_id", "is_top", F.col("next").isNotNull().alias("once")),
-            jump, ["top"], n_rows, hot_rows=hot_rows)
+            jump, ["top"])
         tops, inner = materialise_counting(moved.select(
             "hub", F.coalesce("next", "top").alias("top"), "child_id", "is_top",
             (F.col("once") | F.col("next").isNotNull()).alias("moved")), "hub-tops", F.col("moved"))
         tops = tops.drop("moved")
-    return lookup(tops.select("hub", "top", "child_id"), ends, ["top"], n_rows, hot_rows=hot_rows)
+    return lookup(tops.select("hub", "top", "child_id"), ends, ["top"])
 
 
-def _match_newcomers(forest: DataFrame, tops: DataFrame, n_rows: int, hot_rows: int) -> DataFrame:
+def _match_newcomers(forest: DataFrame, tops: DataFrame) -> DataFrame:
     """Which newcomer joins which business: ord, home, via. Newcomers that join none are absent."""
     first_id = (tops.groupBy("top").agg(F.min("child_id").alias("c"), F.max("top_id").alias("o"))
                 .select("top", F.least("c", "o").alias("first_id")))
@@ -137,7 +134,7 @@ def _match_newcomers(forest: DataFrame, tops: DataFrame, n_rows: int, hot_rows:
     news = forest.filter("newcomer").select("ord", "a", "b")
 
     def door(df: DataFrame, side: str, out: str) -> DataFrame:
-        found = lookup(df, doors.withColumnRenamed("hub", side), [side], n_rows, hot_rows=hot_rows)
+        found = lookup(df, doors.withColumnRenamed("hub", side), [side])
         open_ = F.col("first_id").isNull() | (F.col("first_id") > F.col("ord"))
         return found.withColumn(out, F.when(open_, F.col("top"))).drop("top", "first_id", side)
 
@@ -148,20 +145,19 @@ def _match_newcomers(forest: DataFrame, tops: DataFrame, n_rows: int, hot_rows:
 
     other = F.when(~F.col("rb").eqNullSafe(F.col("ra")), choice("rb", NAME))
     wishes = tries.select("ord", F.array_compact(F.array(choice("ra", NAME_ADDR), other)).alias("choices"))
-    return first_come(wishes, n_rows, hot_rows).select(
+    return first_come(wishes).select(
         "ord", F.col("choice").alias("home"), F.col("tag").alias("via"))
 
 
-def _clusters(links: DataFrame, n_rows: int, hot_rows: int) -> DataFrame:
+def _clusters(links: DataFrame) -> DataFrame:
     """ord, cluster (ord of the business's first record), via (level, NULL for that first record)."""
     forest = _parents(links)
-    tops = materialise(_hub_tops(forest, n_rows, hot_rows), "tops")
-    homes = materialise(_match_newcomers(forest, tops, n_rows, hot_rows), "homes")
+    tops = materialise(_hub_tops(forest), "tops")
+    homes = materialise(_match_newcomers(forest, tops), "homes")
     moved = homes.select(F.col("ord").alias("top"), "home")
-    final = (lookup(tops.select("hub", "top"), moved, ["top"], n_rows, hot_rows=hot_rows)
+    final = (lookup(tops.select("hub", "top"), moved, ["top"])
              .select(F.col("hub").alias("parent"), F.coalesce("home", "top").alias("cluster")))
-    child = lookup(forest.filter("parent is not null").select("ord", "via", "parent"), final, ["parent"],
-                   n_rows, hot_rows=hot_rows).select("ord", "cluster", "via")
+    child = lookup(forest.filter("parent is not null").select("ord", "via", "parent"), final, ["parent"]).select("ord", "cluster", "via")
     alone = (forest.filter("parent is null").select("ord")
              .join(homes, "ord", "left")
              .select("ord", F.coalesce("home", "ord").alias("cluster"), "via"))
@@ -207,21 +203,20 @@ def _borrowed_keys(keyed: DataFrame, clusters: DataFrame, firsts: DataFrame) ->
     return events.join(own, "key").filter("borrowed < first").select("key", F.col("borrowed").alias("first"))
 
 
-def resolve(records: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def resolve(records: DataFrame) -> DataFrame:
     """Assign every nameable record to its business: ord, cluster, via.
 
     `records` need ord (unique), name, addr, place_id, phone, source, sources_all.
     """
     cols = ["ord", "name", "addr", "place_id", "phone", "source", "sources_all"]
     keyed, _ = split_nameless(records.select(*cols))
-    keyed, n_rows = materialise_counting(keyed, "keyed", F.lit(True))
-    n_keys = 4 * n_rows
+    keyed = materialise(keyed, "keyed")
     has_id = keyed.select("ord", (F.col("place_id") != "").alias("has_id"))
     keys = match_keys(keyed)
     firsts = materialise(
         keys.groupBy("level", "key").agg(F.min("ord").alias("first"), F.count(F.lit(1)).alias("n")), "firsts")
-    links = materialise(_link(keys, firsts, has_id, n_keys, hot_rows), "links")
-    clusters = _clusters(links, n_rows, hot_rows)
+    links = materialise(_link(keys, firsts, has_id), "links")
+    clusters = _clusters(links)
     seen = None
     while True:
         borrowed = materialise(_borrowed_keys(keyed, clusters, firsts), "borrowed")
@@ -229,24 +224,23 @@ def resolve(records: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         if (seen is None and mark[0] == 0) or mark == seen:
             return clusters
         seen = mark
-        corrected = (lookup(keys.filter(F.col("level") == NAME_ADDR), borrowed, ["key"], n_keys, "inner", hot_rows)
+        corrected = (lookup(keys.filter(F.col("level") == NAME_ADDR), borrowed, ["key"], "inner")
                      .filter("first < ord").select("ord", F.col("first").alias("fixed")))
-        moved, n_moved = materialise_counting(_moved(corrected, links, clusters, n_rows, hot_rows), "moved",
+        moved, n_moved = materialise_counting(_moved(corrected, links, clusters), "moved",
                                               F.expr("was != now"))
         if n_moved == 0:
             return _relabelled(clusters, moved)
         fixed = (links.join(corrected, "ord", "left").withColumn("f2", F.coalesce("fixed", "f2")).drop("fixed"))
-        clusters = _clusters(materialise(fixed, "links"), n_rows, hot_rows)
+        clusters = _clusters(materialise(fixed, "links"))
 
 
-def _moved(corrected: DataFrame, links: DataFrame, clusters: DataFrame, n_rows: int, hot_rows: int) -> DataFrame:
+def _moved(corrected: DataFrame, links: DataFrame, clusters: DataFrame) -> DataFrame:
     """Corrected records that look by name: the business they found (was) and the one they would find (now)."""
     by_name = links.filter("f0 is null and f1 is null").select("ord", F.coalesce("f2", "f3").alias("weak"))
     asked = corrected.join(by_name, "ord")
     home = clusters.select("ord", "cluster")
     for col, out in (("weak", "was"), ("fixed", "now")):
-        asked = lookup(asked, home.select(F.col("ord").alias(col), F.col("cluster").alias(out)), [col], n_rows,
-                       hot_rows=hot_rows)
+        asked = lookup(asked, home.select(F.col("ord").alias(col), F.col("cluster").alias(out)), [col])
     return asked.select("ord", "was", "now")
 
 
@@ -291,7 +285,8 @@ def merge_state(members: DataFrame) -> DataFrame:
     for f in _TRACKED:
         aggs.append(F.min(F.when(_filled(f), F.struct("ord", f))).alias(f"s_{f}"))
     aggs.append(F.min(F.when(_filled("lat"), F.struct("ord", "lat", "lng"))).alias("s_lat"))
-    aggs.append(F.min(F.when(~unclassified(), F.struct("ord", "grp", "sub"))).alias("s_class"))
+    aggs.append(F.min(F.when(~unclassified() & (F.col("sub") != ""), F.struct("ord", "grp", "sub"))).alias("s_class"))
+    aggs.append(F.min_by(F.struct("meta"), F.when(F.col("meta").isNotNull(), F.col("ord"))).alias("s_meta"))
     kept = [c for c in RECORD.names if c not in {"ord", "lat", "lng", *_TRACKED} and c in members.columns]
     aggs.append(F.min_by(F.struct(*kept), F.col("ord")).alias("head"))
     aggs.append(F.count(F.lit(1)).alias("n_sightings"))
@@ -329,8 +324,8 @@ def survivors(state: DataFrame, lists: DataFrame) -> DataFrame:
     cols["source"] = F.when(~alone & (F.size(F.array_distinct("all_sources")) > 1), F.lit(MULTI_SOURCE)).otherwise(
         head["source"])
     cols["phones_all"] = F.when(alone, head["phones_all"]).otherwise(
-        F.when(F.coalesce("phones_cut", F.lit(False)), F.lit(None).cast("array<string>"))
-        .otherwise(F.coalesce("all_phones", F.array().cast("array<string>"))))
+        F.coalesce("all_phones", F.array().cast("array<string>")))
+    cols["meta"] = F.col("s_meta")["meta"]
     cols["delivery_text_signals"] = F.when(alone, head["delivery_text_signals"]).otherwise(
         F.coalesce("all_signals", F.array().cast("array<string>")))
     cols["additional_info"] = F.when(alone, head["additional_info"]).otherwise(F.col("all_info"))
@@ -357,21 +352,18 @@ def list_items(members: DataFrame) -> DataFrame:
             .select("cluster", "kind", "value", "at.ord", "at.pos"))
 
 
-def united_lists(items: DataFrame, members: DataFrame, n_rows: int, bound: int = LIST_BOUND,
-                 hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The lists as arrays per business. A phone list beyond `bound` is left to `list_items`."""
-    long = (items.filter("kind = 'phone'").groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
-            .filter(F.col("n") > bound).select("cluster", F.lit(True).alias("cut")))
-    fits = lookup(items, long, ["cluster"], n_rows, hot_rows=hot_rows).filter(
-        (F.col("kind") != "phone") | F.col("cut").isNull())
+def united_lists(items: DataFrame, members: DataFrame) -> DataFrame:
+    """The lists as arrays per business: every distinct element, however many there are.
 
+    Duplicates are gone before this, so a list is as long as the record's own field must be.
+    """
     def listed(kind: str) -> Column:
         found = F.collect_list(F.when(F.col("kind") == kind, F.struct("ord", "pos", "value")))
         return F.transform(F.array_sort(found), lambda e: e["value"])
 
-    lists = fits.groupBy("cluster").agg(
+    lists = items.groupBy("cluster").agg(
         listed("source").alias("all_sources"), listed("phone").alias("all_phones"),
-        listed("signal").alias("all_signals"), F.max("cut").alias("phones_cut"))
+        listed("signal").alias("all_signals"))
     info = (members.filter("additional_info is not null")
             .select("ord", "cluster", F.explode("additional_info").alias("g", "entries"))
             .groupBy("cluster", "g").agg(F.min_by("entries", "ord").alias("entries"))
@@ -379,21 +371,21 @@ def united_lists(items: DataFrame, members: DataFrame, n_rows: int, bound: int =
     return lists.join(info, "cluster", "left")
 
 
-def merge_events(members: DataFrame, state: DataFrame, items: DataFrame, n_rows: int,
-                 hot_rows: int = HOT_ROWS) -> DataFrame:
+def merge_events(members: DataFrame, state: DataFrame, items: DataFrame) -> DataFrame:
     """Every sighting that joined a business, beside the business as it stood just before.
 
     The state per business is small and joins back to its sightings; the values of that moment follow
     from the leaders and fillers that came earlier.
     """
-    second = (items.filter("kind = 'source'").groupBy("cluster")
-              .agg(F.array_sort(F.collect_list(F.struct("ord", "pos"))).alias("at"))
-              .select("cluster", F.try_element_at("at", F.lit(2))["ord"].alias("second_source")))
+    sources = items.filter("kind = 'source'").select("cluster", F.struct("ord", "pos").alias("at"))
+    first = sources.groupBy("cluster").agg(F.min("at").alias("first"))
+    second = (sources.join(first, "cluster").filter("at > first")
+              .groupBy("cluster").agg(F.min("at")["ord"].alias("second_source")))
     before = state.select("cluster", "leaders", *[f"s_{f}" for f in _TRACKED], "s_lat",
                           F.col("head")["name"].alias("kept_name"), F.col("head")["source"].alias("head_source"))
     before = before.join(second, "cluster", "left")
     joined = members.filter("ord != cluster").withColumn("t", _effective_trust())
-    rows = lookup(joined, before, ["cluster"], n_rows, hot_rows=hot_rows)
+    rows = lookup(joined, before, ["cluster"])
     rows = rows.withColumn("earlier", F.filter("leaders", lambda e: e["ord"] < F.col("ord")))
     rows = rows.withColumn("lead", F.element_at("earlier", -1))
     return rows.withColumn("wins", F.col("t") > F.col("lead")["t"])
@@ -457,23 +449,33 @@ def decisions(events: DataFrame, dropped: DataFrame) -> DataFrame:
 class Resolution:
     """One run of entity resolution and the tables that come out of it, each computed on demand."""
 
-    def __init__(self, records: DataFrame, hot_rows: int = HOT_ROWS, list_bound: int = LIST_BOUND):
+    def __init__(self, records: DataFrame):
         records = conform(records)
-        self.hot_rows = hot_rows
-        self.clusters = resolve(records, hot_rows)
+        self.clusters = resolve(records)
         _, self.dropped = split_nameless(records)
-        members = records.join(self.clusters, "ord")
-        self.members, self.n_rows = materialise_counting(members, "members", F.lit(True))
-        self.items = list_items(self.members)
-        self.state = merge_state(self.members)
-        self.list_bound = list_bound
+        self.members = materialise(records.join(self.clusters, "ord"), "members")
+        # businesses, conflicts and decisions all read these two: worked out once, when first asked for
+        self._stored: dict[str, DataFrame] = {}
+
+    def _once(self, name: str, make) -> DataFrame:
+        if name not in self._stored:
+            self._stored[name] = materialise(make(self.members), name)
+        return self._stored[name]
+
+    @property
+    def items(self) -> DataFrame:
+        return self._once("items", list_items)
+
+    @property
+    def state(self) -> DataFrame:
+        return self._once("state", merge_state)
 
     def businesses(self) -> DataFrame:
-        lists = united_lists(self.items, self.members, 4 * self.n_rows, self.list_bound, self.hot_rows)
+        lists = united_lists(self.items, self.members)
         return survivors(self.state, lists)
 
     def events(self) -> DataFrame:
-        return merge_events(self.members, self.state, self.items, self.n_rows, self.hot_rows)
+        return merge_events(self.members, self.state, self.items)
 
     def conflicts(self) -> DataFrame:
         return conflicts(self.events())

@@ -3,37 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# a key with fewer rows than this needs no care: one task streams that many narrow rows at ease
-HOT_ROWS = 1_000_000
-# at most this many keys can hold more than 1/HOT_KEYS of the rows, so their list may be broadcast
-HOT_KEYS = 10_000
 
+def lookup(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Join facts to a dim that holds each key once.
 
-def lookup(facts: DataFrame, dim: DataFrame, on: list[str], total_rows: int, how: str = "left",
-           hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Join facts to a dim that holds each key once, without sending a hot key to a single task.
-
-    A key is hot when it holds at least max(hot_rows, total/HOT_KEYS) of the `total_rows` facts; there
-    are never more than HOT_KEYS such keys, which bounds the broadcast below. Facts of a hot key are
-    spread over enough salts to bring each below that size, and the key's one dim row is repeated per
-    salt (fewer than 2 * HOT_KEYS rows in all). Every other key joins as usual. The salt is a hash of
-    the row, not a random number, so a task that is run again sends its rows the same way.
+    A hot key, or the rows without a key, make a large partition of the facts; adaptive execution splits
+    it by size and repeats the one dim row for each part (`session.SETTINGS` switch that on). Both sides
+    should come from storage or a plain projection of it, so that their shuffles feed the join directly.
     """
-    if total_rows <= hot_rows:
-        return facts.join(dim, on, how)
-    limit = max(hot_rows, total_rows // HOT_KEYS)
-    hot = (facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= limit)
-           .select(*on, F.ceil(F.col("_n") / limit).cast("int").alias("_salts")))
-    hot = F.broadcast(hot)
-    rest = [f.name for f in facts.schema.fields
-            if f.name not in on and "map<" not in f.dataType.simpleString()]
-    salted = (facts.join(hot, on, "left")
-              .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
-                          .otherwise(F.pmod(F.xxhash64(*rest), F.col("_salts")).cast("int")))
-              .drop("_salts"))
-    spread = (dim.join(hot, on, "left")
-              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
-              .drop("_salts"))
-    return salted.join(spread, [*on, "_salt"], how).drop("_salt")
+    return facts.join(dim, on, how)

@@ -25,7 +25,7 @@ from placebook.operators.ordering import census_order, number_rows, prospect_ord
 from placebook.operators.priority import assign_priority, split_pois
 from placebook.operators.resolve import Resolution
 from placebook.schema import conform
-from placebook.session import materialise, spread
+from placebook.session import materialise
 from placebook.sources.raw_store import write_metrics, write_reports, write_stage
 from placebook.taxonomy import Taxonomy
 
@@ -102,25 +102,24 @@ def enrich_records(records: DataFrame, today: str, sites: DataFrame | None = Non
     sites: per website (`enrich.site_contacts`), details: per place (`parse_details`), answers: per API
     id (`latest_answers`). Each step is stored, since a number given away in one is taken in the next.
     """
-    n = records.count()
     if sites is not None:
-        records = materialise(enrich.apply_site_contacts(records, sites, n), "sites")
+        records = materialise(enrich.apply_site_contacts(records, sites), "sites")
     if details is not None:
-        records = materialise(enrich.apply_details(records, details, today, n), "details")
+        records = materialise(enrich.apply_details(records, details, today), "details")
     if answers is not None:
         label = f"Google Places API ({date.fromisoformat(today).strftime('%b %Y')})"
-        records = materialise(enrich.apply_api(records, answers, label, n), "answers")
+        records = materialise(enrich.apply_api(records, answers, label), "answers")
     return records
 
 
-def score(records: DataFrame, n_rows: int) -> DataFrame:
+def score(records: DataFrame) -> DataFrame:
     """Scored prospects; records of other trades leave after scoring."""
-    return in_scope(score_records(records, n_rows))
+    return in_scope(score_records(records))
 
 
 def census(records: DataFrame, profile: Profile, today: str) -> dict[str, DataFrame]:
     """From mapped records to the census: stages and reports by name."""
-    ready = materialise(conform(classify(place(spread(records), profile, today), profile)), "classified")
+    ready = materialise(conform(classify(place(records, profile, today), profile)), "classified")
     resolution = Resolution(ready)
     kept, dropped = finish_businesses(resolution.businesses(), profile)
     kept = materialise(kept, "businesses")

@@ -68,16 +68,3 @@ def materialise_counting(df: DataFrame, name: str, test: Column) -> tuple[DataFr
     seen = Observation()
     out = materialise(df.observe(seen, F.count_if(test).alias("n")), name)
     return out, seen.get["n"]
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """On a local master, give every core work on an input of a few small files.
-
-    On a cluster the input comes in enough splits, and this does nothing. Only the file list is asked
-    for; nothing runs.
-    """
-    context = df.sparkSession.sparkContext
-    if not context.master.startswith("local"):
-        return df
-    cores = context.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df

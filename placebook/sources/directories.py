@@ -20,6 +20,9 @@ SITES = {"finelib": ("Finelib", "https://www.finelib.com"),
          "businesslist": ("BusinessList.com.ng", "https://www.businesslist.com.ng")}
 LISTING = ("site string, page_no int, page string, pos int, name string, listing_id string, url string, addr string, "
            "phone string, lat string, lng string, desc string, sponsored boolean")
+# tags that a new tag of their kind, or the end of what holds them, closes
+_SIBLINGS = {"p": {"p"}, "li": {"li"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}}
+_HOLDS = {"ul", "ol", "table", "tbody", "thead", "select", "div", "section", "article", "body", "html"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
@@ -35,6 +38,12 @@ class _Page(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         node = [tag, {k: v or "" for k, v in attrs}, []]
+        closes = _SIBLINGS.get(tag, {"p"} if tag in _HOLDS else set())
+        depth = len(self.open) - 1
+        while depth > 0 and closes and self.open[depth][0] not in _HOLDS:
+            if self.open[depth][0] in closes:
+                del self.open[depth:]
+            depth -= 1
         self.open[-1][2].append(node)
         if tag not in _VOID:
             self.open.append(node)
@@ -51,23 +60,32 @@ class _Page(HTMLParser):
         self.open[-1][2].append(data)
 
 
+def _walk(node, skip: tuple[str, ...] = ()) -> Iterator:
+    """Descendants in page order, however deep; what lies in skipped tags is left out."""
+    todo = [iter(node[2])]
+    while todo:
+        child = next(todo[-1], None)
+        if child is None:
+            todo.pop()
+        elif isinstance(child, str):
+            yield child
+        elif child[0] not in skip:
+            yield child
+            todo.append(iter(child[2]))
+
+
 def _find(node, tag: str, classes: str = "", test=None) -> Iterator[list]:
     """Descendants with a tag, all the classes, and the test, in page order."""
-    for child in node[2]:
-        if isinstance(child, str):
-            continue
-        have = child[1].get("class", "").split()
-        if child[0] == tag and all(c in have for c in classes.split()) and (test is None or test(child)):
-            yield child
-        yield from _find(child, tag, classes, test)
+    for child in _walk(node):
+        if not isinstance(child, str) and child[0] == tag:
+            have = child[1].get("class", "").split()
+            if all(c in have for c in classes.split()) and (test is None or test(child)):
+                yield child
 
 
 def _strings(node) -> Iterator[str]:
-    for child in node[2]:
-        if not isinstance(child, str):
-            if child[0] not in ("script", "style"):
-                yield from _strings(child)
-        elif child.strip():
+    for child in _walk(node, ("script", "style")):
+        if isinstance(child, str) and child.strip():
             yield child.strip()
 
 
@@ -124,23 +142,38 @@ def _layout_companies(html: str) -> Iterator[dict]:
 _LAYOUTS = {"finelib": _layout_boxes, "businesslist": _layout_companies}
 
 
-def parse_listings(pages: DataFrame) -> DataFrame:
-    """Listings of directory pages (site, page_no, url, html), before any clean-up."""
-    columns = [f.split()[0] for f in LISTING.split(", ")]
+def _read_pages(pages: DataFrame) -> DataFrame:
+    """Listings as they stand on the pages; a page that can't be read gives one row with the error."""
+    columns = [f.split()[0] for f in (LISTING + ", error string").split(", ")]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for page in batch.itertuples(index=False):
-                for pos, item in enumerate(_LAYOUTS[page.site](page.html)):
-                    rows.append({"listing_id": "", "lat": "", "lng": "", "sponsored": False, **item,
-                                 "site": page.site, "page_no": page.page_no, "page": page.url, "pos": pos})
+                own = dict.fromkeys(columns, "") | {"site": page.site, "page_no": page.page_no, "page": page.url, "pos": 0, "sponsored": False, "error": None}
+                try:
+                    found = list(_LAYOUTS[page.site](page.html or ""))
+                except Exception as e:  # one page must not stop the job: `unreadable_pages` shows it
+                    rows.append(own | {"error": f"{type(e).__name__}: {e}"})
+                    continue
+                rows += [own | item | {"pos": pos} for pos, item in enumerate(found)]
             yield pd.DataFrame(rows, columns=columns)
 
-    raw = pages.select("site", "page_no", "url", "html").mapInPandas(read, LISTING)
+    return pages.select("site", "page_no", "url", "html").mapInPandas(read, LISTING + ", error string")
+
+
+def unreadable_pages(pages: DataFrame) -> DataFrame:
+    """Pages whose reading failed: site, page_no, url, error. Empty means all is well."""
+    return _read_pages(pages).filter("error is not null").select("site", "page_no", F.col("page").alias("url"), "error")
+
+
+def parse_listings(pages: DataFrame) -> DataFrame:
+    """Listings of directory pages (site, page_no, url, html), before any clean-up."""
+    raw = _read_pages(pages).filter("error is null")
     base = F.when(F.col("site") == "finelib", SITES["finelib"][1]).otherwise(SITES["businesslist"][1])
     number_in_url = F.regexp_extract("url", r"/listing/[^/]+/(\d+)", 1)
-    trail = F.slice(F.split(F.regexp_replace("page", "^[a-z]+://[^/]*|[?#].*$", ""), "/"), 6, 100)
+    parts = F.split(F.regexp_replace("page", "^[a-z]+://[^/]*|[?#].*$", ""), "/")
+    trail = F.slice(parts, F.lit(6), F.size(parts))
     return raw.select(
         "site", "page_no", "page", "pos", "name",
         F.when(F.col("site") == "finelib", number_in_url).otherwise(F.col("listing_id")).alias("listing_id"),
@@ -152,15 +185,20 @@ def parse_listings(pages: DataFrame) -> DataFrame:
 
 
 def category_links(pages: DataFrame) -> DataFrame:
-    """Links of the category lists that lead below the page's own path: url, link."""
+    """Links of the category lists that lead below the page's own path: url, pos, link."""
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for url, html in zip(batch["url"], batch["html"], strict=True):
+                links = [a[1]["href"] for box in _find(_Page(html or "").root, "div", "category-list")
+                         for a in _find(box, "a", test=lambda a: "href" in a[1])]
+                rows += [(url, pos, href) for pos, href in enumerate(dict.fromkeys(links))]
+            yield pd.DataFrame(rows, columns=["url", "pos", "href"])
+
+    found = pages.filter(F.contains("html", F.lit("category-list"))).select("url", "html").mapInPandas(read, "url string, pos int, href string")
     path = F.regexp_replace(F.regexp_replace("url", "^[a-z]+://[^/]*|[?#].*$", ""), "/+$", "")
-    lists = F.regexp_extract_all("html", F.lit(r'(?is)<div[^>]*class="[^"]*\bcategory-list\b[^"]*"[^>]*>.*?</div>'),
-                                 F.lit(0))
-    links = F.flatten(F.transform(lists, lambda b: F.regexp_extract_all(
-        b, F.lit(r'(?i)<a\b[^>]*\bhref="([^"]*)"'), F.lit(1))))
-    below = F.filter(links, lambda h: F.startswith(F.regexp_replace(h, "/+$", ""), F.concat(path, F.lit("/"))))
-    return pages.select("url", F.posexplode(below).alias("pos", "href")).select(
-        "url", "pos", F.concat(F.lit(SITES["finelib"][1]), "href").alias("link"))
+    below = F.startswith(F.regexp_replace("href", "/+$", ""), F.concat(path, F.lit("/")))
+    return found.filter(below).select("url", "pos", F.concat(F.lit(SITES["finelib"][1]), "href").alias("link"))
 
 
 def broken_pages(pages: DataFrame, listings: DataFrame) -> DataFrame:

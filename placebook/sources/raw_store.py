@@ -29,7 +29,9 @@ def read_raw(spark: SparkSession, root: str, source: str, schema: T.StructType)
     full = T.StructType([*schema.fields, T.StructField("row_id", T.LongType()), T.StructField("batch", T.LongType())])
     try:
         return spark.read.schema(full).parquet(f"{root}/source={source}")
-    except AnalysisException:
+    except AnalysisException as e:                               # anything but a missing path is an error
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], full)
 
 

@@ -9,11 +9,12 @@ duckdb = pytest.importorskip("duckdb")
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(FOLDER), reason="test tables not here")
 
-import __spark_entry__ as entry  # noqa: E402
+from placebook.catalog import oracles  # noqa: E402
+from placebook.catalog.queries import QUERIES  # noqa: E402
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
-ORACLES = entry.oracle_sql()
+ORACLES = oracles.build()
 
 
 @pytest.fixture(scope="module")
@@ -30,14 +31,19 @@ def plain(v):
     return round(float(v), 6) if hasattr(v, "as_tuple") else v
 
 
+def test_the_entry_registers_them_all():
+    import __spark_entry__ as entry
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(entry.queries())
-    assert set(entry.queries()) - set(ORACLES) == {"spot_check"}       # a sample, the same for the same run
+    assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) - set(ORACLES) == {"spot_check"}       # a sample, the same for the same run
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, db, name):
-    df = entry.queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     cols = sorted(df.columns)
     got = sorted((tuple(plain(r[c]) for c in cols) for r in df.collect()), key=repr)
     if name not in ORACLES:
