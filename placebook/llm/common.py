@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from placebook.session import materialise, scratch_path
@@ -51,9 +51,34 @@ def crc_mod(doc_id: Column, n: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % n
 
 
+def _place(key: str) -> Column:
+    """A place in [0, 1) by hash, the same in every run."""
+    return F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit("sample")), 11) / F.lit(float(1 << 53))
+
+
+#: A sample is cut from so many times its rows, chosen by hash; what meets in one task is bounded by that.
+SPARE = 4
+
+
 def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """At most `rows` rows, the same in every run: those whose key has the smallest hashes."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit("sample")), F.col(key)).limit(rows)
+    """At most `rows` rows, the same in every run: those whose key has the smallest hashes.
+
+    A count comes first, so that only some SPARE * rows rows leave their tasks, whatever the input's size.
+    """
+    share = min(1.0, SPARE * rows / max(df.count(), 1))
+    return df.filter(_place(key) < share).orderBy(_place(key), F.col(key)).limit(rows)
+
+
+def sample_of_each(df: DataFrame, by: str, key: str, rows: int, classes: int, counted: DataFrame | None = None) -> DataFrame:
+    """At most `rows` rows for each value of `by`, of its `classes` most frequent values; `nth` numbers them.
+
+    `counted` may be a narrower table with `by` to count the classes in. Their counts, `classes` rows at most,
+    are broadcast to thin the rows before they are gathered by class.
+    """
+    sizes = (df if counted is None else counted).groupBy(by).agg(F.count("*").alias("_size")).orderBy(F.col("_size").desc(), by).limit(classes)
+    thin = df.join(F.broadcast(sizes), by).filter(_place(key) < F.lit(SPARE * rows) / F.col("_size")).drop("_size")
+    order = Window.partitionBy(by).orderBy(_place(key), key)
+    return thin.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= rows)
 
 
 def batches(of: pa.RecordBatch, column: str, max_bytes: int = 4 << 20):
@@ -95,4 +120,4 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 __all__ = ["Scratch", "WORD", "ascii_lower", "batches", "bounded_sample", "crc_mod", "fresh", "materialise", "mix64",
-           "utf8_buffer"]
+           "sample_of_each", "utf8_buffer"]

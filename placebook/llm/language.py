@@ -5,7 +5,8 @@ TF times IDF, normalised. Each language has CENTROIDS clusters of its training s
 a text gets the language of the centroid with the highest cosine. It is rejected when its best cosine lies
 below what training snippets of its length reach at least, times a margin.
 
-The model is fitted on a bounded sample: at most SAMPLE_ROWS rows per language and MAX_SAMPLE in all, those
+The model is fitted on a bounded sample: at most SAMPLE_ROWS rows for each of the LANGUAGES most
+frequent languages and MAX_SAMPLE in all, those
 with the smallest hashes, one snippet of SNIPPET characters each. Judging reads every whole text.
 
 Null texts and texts without a letter are `und` with score 0, and rejected. Without training rows every text
@@ -21,14 +22,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from placebook.llm.common import batches, mix64, utf8_buffer
+from placebook.llm.common import batches, mix64, sample_of_each, utf8_buffer
 
 DIMS, CENTROIDS = 8192, 3
-SAMPLE_ROWS, MAX_SAMPLE, SNIPPET = 400, 8000, 1500
+SAMPLE_ROWS, LANGUAGES, MAX_SAMPLE, SNIPPET = 400, 500, 8000, 1500
 LENGTHS = (16, 32, 64, 128, 256, 512, 1024)
 MARGIN, TEMPERATURE = 0.6, 0.05
 PIECE = 1 << 21
@@ -108,12 +109,11 @@ def _clusters(x: np.ndarray, k: int) -> np.ndarray:
 
 def train(docs: DataFrame) -> Model:
     """docs (doc_id, text, lang): the rows to learn from."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit("language")), "doc_id")
     cut = F.pmod(F.xxhash64("doc_id"), F.greatest(F.length("text") - SNIPPET, F.lit(0)) + 1) + 1
-    rows = (docs.filter("text is not null and lang is not null and text rlike '[A-Za-z\\\\u0080-\\\\uFFFF]'")
-            .select("lang", "doc_id", F.substr("text", cut.cast("int"), F.lit(SNIPPET)).alias("text"))
-            .withColumn("n", F.row_number().over(order)).filter(F.col("n") <= SAMPLE_ROWS)
-            .orderBy("n", "lang").limit(MAX_SAMPLE).select("lang", "text").collect())
+    able = docs.filter("text is not null and lang is not null and text rlike '[A-Za-z\\\\u0080-\\\\uFFFF]'")
+    able = able.select("lang", "doc_id", F.substr("text", cut.cast("int"), F.lit(SNIPPET)).alias("text"))
+    rows = (sample_of_each(able, "lang", "doc_id", SAMPLE_ROWS, LANGUAGES, docs.filter("lang is not null"))
+            .orderBy("nth", "lang").limit(MAX_SAMPLE).select("lang", "text").collect())
     names = sorted({r["lang"] for r in rows})
     none = np.zeros((0, DIMS), np.float32)
     if not names:

@@ -22,11 +22,11 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from placebook.llm.common import batches
+from placebook.llm.common import batches, sample_of_each
 
 WINDOW, STRIDE = 32, 24
 SAMPLE, SAMPLE_CHARS = 1000, 12_000
@@ -264,9 +264,8 @@ def fit(texts: list[str], toxic: list[int], seed: int = 7) -> Network | None:
 def train(docs: DataFrame, labels: DataFrame) -> Network | None:
     """docs (doc_id, text) and labels (doc_id, toxic): the rows to learn from."""
     taught = labels.filter("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id", F.lit("toxic")), "doc_id")
-    rows = (docs.filter(F.length("text") <= SAMPLE_CHARS).select("doc_id", "text").join(taught, "doc_id")
-            .withColumn("n", F.row_number().over(order)).filter(F.col("n") <= SAMPLE).orderBy("toxic", "n").select("text", "toxic").collect())
+    able = docs.filter(F.length("text") <= SAMPLE_CHARS).select("doc_id", "text").join(taught, "doc_id")
+    rows = sample_of_each(able, "toxic", "doc_id", SAMPLE, 2, taught).orderBy("toxic", "nth").select("text", "toxic").collect()
     return fit([r["text"] for r in rows], [r["toxic"] for r in rows])
 
 
