@@ -19,20 +19,35 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.label = spark, label
         self.paths: dict[int, str] = {}
+        self.written: set[str] = set()
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, f"{self.label}-{name}")
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
+        self.written.add(path)
         return out
 
     def drop(self, *tables: DataFrame) -> None:
         """Only for tables from which nothing is read any more."""
         for t in tables:
             if path := self.paths.pop(id(t), None):
-                where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-                where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+                self._delete(path)
+
+    def finish(self, df: DataFrame, name: str) -> DataFrame:
+        """Write the result; all other tables of this scratch are of no more use and go."""
+        others = list(self.written)
+        out = self.keep(df, name)
+        for path in others:
+            self._delete(path)
+        self.written = {self.paths[id(out)]}
+        return out
+
+    def _delete(self, path: str) -> None:
+        self.written.discard(path)
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def fresh(df: DataFrame, name: str) -> str:

@@ -230,4 +230,5 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     out = (members.join(counts, "id", "left").join(labels, "id", "left")
            .select("vec_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")))
     rest = good.filter("not ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return out.union(rest).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+    out = out.union(rest).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+    return scratch.finish(out, "result")

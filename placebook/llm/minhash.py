@@ -157,5 +157,5 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     places = scratch.keep(classes.join(labels, "id", "left").select("n", "s1", "s2", F.coalesce("component", "id").alias("component")), "places")
     out = marks.join(places, ["n", "s1", "s2"], "left").withColumn(
         "component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id",
-                      F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    return scratch.finish(out.select("doc_id", F.col("n").alias("n_shingles"), "component_id",
+                                     F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")), "result")
