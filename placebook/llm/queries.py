@@ -36,7 +36,7 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = crc_mod(F.col("doc_id"), 3) == 1
-    net = toxicity.train(docs.filter(~held).select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    net = toxicity.train(docs.filter(~held).select("doc_id", "text"), table(spark, sf_dir, "labels").filter(~held))
     scored = toxicity.score(docs.select("doc_id", "text", held.alias("held_out")), net, with_text=False)
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
