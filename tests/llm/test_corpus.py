@@ -68,6 +68,12 @@ def test_line_templates(spark, odd, none):
     assert sorted(i for i in got if "printed for sale" in got[i]["text"]) == [0]    # digits are variable
     assert all(got[i]["text"] == texts[i] for i in (20, 21, 22, 2, 4, 8, 10))       # copies and clean documents stay whole
     assert all(got[i][total] == texts[i].count("\n") + 1 for i in got)
+    first, second, ends = words(rng, 15), words(rng, 15), words(rng, 60)                # at one's end, within the other
+    pair = spark.createDataFrame([(1, first + "\n" + ends), (2, second + "\n" + ends + "\n" + first[::-1])], docs.schema)
+    assert {r["doc_id"]: r["text"] for r in line_templates.dedup_lines(pair)[0].collect()} == {
+        1: first + "\n" + ends, 2: second + "\n" + first[::-1]}
+    alone = spark.createDataFrame([(1, ends), (2, ends), (3, first)], docs.schema)
+    assert sorted(r["text"] for r in line_templates.dedup_lines(alone)[0].collect()) == sorted([ends, ends, first])
     rows, total, gone = line_templates.dedup_lines(odd)
     assert rows.count() == odd.count() and total == "_n_lines" and rows.filter(F.col(gone) > 0).count() == 0
     assert line_templates.dedup_lines(none)[0].count() == 0
