@@ -32,7 +32,7 @@ DIMS, CENTROIDS = 8192, 3
 SAMPLE_ROWS, LANGUAGES, MAX_SAMPLE, SNIPPET = 400, 500, 8000, 1500
 LENGTHS = (16, 32, 64, 128, 256, 512, 1024)
 MARGIN, TEMPERATURE = 0.6, 0.05
-PIECE = 1 << 21
+PIECE = 1 << 19                                                  # bytes counted at once: the arrays take some 70 times that
 UNDETERMINED = "und"
 
 _LETTER = re.compile(r"[^\W\d_]")
