@@ -79,6 +79,24 @@ def test_line_templates(spark, odd, none):
     assert line_templates.dedup_lines(none)[0].count() == 0
 
 
+@pytest.mark.parametrize("n", [2, 3, 6])
+def test_line_templates_takes_runs_of_lines(spark, n):
+    rng = random.Random(n)
+    run = [words(rng, 12) for _ in range(n)]
+    own = {i: [words(rng, 15) for _ in range(8)] for i in range(9)}
+    texts = {i: own[i][:1 + i % 3] + run + own[i][1 + i % 3:] for i in own}
+    texts[5] = own[5][:2] + run[:1] + own[5][2:]                                         # one that breaks the run
+    near = [words(rng, 15) for _ in range(12)]                                          # copies with a few lines of their own
+    texts |= {20: near, 21: near[:3] + [words(rng, 9)] + near[4:], 22: near[:8] + [words(rng, 9)] + near[8:], 23: near[:8] + [words(rng, 9)] + near[8:], 24: near}
+    docs = spark.createDataFrame([(i, "\n".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    rows, _, gone = line_templates.dedup_lines(docs)
+    got = {r["doc_id"]: r for r in rows.collect()}
+    for i in own:
+        assert got[i]["text"].split("\n") == (texts[0] if i == 0 else own[i])
+        assert got[i][gone] == (0 if i == 0 else 1 if i == 5 else n)
+    assert all(got[i]["text"].split("\n") == texts[i] for i in range(20, 25))
+
+
 def test_url_rules(spark):
     urls = [None, "", "no scheme", "http://", "https://WWW.Example.ORG/es/x", "http://a.org", "http://a.org/", "http://example.org/en/12?x=1",
             "http://x.com/fr/1", "http://x.com/de/1#top", "ftp://bad.net/spam/x?utm=1", "http://bad.net/spam/y?utm=2", "http://fr.net//fr/"]
