@@ -1,4 +1,4 @@
-"""MinHash near-duplicates: one permutation, optimal densification, banded buckets, star-shaped candidates.
+"""MinHash near-duplicates: one permutation, optimal densification, banded buckets, stars, then a prefix join.
 
 Method: a document's set is its distinct 5-word shingles. One hash deals the shingles into BINS bins; a bin's
 signature is its smallest hash, and an empty bin copies a filled one found by its own random probes (optimal
@@ -6,12 +6,12 @@ densification). ROWS bins make a band; documents that agree in a band share a bu
 one. In a bucket the smallest id is the hub and every member is a candidate with the hub only, so a bucket
 gives fewer pairs than members. Each candidate is confirmed on the full sets: 100 * intersection >= 75 * union.
 
-A star alone would lose a link between two members that are both unlike the hub. So buckets whose members are
-not yet in one component get HUBS further hubs, their next smallest ids, against members of other components
-only, and again as long as such a round finds a link. Pairs of a round stay in proportion to members; buckets of
-up to HUBS + 2 members are compared in full. A pair at similarity 0.75 shares no bucket with a probability of
-(1 - 0.75^6)^42, about 3 in 10,000; at 0.8 it is 3 in a million. A pair that shares buckets is lost only if in
-every one of them, each hub tried is unlike one of the two.
+A star alone would lose a link between two members that are both unlike the hub. So the members of every bucket
+whose members, without the hub, are not yet in one component are joined exactly, whatever other buckets found: sets
+are ordered by their rarest shingles, and two sets that are alike enough share one in their prefixes, at places after
+which enough is left in both. Only pairs of different components that pass are confirmed. So no two documents that share
+a bucket and are alike stay apart. A pair at similarity 0.75 shares no bucket with a probability of
+(1 - 0.75^6)^42, about 3 in 10,000; at 0.8 it is 3 in a million.
 
 Null and empty texts have no shingles and link with nothing; a null doc_id links with nothing and is kept;
 rows with the same doc_id are one vertex
@@ -34,7 +34,7 @@ from placebook.llm.shingles import shingle_sets
 
 BINS, ROWS = 256, 6
 BANDS = BINS // ROWS
-PERCENT, HUBS = 75, 3
+PERCENT = 75
 _BIN_SHIFT = np.uint64(64 - 8)
 _ODD = mix64(np.arange(1, BINS + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -134,28 +134,39 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     links = scratch.keep(confirm(tested).union(shared), "links")
     labels = scratch.keep(components(links, scratch), "labels")
 
-    done, rows, found = 1, members.select("key", "id", "n"), True
-    while found:
-        now = rows.join(labels, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("component"))
-        split = now.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
-        split = split.filter((F.col("low") < F.col("high")) & (F.col("size") > done + 1)).select("key")
-        rows = scratch.keep(now.join(split, "key"), "open")
-        place = F.row_number().over(Window.partitionBy("key").orderBy("id"))
-        hub = rows.withColumn("place", place).filter(F.col("place") <= done + HUBS).filter(F.col("place") > done).select(
-            "key", F.col("id").alias("a"), F.col("n").alias("m"), F.col("component").alias("other"))
-        pairs = (rows.join(hub, "key").filter((F.col("id") > F.col("a")) & (F.col("component") != F.col("other")) & fits(F.col("n"), F.col("m")))
-                 .select("a", F.col("id").alias("b")).distinct().join(tested, ["a", "b"], "left_anti"))
-        pairs = scratch.keep(pairs, "pairs")
-        more = scratch.keep(confirm(pairs), "links")
-        found = more.limit(1).count() > 0
-        tested, done = tested.union(pairs), done + HUBS
-        rows = rows.select("key", "id", "n")
-        if found:
-            links = links.union(more)
-            labels = scratch.keep(components(links, scratch), "labels")
+    # every bucket that is still split: its members but for the hub, which has been compared with all
+    rest = (members.filter(F.col("id") != F.col("hub.id")).join(labels, "id", "left")
+            .select("key", "id", F.coalesce("component", "id").alias("component")))
+    split = rest.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
+    opened = scratch.keep(rest.join(split, "key").select("id", "component").distinct(), "open")
+    pairs = scratch.keep(prefix_pairs(sets.dropDuplicates(["id"]).join(opened, "id"), percent, scratch).join(tested, ["a", "b"], "left_anti"), "pairs")
+    more = scratch.keep(confirm(pairs), "links")
+    labels = scratch.keep(components(links.union(more), scratch), "labels")
 
     places = scratch.keep(classes.join(labels, "id", "left").select("n", "s1", "s2", F.coalesce("component", "id").alias("component")), "places")
     out = marks.join(places, ["n", "s1", "s2"], "left").withColumn(
         "component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")))
     return scratch.finish(out.select("doc_id", F.col("n").alias("n_shingles"), "component_id",
                                      F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")), "result")
+
+
+def prefix_pairs(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """sets (id, shingles, component) -> (a, b), a < b: all pairs of different components that can be alike, some that aren't.
+
+    Shingles are ordered by how many sets hold them. If two sets of n and m are alike, they share
+    at least percent * (n + m) / (100 + percent); so their first shared shingle stands where as many are left in both.
+    """
+    n = F.size("shingles").cast("long")
+    each = sets.select("id", "component", n.alias("n"), F.explode("shingles").alias("shingle"))
+    often = scratch.keep(each.groupBy("shingle").agg(F.count("*").alias("often")).filter("often > 1"), "often")
+    # those of one set only come first and are shared by none: their number is enough
+    order = Window.partitionBy("id").orderBy("often", "shingle")
+    placed = each.join(often, "shingle").withColumn("behind", F.count("*").over(Window.partitionBy("id")) - F.row_number().over(order))
+    prefix = placed.filter(F.lit(100) * (F.col("behind") + 1) >= F.lit(percent) * F.col("n"))
+    prefix = scratch.keep(prefix.select("shingle", "id", "component", "n", "behind"), "prefix")
+    left, right = prefix.alias("x"), prefix.alias("y")
+    most = F.least("x.behind", "y.behind") + 1
+    return (left.join(right, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.id") < F.col("y.id"))
+                      & (F.col("x.component") != F.col("y.component"))
+                      & (F.lit(100 + percent) * most >= F.lit(percent) * (F.col("x.n") + F.col("y.n"))))
+            .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())

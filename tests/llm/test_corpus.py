@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -159,6 +160,24 @@ def test_minhash(spark, odd, none):
     assert minhash.near_duplicates(none).count() == 0
 
 
+def test_minhash_finishes_split_buckets(spark):
+    rng = random.Random(5)
+    core = [f"core{i}" for i in range(340)]
+    own = lambda n: [f"w{rng.getrandbits(40)}" for _ in range(n)]
+    texts = {i: core + own(70) for i in range(60)}                                       # hubs, unlike each other
+    for i in range(100, 130, 2):                                                          # pairs with larger ids, just alike
+        both = core + own(10)
+        texts |= {i: both + own(56), i + 1: both + own(56)}
+    docs = [(i, " ".join(t)) for i, t in texts.items()]
+    keys = minhash.band_keys(minhash.shingle_sets(pa.array([t for _, t in docs])))
+    sets = {i: shingles(t) for i, t in docs}
+    near = [(a, b) for n, (a, _) in enumerate(docs) for m, (b, _) in enumerate(docs[:n])
+            if (keys[n] == keys[m]).any() and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    assert {b for _, b in near} == set(range(100, 130, 2))
+    got = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == components(texts, near)
+
+
 def test_toxicity(spark, odd, none):
     rng = random.Random(4)
     rows = [(i, words(rng, rng.randint(5, 150)).split(), i % 2) for i in range(240)]
