@@ -1,7 +1,7 @@
 """URL filtering: stated host and path rules, then association rules mined from labelled URLs.
 
 Method: every URL is a small set of tokens (host suffixes, path words, query keys). Spark's FP-growth mines
-the combinations that go with the label; rules survive by support, by confidence, and only if no shorter
+the combinations of the bad rows, which are then counted over all labelled rows; rules survive by support, by confidence, and only if no shorter
 rule says the same as surely. They are matched by an inverted index: each rule is filed under its rarest
 token, the URLs' tokens are joined to it, and a hit needs the whole combination.
 
@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from placebook.llm.common import Scratch, ascii_lower
 
-LABEL = "label=block"
 #: Stated rules: (host, path, verdict).
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
          ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -56,20 +55,27 @@ def tokens(host: Column, path: Column, url: Column) -> Column:
 def mine(baskets: DataFrame, scratch: Scratch, min_support: int, min_confidence: float) -> DataFrame:
     """Rules (items, support, confidence, rarest) from baskets (items, bad): combinations that go with bad.
 
-    Counting covers all labelled rows. min_support is a number of rows, at least one row in 10,000.
+    min_support is a number of bad rows, at every size. Combinations are mined from the bad rows; those found are
+    counted over all labelled rows, one row per distinct token set, filed under their rarest token.
     """
-    rows = scratch.keep(baskets.select(F.when(F.col("bad"), F.concat("items", F.array(F.lit(LABEL)))).otherwise(F.col("items")).alias("items")), "baskets")
-    n = rows.count()
+    rows = scratch.keep(baskets.groupBy(F.array_sort("items").alias("items")).agg(
+        F.count("*").alias("n"), F.count_if("bad").alias("n_bad")), "baskets")
+    bad = baskets.filter("bad").select("items")
+    n = rows.agg(F.sum("n_bad")).first()[0]
     schema = "items array<string>, support long, confidence double, rarest string"
-    if not n:
-        return rows.sparkSession.createDataFrame([], schema)
-    share = max(min_support / n, 1e-4)
-    sets = scratch.keep(FPGrowth(itemsCol="items", minSupport=min(share, 1.0), minConfidence=min_confidence).fit(rows)
-                        .freqItemsets.select(F.array_sort("items").alias("items"), "freq"), "itemsets")
-    with_label = sets.filter(F.array_contains("items", LABEL) & (F.size("items") > 1)).select(
-        F.array_remove("items", LABEL).alias("items"), F.col("freq").alias("support"))
-    rules = (with_label.join(sets, "items")
-             .select("items", "support", (F.col("support") / F.col("freq")).alias("confidence"))
+    if not n or n < min_support:
+        return baskets.sparkSession.createDataFrame([], schema)
+    share = max(min_support - 0.5, 0.5) / n                      # half a row less: rounding can't ask for one more
+    sets = scratch.keep(FPGrowth(itemsCol="items", minSupport=share).fit(bad)
+                        .freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq").alias("support")), "itemsets")
+    single = scratch.keep(rows.select(F.explode("items").alias("token"), "n").groupBy("token").agg(F.sum("n").alias("freq")), "tokens")
+    filed = (sets.select("items", "support", F.explode("items").alias("token")).join(single, "token")
+             .groupBy("items", "support").agg(F.min_by("token", F.struct("freq", "token")).alias("rarest")))
+    filed = scratch.keep(filed.select(F.col("items").alias("needs"), "support", "rarest"), "filed")
+    held = (rows.select("items", "n", F.explode("items").alias("rarest")).join(filed, "rarest")
+            .filter(F.size(F.array_except("needs", "items")) == 0)
+            .groupBy("needs", "support", "rarest").agg(F.sum("n").alias("freq")))
+    rules = (held.select(F.col("needs").alias("items"), "support", (F.col("support") / F.col("freq")).alias("confidence"), "rarest")
              .filter(F.col("confidence") >= min_confidence))
     rules = scratch.keep(rules, "rules")
     # a rule is redundant if leaving out items gives a rule at least as sure
@@ -77,11 +83,7 @@ def mine(baskets: DataFrame, scratch: Scratch, min_support: int, min_confidence:
                .select("items", "confidence", F.array_remove("items", F.col("out")).alias("part"))
                .join(rules.select(F.col("items").alias("part"), F.col("confidence").alias("sure")), "part")
                .filter("sure >= confidence").select("items").distinct())
-    rules = rules.join(shorter, "items", "left_anti")
-    single = sets.filter(F.size("items") == 1).select(F.col("items")[0].alias("token"), F.col("freq"))
-    rarest = (rules.select("items", F.explode("items").alias("token")).join(single, "token")
-              .groupBy("items").agg(F.min_by("token", F.struct("freq", "token")).alias("rarest")))
-    return scratch.keep(rules.join(rarest, "items"), "index")
+    return scratch.keep(rules.join(shorter, "items", "left_anti"), "index")
 
 
 def judge(pages: DataFrame, labelled: DataFrame, rules=RULES, min_support: int = 20, min_confidence: float = 0.8) -> DataFrame:

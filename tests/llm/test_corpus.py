@@ -117,6 +117,18 @@ def test_url_rules(spark):
     assert url_rules.judge(df.limit(0), labels).count() == 0 and url_rules.judge(df, labels.limit(0)).count() == len(pages)
 
 
+def test_url_rules_support_is_the_same_at_every_size(spark):
+    bad = spark.range(21).selectExpr("id as page_id", "concat('http://bad.net/spam/', id) as url", "true as bad")
+    good = spark.range(1000, 301_000).selectExpr("id as page_id", "concat('http://good.net/ham/', id) as url", "false as bad")
+    few = spark.range(400_000, 400_019).selectExpr("id as page_id", "concat('http://few.org/x/', id) as url", "true as bad")
+    for rest in (good.limit(100), good):
+        every = bad.union(few).union(rest)
+        index = url_rules.mine(every.select(url_rules.tokens(*url_rules.host_path(F.col("url")), F.col("url")).alias("items"), "bad"),
+                               url_rules.Scratch(spark, "url"), 20, 0.8)
+        found = {tuple(r["items"]): (r["support"], r["confidence"]) for r in index.collect()}
+        assert found[("h:bad.net",)] == (21, 1.0) and not any("h:few.org" in k for k in found)
+
+
 def test_impact_topk(spark):
     rng = np.random.default_rng(2)
     x = rng.standard_normal((300, 12)).round(2)
