@@ -7,7 +7,7 @@ full leaves the array. What is partly filled when a block ends is joined end to
 the last one is cut at powers of two, which need no padding. So no window is padded.
 
 Documents are dealt into blocks of some BLOCK_DOCS by a running number, whatever their ids, so copies and hot
-ids spread; blocks pack on their own. Tokens come from a public vocabulary, with a bounded cache per worker of
+ids spread; in a given order, blocks are ranges of it. Blocks pack on their own. Tokens come from a public vocabulary, with a bounded cache per worker of
 the ids of words between spaces (no token of these vocabularies reaches over a space).
 
 Null and empty texts are the end id alone. Repeated rows and ids are documents of their own. A long text is
@@ -194,10 +194,12 @@ def pack_block(pieces: list[tuple], window: int = WINDOW) -> Iterator[list[tuple
 
 
 def pack(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", window: int = WINDOW, with_ids: bool = True,
-         block_docs: int = BLOCK_DOCS) -> DataFrame:
+         block_docs: int = BLOCK_DOCS, order: str | None = None) -> DataFrame:
     """docs (doc_id, text) -> one row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset
-    and, if asked for, its ids (little-endian, 2 or 4 bytes each by the vocabulary's size)."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    and, if asked for, its ids (little-endian, 2 or 4 bytes each by the vocabulary's size). `order` may name a column
+    with running numbers 1, 2, 3, ...: blocks are then ranges of it, and sequence_ids go up with it block by block."""
+    place = F.lit(None) if order is None else F.col(order)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", place.cast("long").alias("place"))
     blocks = max(1, -(-rows.count() // block_docs))
     cols = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 
@@ -206,8 +208,9 @@ def pack(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", window: int = W
         for batch in stream:
             for part in batches(batch, "text", 1 << 20):
                 out = []
-                for doc, ids in zip(part.column("doc_id").to_pylist(), words.encode(part.column("text").to_pylist()), strict=True):
-                    number += 1
+                for doc, place, ids in zip(part.column("doc_id").to_pylist(), part.column("place").to_pylist(),
+                                           words.encode(part.column("text").to_pylist()), strict=True):
+                    number = number + 1 if place is None else place
                     for start in range(0, len(ids), window):
                         some = ids[start:start + window]
                         whole = len(some) == window
@@ -236,6 +239,7 @@ def pack(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", window: int = W
         made = pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids", "sequence_id", "offset"])
         return made.astype({"doc_id": "Int64"})
 
-    pieces = rows.mapInArrow(tokenize, f"number long, {cols}").withColumn("block", F.pmod(F.xxhash64("number"), F.lit(blocks)))
+    dealt = F.pmod(F.xxhash64("number"), F.lit(blocks)) if order is None else F.floor((F.col("number") - 1) / block_docs)
+    pieces = rows.mapInArrow(tokenize, f"number long, {cols}").withColumn("block", dealt)
     out = pieces.groupBy("block").applyInPandas(pack_one, f"{cols}, sequence_id long, offset long")
     return out if with_ids else out.drop("ids")

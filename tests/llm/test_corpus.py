@@ -338,6 +338,23 @@ def test_packing(spark, odd, none):
     assert packing.pack(odd, with_ids=False).agg(F.countDistinct("doc_id")).first()[0] == 7 and packing.pack(none).count() == 0
 
 
+def test_packing_keeps_the_training_order(spark, tmp_path):
+    import corpus_pipeline
+    rng = random.Random(12)
+    docs = spark.createDataFrame([(i, words(rng, 8), "abc"[i % 3]) for i in range(300)], "doc_id long, text string, source string")
+    mixed = curriculum.mix(docs, number="place").orderBy("place").collect()
+    assert [r["place"] for r in mixed] == list(range(1, len(mixed) + 1))
+    assert [r["doc_id"] for r in mixed] == [r["doc_id"] for r in curriculum.mix(docs).collect()]
+    curriculum.mix(docs).write.parquet(str(tmp_path / "mix"))
+    reread = corpus_pipeline.in_order(spark.read.parquet(str(tmp_path / "mix")))
+    assert [r["doc_id"] for r in reread.orderBy("place").collect()] == [r["doc_id"] for r in mixed]
+    shuffled = spark.createDataFrame(rng.sample(mixed, len(mixed)), "doc_id long, text string, source string, place long")
+    got = packing.pack(shuffled, block_docs=50, order="place").collect()
+    for block in range(-(-len(mixed) // 50)):
+        assert ({r["doc_id"] for r in got if r["sequence_id"] >> 32 == block}
+                == {r["doc_id"] for r in mixed[50 * block:50 * block + 50]})
+
+
 def test_levels_choose_the_smallest_sum_of_squares():
     rng, levels = random.Random(10), packing.Levels(50)
     for _ in range(400):
