@@ -2,12 +2,12 @@
 
 OP3 = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  SELECT vec_id, row_number() OVER () AS i, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 p AS (
-  SELECT q.vec_id AS query_id, v.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(q.x, v.x), lambda z: z[1] * z[2])) AS BIGINT) AS score
-  FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0),
-r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
+  SELECT q.i, q.vec_id AS query_id, v.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(q.x, v.x), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v q JOIN v ON q.i <> v.i WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
