@@ -7,7 +7,7 @@ the whole text are scored. Training knows labels of texts only, so it alternates
 highest window and fitting the network to those windows (the first passes use windows at random).
 
 Training is bounded: at most SAMPLE labelled rows per class, those with the smallest hashes among texts of at
-most SAMPLE_CHARS characters. Scoring reads everything. A worker keeps a bounded cache of words' inputs.
+most SAMPLE_CHARS characters and SPARE times as many labels; of one id's texts the least. Scoring reads everything. A worker keeps a bounded cache of words' inputs.
 
 Null, empty and blank texts score 0. Without rows of both classes every text scores 0. Null labels teach
 nothing; repeated rows get equal scores. Long texts are scored in pieces of windows. Other columns pass through.
@@ -22,11 +22,11 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from placebook.llm.common import batches, sample_of_each
+from placebook.llm.common import SPARE, batches, sample_of_each
 
 WINDOW, STRIDE = 32, 24
 SAMPLE, SAMPLE_CHARS = 1000, 12_000
@@ -264,8 +264,13 @@ def fit(texts: list[str], toxic: list[int], seed: int = 7) -> Network | None:
 def train(docs: DataFrame, labels: DataFrame) -> Network | None:
     """docs (doc_id, text) and labels (doc_id, toxic): the rows to learn from."""
     taught = labels.filter("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    able = docs.filter(F.length("text") <= SAMPLE_CHARS).select("doc_id", "text").join(taught, "doc_id")
-    rows = sample_of_each(able, "toxic", "doc_id", SAMPLE, 2, taught).orderBy("toxic", "nth").select("text", "toxic").collect()
+    # ids first, from the labels alone, some more than needed: only their texts leave the scan
+    ids = sample_of_each(taught, "toxic", "doc_id", SPARE * SAMPLE, 2).select("doc_id", "toxic", "nth")
+    texts = (docs.filter(F.length("text") <= SAMPLE_CHARS).select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+             .groupBy("doc_id", "toxic", "nth").agg(F.min("text").alias("text")))
+    order = Window.partitionBy("toxic").orderBy("nth")
+    rows = (texts.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= SAMPLE)
+            .orderBy("toxic", "place").select("text", "toxic").collect())
     return fit([r["text"] for r in rows], [r["toxic"] for r in rows])
 
 
