@@ -15,7 +15,6 @@ is `und`. Repeated rows get equal results. Long texts are counted in pieces. Oth
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,7 +34,6 @@ MARGIN, TEMPERATURE = 0.6, 0.05
 PIECE = 1 << 19                                                  # bytes counted at once: the arrays take some 70 times that
 UNDETERMINED = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
 _BYTE = np.full(256, 32, np.uint8)
 _BYTE[97:123] = np.arange(97, 123)
 _BYTE[65:91] = np.arange(97, 123)
@@ -89,7 +87,7 @@ class Model:
         length = np.array([len(t) if t else 0 for t in texts.to_pylist()])
         least = np.interp(np.log2(np.maximum(length, 1)), np.log2(LENGTHS), self.floor) * MARGIN
         least[length < LENGTHS[0]] = 0
-        blank = np.array([not (t and _LETTER.search(t)) for t in texts.to_pylist()], bool)
+        blank = np.array([not any(map(str.isalpha, t or "")) for t in texts.to_pylist()], bool)   # Unicode category L
         names = [UNDETERMINED if b else self.names[i] for i, b in zip(best, blank, strict=True)]
         return names, np.where(blank, 0.0, score), blank | (per.max(1) < least)
 
