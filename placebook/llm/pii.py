@@ -41,7 +41,7 @@ BATCH_NODES = 20_000
 # Fixed patterns of the base spans.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++){3}")              # a run of digits is entered at its start only, and not given back: linear
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -99,7 +99,7 @@ def features(before: str, token: str, after: str) -> list[int]:
     digits = _NOT_DIGIT.sub("", token)
     core = token.strip(".,;:!?\"'")
     said = [f"s{shape(core)}", f"r{_RUNS.sub(lambda m: f'{m[0][0].isdigit():d}{min(len(m[0]), 20)}', core)}", f"n{min(len(digits), 20)}",
-            f"@{'@' in token}", f"l{len(digits) >= 12 and luhn(digits)}", f"+{core[:1] == '+'}", f"b{shape(before)[:12]}", f"a{shape(after)[:12]}",
+            f"@{'@' in token}", f"l{12 <= len(digits) <= 19 and luhn(digits)}", f"+{core[:1] == '+'}", f"b{shape(before)[:12]}", f"a{shape(after)[:12]}",
             f"x{shape(before)[:12]} {shape(core)} {shape(after)[:12]}", "."]
     return [zlib.crc32(s.encode("utf-8", "surrogatepass")) % FEATURES for s in said]
 

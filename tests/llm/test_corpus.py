@@ -4,7 +4,9 @@ import math
 import os
 import random
 import re
+import time
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -132,17 +134,23 @@ def test_url_rules_support_is_the_same_at_every_size(spark):
 def test_impact_topk(spark):
     rng = np.random.default_rng(2)
     x = rng.standard_normal((300, 12)).round(2)
-    rows = [(i, [float(v) for v in r], "x") for i, r in enumerate(x)] + [(300, None, "x"), (301, [math.nan] * 12, "x"), (302, [], "x"), (303, [None, 1.0], "x"), (304, [0.0] * 12, "x"), (None, [1.0] * 12, "x")]
-    df = spark.createDataFrame(rows + rows[:5], "vec_id long, embedding array<double>, x string")
-    whole = {i: np.floor(256 * r).astype(np.int64) for i, r in enumerate(x)} | {304: np.zeros(12, np.int64)}
+    rows = [(i, [float(v) for v in r], "x") for i, r in enumerate(x)]
+    rows += [(50, [5.0] * 12, "x"), (7, [0.1, 5.0], "x"), (7, [5.0], "x"), (304, [0.0] * 12, "x"), (304, [-0.001] * 12, "x")]    # ids of several rows
+    rows += [(400, [5000.0, 1.0] + [0.5] * 10, "x"), (401, [1.0, -7e9, 3e15], "x"), (402, [1e300, 2.0], "x"), (450, [-1e300, 1e-300], "x")]
+    bad = [(300, None, "x"), (301, [math.nan] * 12, "x"), (302, [], "x"), (303, [None, 1.0], "x"), (305, [math.inf], "x"), (None, [1.0] * 12, "x")]
+    df = spark.createDataFrame(rows + bad, "vec_id long, embedding array<double>, x string")
+    whole = [(i, [math.floor(256 * Fraction(v)) for v in r]) for i, r, _ in rows]
     for size in (64, 4096):
         got = impact_topk.top_k(df, F.col("vec_id") % 50 == 0, index_rows=size, query_rows=3).collect()
-        want = set()
-        for q in range(0, 301, 50):
-            if q in whole:
-                best = sorted((-int(whole[q] @ v), i) for i, v in whole.items() if i != q)[:5]
-                want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
-        assert {tuple(r) for r in got} == want
+        want = []
+        for a, (q, one) in enumerate(whole):
+            if q % 50 == 0:
+                best = [(sum(x * y for x, y in zip(one, two)), i) for b, (i, two) in enumerate(whole) if a != b]
+                best = sorted((-float(max(min(s, 1 << 1020), -(1 << 1020))), -max(min(s, 2 ** 63 - 1), -2 ** 63), i) for s, i in best)[:5]
+                want += [(q, n + 1, i, -s) for n, (_, s, i) in enumerate(best)]
+        assert sorted(map(tuple, got)) == sorted(want)
+    one = spark.createDataFrame([(50, [256.0, 1.0], "x"), (1, [5000.0, 1.0], "x")], df.schema)
+    assert [tuple(r) for r in impact_topk.top_k(one, F.col("vec_id") == 50).collect()] == [(50, 1, 1, 65536 * 5000 * 256 + 65536)]
     assert impact_topk.top_k(df.limit(0), F.lit(True)).count() == 0
 
 
@@ -267,6 +275,8 @@ def test_language(spark, odd, none):
     assert np.mean([r["lang_pred"] == r["lang"] for r in got if r["doc_id"] >= 120]) >= 0.97 and not any(r["rejected"] for r in got)
     far = language.identify(spark.createDataFrame([(1, "xqz wvx " * 90)], "doc_id long, text string"), model).first()
     assert far["rejected"]
+    signs = language.identify(spark.createDataFrame([(i, t) for i, t in enumerate(["² ½ ① ٣ _", "1 2", "ª", "ʰ"])], "doc_id long, text string"), model).collect()
+    assert [r["lang_pred"] == "und" for r in signs] == [True, True, False, False]              # letters are of category L
     got = {r["doc_id"]: r for r in language.identify(odd, model).collect()}
     assert all(got[i]["lang_pred"] == "und" and got[i]["score"] == 0 and got[i]["rejected"] for i in (1, 2, 3, 6)) and got[7]["lang_pred"] != "und"
     assert language.identify(none, model).count() == 0
@@ -374,6 +384,14 @@ def test_pii(spark, odd, none):
             ("4111 1111 1111 1111 and 4111111111111112", "card:0:19"), ("é +1 (555) 010-9999, +12", "phone:2:19")]
     for text, want in base:
         assert ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in pii.base_spans(text)) == want
+    ip = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    rng = random.Random(13)
+    for _ in range(3000):
+        text = "".join(rng.choice("0129..a ") for _ in range(rng.randint(0, 40)))
+        want = [m.span() for m in ip.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+        assert [(a, b) for a, k, b in pii.base_spans(text) if k == 1] == want
+    start = time.time()
+    assert pii.base_spans("7" * 1_000_000 + " 1." * 100_000 + "1.2.3" * 100_000) is not None and time.time() - start < 5
     rng = random.Random(11)
     rows = []
     for i in range(150):
