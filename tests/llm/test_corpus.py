@@ -447,3 +447,78 @@ def test_queries_against_sql(spark, name):
     cur = con.execute(ORACLES[name])
     names = [d[0] for d in cur.description]
     assert sorted(map(tuple, df.select(*names).collect())) == sorted(cur.fetchall())
+
+
+def dropped_by_brute_force(texts, similar=0.8, min_tokens=3):
+    """Line dedup in plain Python: {doc_id: lines that stay}, for distinct ids and no copies among the documents."""
+    import xxhash
+
+    every = {}                                                                       # (doc_id, at) -> masked tokens
+    for i, text in texts.items():
+        for at, line in enumerate(text.split("\n")):
+            tokens = ["<*>" if re.search("[0-9]", x) else x for x in line.split()]
+            if len(tokens) >= min_tokens:
+                every[i, at] = tuple(tokens)
+    code = {t: xxhash.xxh64(" ".join(t).encode(), seed=42).intdigest() for t in set(every.values())}
+    code = {t: c - (1 << 64) if c >> 63 else c for t, c in code.items()}
+    leaves, general = {}, {t: t for t in code}
+    for t in code:
+        leaves.setdefault((len(t), t[:3]), set()).add(t)
+    for rest in leaves.values():
+        n = len(next(iter(rest)))
+        may = int((1 - similar) * n + 1e-9)
+        blocks = lambda t: [(k, t[k * n // (may + 1):(k + 1) * n // (may + 1)]) for k in range(may + 1)]
+        while may and len(rest) > 1:
+            often = {}
+            for b in (b for t in rest for b in blocks(t)):
+                often[b] = often.get(b, 0) + 1
+            score = {t: sum(often[b] for b in blocks(t) if often[b] > 1) for t in rest}
+            rest = {t for t in rest if score[t]}
+            if rest:
+                seed = max(rest, key=lambda t: (score[t], code[t]))
+                alike = {t for t in rest if sum(a != b for a, b in zip(t, seed)) <= may}
+                general |= dict.fromkeys(alike, ("general", seed))
+                rest -= alike
+    home = {}
+    for (i, _), t in sorted(every.items()):
+        home.setdefault(general[t], i)
+    return {i: [line for at, line in enumerate(text.split("\n")) if (i, at) not in every or home[general[every[i, at]]] == i] for i, text in texts.items()}
+
+
+@pytest.mark.parametrize("n", [60, 400])
+def test_line_templates_against_brute_force(spark, n):
+    """Planted templates of any length, several under one leaf, variable words anywhere behind the leading tokens."""
+    rng = random.Random(n)
+    planted = [words(rng, 3).split() + words(rng, k).split() for k in (2, 4, 7, 12, 13, 14, 17, 25, 40, 90)]
+    lead = words(rng, 6).split()
+    planted += [lead + words(rng, 9).split() for _ in range(5)]                     # five templates under the same six leading tokens
+    texts, wanted = {}, {}
+    for i in range(n):
+        own = [words(rng, rng.choice([2, 2, 12, 20])) for _ in range(10)]
+        for p in rng.sample(range(len(planted)), 2):
+            t = list(planted[p])
+            for at in rng.sample(range(3, len(t)), int(0.1 * len(t))):
+                t[at] = words(rng, 1)
+            own.insert(rng.randrange(len(own)), " ".join(t))
+            wanted.setdefault(p, []).append((i, " ".join(t)))
+        texts[i] = "\n".join(own)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"].split("\n") for r in line_templates.dedup_lines(docs)[0].collect()}
+    assert got == dropped_by_brute_force(texts)
+    later = [(i, line) for p in wanted.values() for i, line in p[1:]]
+    assert sum(line not in got[i] for i, line in later) >= 0.9 * len(later)            # recall of planted lines
+    assert all(line in got[i] for p in wanted.values() for i, line in p[:1])
+    ours = {line for p in wanted.values() for _, line in p}
+    assert all(line in got[i] for i, text in texts.items() for line in text.split("\n") if line not in ours)
+
+
+@pytest.mark.parametrize("size", [4, 16, 17, 20, 60])
+def test_line_templates_compare_token_by_token(spark, size):
+    rng = random.Random(size)
+    shared, vary = words(rng, size).split(), range(3, 3 + size // 5)
+    texts = {i: "\n".join([words(rng, 12), " ".join(words(rng, 1) if at in vary else t for at, t in enumerate(shared))]) for i in range(8)}
+    docs = spark.createDataFrame(list(texts.items()) + [(90 + i, words(rng, 9) + "\nto whom") for i in range(2)], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_dropped"] for r in line_templates.dedup_lines(docs)[0].collect()}
+    assert sum(got[i] for i in texts) == 7 and got[90] == got[91] == 0
+    short = line_templates.dedup_lines(docs, min_tokens=2)[0].collect()
+    assert sum(r["n_dropped"] for r in short if r["doc_id"] >= 90) == 1
