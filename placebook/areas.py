@@ -89,9 +89,6 @@ PROSPECT_AREAS = [
     Area("Surulere", 6.49605, 3.35644, 1.8,
          aliases=("Aguda", "Ojuelegba", "Bode Thomas", "Adeniran Ogunsanya")),
 ]
-# areas are literals inside every row's expression: a dimension, and this is its bound
-MAX_AREAS = 5_000
-
 
 def load_areas(text: str) -> list[Area]:
     """Areas from JSON: {"name": {"lat":…, "lng":…, "radius_km":…} | {"corridor":…} | {"polygon":…}, …}."""
@@ -105,8 +102,6 @@ def load_areas(text: str) -> list[Area]:
             corridor=(tuple(corridor["from"]), tuple(corridor["to"]), corridor["width_km"]) if corridor else None,
             polygon=tuple(tuple(p) for p in polygon) if polygon else None,
             aliases=tuple(spec.pop("aliases", None) or ()), **spec))
-    if len(out) > MAX_AREAS:
-        raise ValueError(f"more than {MAX_AREAS} areas")
     return out
 
 

@@ -22,7 +22,7 @@ WITH o AS (
               WHEN o_orderkey % 10 = 3 THEN 'Manual CSV (walk.csv)'
               WHEN o_orderkey % 10 = 4 THEN 'Google Places API (Oct 2026)'
               ELSE 'Google Maps (sweep, Oct 2026)' END AS source
-  FROM orders JOIN part ON p_partkey = o_custkey % 200)
+  FROM (SELECT *, o_custkey % (SELECT count(*) FROM part) AS pk FROM orders) x JOIN part ON p_partkey = pk)
 SELECT i AS ord, k AS true_id, source,
   concat(p_name, ' ', CAST(k % 97 AS string),
     CASE WHEN i % 3 = 0 THEN ' Ltd' WHEN i % 3 = 1 THEN ' Nigeria Enterprises' ELSE '' END) AS name,
@@ -56,14 +56,21 @@ MAP_URL = """concat('https://www.google.com/maps/place/x', CAST(true_id AS strin
   lpad(CAST(3700 + (true_id * 29) % 900 - 450 AS string), 4, '0'),
   CASE WHEN true_id % 3 = 0 THEN concat('!19sChIJ', CAST(true_id AS string), '_x-1?a=b') ELSE '?hl=en' END)"""
 
-# saved pages with a block of contacts at the end
+# saved pages with a block of contacts of each kind: links and plain text, numbers of two forms, two networks, a link cut short
 PAGES_WITH_CONTACTS = """
-SELECT page_id, url, concat(html, '<footer><a href="mailto:orders@biz', CAST(page_id AS string), '.example?subject=hi">mail</a> noreply@biz.example <a href="https://wa.me/234803', lpad(CAST(page_id AS string), 7, '0'), '">wa</a> <a href="tel:0805', lpad(CAST(page_id * 7 AS string), 7, '0'), '">call</a> <a href="https://www.instagram.com/biz', CAST(page_id AS string), '/">ig</a>', CASE WHEN page_id % 3 = 0 THEN '<p>We deliver across town. Catering and bulk order. Order online now!</p>' ELSE '' END, '<script>var x = "delivery";</script></footer>') AS html FROM pages
+SELECT page_id, url, concat(html, '<section id="reach"><h4>Reach branch ', CAST(page_id AS string), '</h4><p>Desk: desk', CAST(page_id AS string),
+  '@shop.example, bills to <a class="m" href="MAILTO:bills+', CAST(page_id AS string), '@shop.example">accounts</a> (not no-reply@shop.example)</p><ul><li><a href="tel:0809',
+  lpad(CAST(page_id * 13 AS string), 7, '0'), '">0809 ring us</a></li><li>Shop floor +234 701 ', lpad(CAST(page_id % 1000 AS string), 3, '0'), ' 4455</li>',
+  CASE WHEN page_id % 2 = 0 THEN concat('<li><a href="https://api.whatsapp.com/send?phone=234906', lpad(CAST(page_id AS string), 7, '0'), '&amp;text=hello">chat</a></li>')
+       ELSE concat('<li><a href="https://wa.me/+234906', lpad(CAST(page_id AS string), 7, '0'), '">chat</a></li>') END,
+  '<li><a href="https://facebook.com/shop.', CAST(page_id AS string), '">fb</a> <a href="https://twitter.com/shop_', CAST(page_id % 100000 AS string), '">tw</a> <a href="https://www.tiktok.com/@">tt</a></li></ul>',
+  CASE WHEN page_id % 4 = 1 THEN '<p>Wholesale &amp; catering, dispatch riders on call. Place an order by noon.</p>' WHEN page_id % 4 = 2 THEN '<p>Free delivery above 10 items</p>' ELSE '' END,
+  '<style>.catering { color: red }</style></section>') AS html FROM pages
 """
 
-# the pages of a website: five pages make a site, each under one of the known paths
+# the pages of a website: six pages in a row make a site, each under one of the known paths
 SITE_PAGES = f"""
-SELECT concat('https://biz', CAST((page_id - page_id % 6) * 5 % 1500 AS string), '.example') AS website,
+SELECT concat('https://biz', CAST(CAST((page_id - page_id % 6) * 5 / 6 AS bigint) AS string), '.example') AS website,
        CASE page_id % 6 WHEN 0 THEN '/' WHEN 1 THEN '/order' WHEN 2 THEN '/contact' WHEN 3 THEN '/about'
                         WHEN 4 THEN '/delivery' ELSE '/contact-us' END AS path,
        page_id, html
@@ -268,12 +275,11 @@ def odd_headers(spark: SparkSession, folder: str) -> DataFrame:
     raw = listings(spark, folder)
     return raw.select(
         "ord", F.when(F.col("ord") % 17 == 0, F.lit("  ")).otherwise(F.col("name")).alias("Business_Name"),
-        F.col("name").alias("Company"), F.concat("phone_raw", F.lit(" / 0802 555 1234")).alias(" Phone Number "),
+        F.when(F.col("ord") % 34 == 0, F.lit("")).otherwise(F.col("name")).alias("Company"), F.concat("phone_raw", F.lit(" / 0802 555 1234")).alias(" Phone Number "),
         F.col("addr").alias("LOCATION"), F.col("label").alias("Type"), F.col("website").alias("URL"),
         F.when(F.col("ord") % 2 == 0, F.lit("")).otherwise(F.col("lat").cast("decimal(9,4)").cast("string")).alias("Latitude"),
         F.lit("n/a").alias("Long"), F.when(F.col("ord") % 9 == 0, "Do Not Contact").otherwise("").alias("Sales  Status"),
-        F.lit("walk.csv").alias("_file"), F.col("fetched").alias("_fetched")).filter(
-        (F.trim("Business_Name") != "") | (F.col("ord") % 34 != 0))
+        F.lit("walk.csv").alias("_file"), F.col("fetched").alias("_fetched"))
 
 
 def with_tagline(spark: SparkSession, folder: str) -> DataFrame:

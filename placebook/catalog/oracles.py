@@ -547,15 +547,17 @@ def build() -> dict[str, str]:
     answers = f"{LISTINGS}, aa AS ({A.API_ANSWERS}), api AS (SELECT place_key AS key, intl, web, n_ratings, stars, national FROM aa WHERE fetched_at = 2)"
     out["api_answers_latest"] = w(answers, "SELECT key, intl, web, n_ratings, stars FROM api")
     out["raw_round_trip"] = w(
-        f"{LISTINGS}, r AS (SELECT CASE WHEN source LIKE 'Open%' THEN 0 ELSE 1 END AS rank, ord AS raw_id, source, name FROM listings WHERE source LIKE 'Open%' OR source LIKE 'Google%')",
+        f"{LISTINGS}, r AS (SELECT CASE WHEN source LIKE 'Open%' THEN 0 WHEN source LIKE 'Google%' THEN 1 WHEN source LIKE 'Manual%' THEN 2 ELSE 3 END AS rank, ord AS raw_id, source, name FROM listings)",
         "SELECT row_number() OVER (ORDER BY rank, raw_id % 2, raw_id) AS ord, raw_id, source, name FROM r")
     out["source_union"] = w(
         f"{MAPPED}, el AS ({A.ELEMENTS}), {el2.split('el AS (', 1)[1].split('), e2 AS', 1)[1].join(['e2 AS', ''])}, "
-        f"{cards.split(', cd AS', 1)[1].join(['cd AS', ''])}, csvr AS ({csv})",
-        "SELECT source, count(*) AS n, count(*) FILTER (phone <> '') AS with_phone FROM (SELECT source, phone FROM osm UNION ALL SELECT source, phone FROM cards UNION ALL SELECT source, phone FROM csvr) GROUP BY 1")
+        f"{cards.split(', cd AS', 1)[1].join(['cd AS', ''])}, csvr AS ({csv}), {dirs.split(', d0 AS', 1)[1].join(['d0 AS', ''])}, "
+        "latest AS (SELECT * FROM ok QUALIFY seq = max(seq) OVER (PARTITION BY site, listing_id))",
+        f"SELECT source, count(*) AS n, count(*) FILTER (phone <> '') AS with_phone FROM (SELECT source, phone FROM osm UNION ALL SELECT source, phone FROM cards UNION ALL SELECT source, phone FROM csvr "
+        f"UNION ALL SELECT CASE WHEN site = 'finelib' THEN 'Finelib (Oct 2026)' ELSE 'BusinessList.com.ng (Oct 2026)' END, {phone('phone')} FROM latest) GROUP BY 1")
 
     out["unmappable_rows"] = w(LISTINGS, "SELECT source, raw, raw - gone AS mapped, gone AS unmappable FROM (SELECT 'osm' AS source, count(*) AS raw, count(*) FILTER (ord % 13 = 0) AS gone FROM listings "
-                                         "UNION ALL SELECT 'gmaps_browser', count(*) FILTER (source LIKE 'Google%'), 0 FROM listings UNION ALL SELECT 'manual_csv', count(*) FILTER (ord % 34 <> 0), 0 FROM listings)")
+                                         "UNION ALL SELECT 'gmaps_browser', count(*) FILTER (source LIKE 'Google%'), 0 FROM listings UNION ALL SELECT 'manual_csv', count(*), count(*) FILTER (ord % 34 = 0) FROM listings)")
 
     # entity resolution
     out["dedupe_clusters"] = w(CLUSTERED, "SELECT ord, cluster, via FROM cl")
@@ -629,7 +631,8 @@ UNION ALL SELECT ord, 'dropped', NULL, NULL, NULL, NULL, NULL, NULL, name, sourc
     out["whatsapp_numbers"] = w(page, f"SELECT page_id, {listed('whatsapp')} AS whatsapp FROM p3")
     out["page_phones"] = w(page, f"SELECT page_id, {listed('phones')} AS phones FROM p3")
     out["delivery_signals"] = w(page, f"SELECT page_id, {listed('delivery')} AS delivery, order_online FROM p3")
-    out["social_profiles"] = w(page, f"SELECT page_id, {listed(distinct('ig'))} AS instagram, '' AS facebook, '' AS twitter, '' AS linkedin, '' AS tiktok FROM "
+    out["social_profiles"] = w(page, f"SELECT page_id, {listed(distinct('ig'))} AS instagram, 'https://www.facebook.com/shop.' || page_id AS facebook, "
+                                     f"'https://x.com/shop_' || (page_id % 100000) AS twitter, '' AS linkedin, '' AS tiktok FROM "
                                      f"(SELECT page_id, list_transform(regexp_extract_all(t, {q(C.INSTAGRAM)}, 1), lambda h: 'https://www.instagram.com/' || rtrim(h, '.')) AS ig FROM p3)")
     ranks = " ".join(f"WHEN {q(x)} THEN {i}" for i, x in enumerate(["/", "/contact", "/contact-us", "/about", "/order", "/delivery"]))
     sites = (f"{page_tables(A.SITE_PAGES)}, s1 AS (SELECT *, CASE path {ranks} END AS rank FROM p3 QUALIFY html = max(html) OVER (PARTITION BY website, path)), "
@@ -653,7 +656,7 @@ UNION ALL SELECT ord, 'dropped', NULL, NULL, NULL, NULL, NULL, NULL, name, sourc
         "CASE WHEN w.ord IS NULL THEN [] ELSE list_concat(w.delivery, CASE WHEN w.order_online THEN ['online ordering'] ELSE [] END) END AS sg, b.contact_channels AS ch "
         "FROM bl b LEFT JOIN want w USING (ord) LEFT JOIN got g USING (ord)), l AS (SELECT *, list_filter(ph, lambda x: x <> '') AS p2 FROM j)",
         f"SELECT ord, coalesce(email, '') AS email, phone, coalesce(whatsapp, '') AS whatsapp, coalesce(instagram, '') AS instagram, {listed(distinct('p2'))} AS phones_all, {listed('sg')} AS signals, "
-        "CASE WHEN hit THEN CAST(phone <> '' AS int) + CAST(website <> '' AS int) + CAST(coalesce(email, '') <> '' AS int) + CAST(coalesce(instagram, '') <> '' AS int) ELSE ch END AS contact_channels FROM l")
+        "CASE WHEN hit THEN CAST(phone <> '' AS int) + CAST(website <> '' AS int) + CAST(coalesce(email, '') <> '' AS int) + CAST(coalesce(instagram, '') <> '' AS int) + 1 ELSE ch END AS contact_channels FROM l")   # every page has a profile of the second network
     out["detail_candidates"] = w(
         f"{SCORED}, {details.split(', dt AS', 1)[1].join(['dt AS', ''])}, cand AS (SELECT ord, place_id AS key, reviews FROM prospects WHERE maps LIKE 'https://www.google.com/maps/place/%' "
         f"AND area NOT IN ({q(OUTSIDE)}, {q(UNASSIGNED)}) AND place_id NOT IN (SELECT key FROM det WHERE order_url <> ''))",
@@ -739,8 +742,18 @@ UNION ALL SELECT ord, 'dropped', NULL, NULL, NULL, NULL, NULL, NULL, name, sourc
     out["dq_row_counts"] = w(CENSUS, "SELECT name, (SELECT count(*) FROM biz) AS n, true AS ok FROM (VALUES ('records'), ('area_summary'), ('group_area')) v(name)")
     out["dq_rules_in_tree"] = w(READY, f"SELECT grp, sub, count(*) AS n FROM ready WHERE (grp, sub) NOT IN (SELECT (grp, sub) FROM {tree}) GROUP BY 1, 2")
 
+    # references: the characters are written out
+    out["page_entities"] = ("SELECT page_id, url || '?a=1&b=' || page_id || ' Bread & Butter ' || chr(8358) || page_id || ' caf' || chr(233) || ' ' || chr(169) || page_id || ' ' || chr(172) || 'it; &nosuch; ' "
+                            "|| chr(128512) || ' ' || chr(8211) || ' ' || chr(65533) || ' ' || chr(65533) || ' |' || chr(65533) || ' &; & &amp; <b> fjord' || chr(229) || ' ' || "
+                            "CASE WHEN CAST('39' || page_id AS BIGINT) > 1114111 THEN chr(65533) WHEN CAST('39' || page_id AS BIGINT) BETWEEN 55296 AND 57343 THEN chr(65533) "
+                            "WHEN CAST('39' || page_id AS BIGINT) BETWEEN 64976 AND 65007 OR CAST('39' || page_id AS BIGINT) % 65536 >= 65534 THEN '' ELSE chr(CAST('39' || page_id AS INT)) END AS text FROM pages")
+
     # streams
     out["stream_ingest"] = w(READY, "SELECT ord, phone, area, zone, grp, sub FROM ready")
     out["stream_latest"] = "SELECT user_id, event_type, max(event_id) AS event_id, round(arg_max(value, event_id), 4) AS value FROM events GROUP BY 1, 2"
     out["stream_states"] = w(log, "SELECT term, area, arg_max(status, (happened_at, event_id)) AS status FROM lg GROUP BY 1, 2")
-    return out
+    import sys
+
+    from placebook.catalog import large_oracles, run_oracles
+    me = sys.modules[__name__]
+    return out | large_oracles.build(me) | run_oracles.build(me, out)

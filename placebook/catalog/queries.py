@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from placebook.areas import CENSUS_AREAS, CENSUS_CORE, Area
 from placebook.catalog import adapters as A
 from placebook.functions import geo, rules, scoring
-from placebook.functions.contacts import extract_contacts, is_social_site
+from placebook.functions.contacts import extract_contacts, is_social_site, unescape
 from placebook.functions.provenance import source_kind, trust
 from placebook.functions.text import poi_reason, slugs, street_of
 from placebook.operators import centroids, enrich, frontier, quality, reports
@@ -257,13 +257,16 @@ def directory_listings(spark, folder):
     return out.select("site", "page_no", "name", "listing_id", "addr", "phone", "lat", "lng", "desc", "sponsored", "category")
 
 
-@query
-def directory_records(spark, folder):
+def _directory_records(spark: SparkSession, folder: str) -> DataFrame:
     """Listings crawled page by page, the latest version of each, as records."""
     found = directories.drop_sponsored(A.directory_listings(spark, folder))
     raw = found.withColumn("ord", F.col("page_no").cast("bigint") * 1000 + F.col("pos")).withColumn("_fetched", F.lit("2026-10-06"))
-    out = directories.map_listings(directories.latest_listing(raw))
-    return out.select("name", "addr", "label", "phone", "lat", "lng", "notes", "source", "added", "maps")
+    return directories.map_listings(directories.latest_listing(raw))
+
+
+@query
+def directory_records(spark, folder):
+    return _directory_records(spark, folder).select("name", "addr", "label", "phone", "lat", "lng", "notes", "source", "added", "maps")
 
 
 @query
@@ -326,12 +329,12 @@ def api_answers_latest(spark, folder):
 
 @query
 def raw_round_trip(spark, folder):
-    """Raw rows of two sources stored in batches, read back and put in run order."""
+    """Raw rows of all four sources stored in batches, read back and put in run order."""
     from placebook.sources import raw_store
 
     rows = A.listings(spark, folder).select(F.col("ord").alias("raw_id"), "source", "name")
     root = scratch_path(spark, "raw")
-    kinds = {"osm": "OpenStreetMap%", "gmaps_browser": "Google%"}
+    kinds = {"osm": "OpenStreetMap%", "gmaps_browser": "Google%", "manual_csv": "Manual%", "directories": "Finelib%"}
     raw = {}
     for source, like in kinds.items():
         part = rows.filter(F.col("source").like(like)).repartitionByRange(4, "raw_id").sortWithinPartitions("raw_id")
@@ -339,16 +342,19 @@ def raw_round_trip(spark, folder):
             raw_store.append_raw(part.filter(F.col("raw_id") % 2 == batch), root, source, batch)
         raw[source] = raw_store.read_raw(spark, root, source, rows.schema)
     numbered = raw_store.in_run_order(raw)
-    return numbered["osm"].unionByName(numbered["gmaps_browser"]).select("ord", "raw_id", "source", "name")
+    out = numbered["osm"]
+    for source in ("gmaps_browser", "manual_csv", "directories"):
+        out = out.unionByName(numbered[source])
+    return out.select("ord", "raw_id", "source", "name")
 
 
 @query
 def source_union(spark, folder):
-    """Mapped records of three sources in one canonical frame, counted by source text."""
+    """Mapped records of all four sources in one canonical frame, counted by source text."""
     from placebook.sources.raw_store import union_sources
 
     parts = {"osm": osm.map_osm(A.elements(spark, folder)), "gmaps_browser": map_cards.map_cards(A.cards(spark, folder)),
-             "manual_csv": csv_import.map_csv(A.odd_headers(spark, folder))}
+             "manual_csv": csv_import.map_csv(A.odd_headers(spark, folder)), "directories": _directory_records(spark, folder)}
     return union_sources(parts).groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.expr("phone != ''")).alias("with_phone"))
 
 
@@ -583,6 +589,15 @@ def delivery_signals(spark, folder):
     return _contacts(spark, folder).select("page_id", joined("delivery").alias("delivery"), "order_online")
 
 
+@query
+def page_entities(spark, folder):
+    """References of every form in texts made of the pages' ids and addresses."""
+    n = F.col("page_id").cast("string")
+    text = F.concat(F.col("url"), F.lit("?a=1&b="), n, F.lit(" Bread &amp; Butter &#"), F.lit("8358;"), n, F.lit(" caf&eacute; &copy"), n,
+                    F.lit(" &notit; &nosuch; &#x1F600 &#150; &#0; &#xD800; &#11;|&#1114112; &; & &amp;amp; &lt;b&gt; fjord&aring &#39"), n)
+    return A.read(spark, folder, "pages")["pages"].select("page_id", unescape(text).alias("text"))
+
+
 @query
 def social_profiles(spark, folder):
     return _contacts(spark, folder).select("page_id", *[joined(c).alias(c) for c in enrich.SOCIAL_FIELDS])
@@ -761,18 +776,19 @@ def search_report(spark, folder):
 # ------------------------------------------------------------------------ reconciliation
 
 def _published(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {"kpis": census_kpis(spark, folder), "group_table": census_by_group(spark, folder),
-            "area_summary": area_summary(spark, folder), "group_area": group_area_matrix(spark, folder)}
+    return profiles.census_reports(businesses(spark, folder), PROFILE, TODAY)
 
 
 @query
 def dq_reconcile_kpis(spark, folder):
-    return profiles.verify(businesses(spark, folder), PROFILE, _published(spark, folder))["kpis"]
+    cells = profiles.verify(businesses(spark, folder), PROFILE, _published(spark, folder))["cells"]
+    return cells.filter("tbl = 'kpis'").select(F.col("row").alias("kpi"), "published", "recount", "ok")
 
 
 @query
 def dq_reconcile_groups(spark, folder):
-    return profiles.verify(businesses(spark, folder), PROFILE, _published(spark, folder))["groups"]
+    cells = profiles.verify(businesses(spark, folder), PROFILE, _published(spark, folder))["cells"]
+    return cells.filter("tbl = 'groups' and row <> 'TOTAL'").select(F.col("row").alias("grp"), "col", "published", "recount", "ok")
 
 
 @query
@@ -842,24 +858,54 @@ def stream_ingest(spark, folder):
     return spark.read.parquet(f"{root}/out")
 
 
+def _in_files(spark: SparkSession, folder: str, root: str, parts: list[int], of: int) -> None:
+    """The events in files of their own, dealt by id: each file holds early and late ones."""
+    events = A.read(spark, folder, "events")["events"]
+    for part in parts:
+        (events.filter(F.pmod(F.xxhash64("event_id"), F.lit(of)) == part).coalesce(1).write.mode("append").parquet(f"{root}/part-{part}"))
+
+
+def _lose_last_commit(spark: SparkSession, checkpoint: str) -> None:
+    """What a stream leaves that died after its last batch was written, before that was noted."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    last = max((int(f.getPath().getName()), f.getPath()) for f in fs.listStatus(path) if f.getPath().getName().isdigit())[1]
+    fs.delete(last, False)
+
+
 @query
 def stream_latest(spark, folder):
-    """Late rows supersede older ones: the latest event per user and kind."""
-    events = A.read(spark, folder, "events")["events"]
-    raw = ingest.read_files(spark, folder, events.schema, "events.parquet").select("user_id", "event_type", "event_id", "value")
+    """Late rows supersede nothing, later ones do: the latest event per user and kind, from six files in six batches, one run twice."""
     root = scratch_path(spark, "stream-latest")
-    ingest.append_log(raw, f"{root}/log", f"{root}/checkpoint").awaitTermination()
-    return ingest.current_rows(spark.read.parquet(f"{root}/log"), ["user_id", "event_type"], ["event_id"]).select(
-        "user_id", "event_type", "event_id", F.round("value", 4).alias("value"))
+    _in_files(spark, folder, f"{root}/in", range(6), 6)
+    schema = A.read(spark, folder, "events")["events"].schema
+
+    def go() -> None:
+        raw = ingest.read_files(spark, f"{root}/in/*", schema, files_per_trigger=1).select("user_id", "event_type", "event_id", "value")
+        ingest.upsert_latest(raw, f"{root}/out", f"{root}/checkpoint", ["user_id", "event_type"], ["event_id"], 8).awaitTermination()
+
+    go()
+    _lose_last_commit(spark, f"{root}/checkpoint")
+    go()
+    return ingest.read_current(spark, f"{root}/out").select("user_id", "event_type", "event_id", F.round("value", 4).alias("value"))
 
 
 @query
 def stream_states(spark, folder):
-    """Search states kept up to date by a stream of search events."""
-    events = A.read(spark, folder, "events")["events"]
-    raw = ingest.read_files(spark, folder, events.schema, "events.parquet")
-    raw.createOrReplaceTempView("events")
-    states = ingest.search_states(spark.sql(A.SEARCH_LOG))
+    """Search states kept up to date by a stream that stops after three files and starts again from its checkpoint for three more."""
     root = scratch_path(spark, "stream-states")
-    ingest.upsert_states(states, f"{root}/log", f"{root}/checkpoint").awaitTermination()
-    return ingest.current_rows(spark.read.parquet(f"{root}/log"), ["source", "term", "area"], ["happened_at"]).select("term", "area", "status")
+    schema = A.read(spark, folder, "events")["events"].schema
+
+    def go() -> None:
+        raw = ingest.read_files(spark, f"{root}/in/*", schema, files_per_trigger=2)
+        raw.createOrReplaceTempView("events")
+        ingest.keep_states(ingest.search_states(spark.sql(A.SEARCH_LOG)), f"{root}/out", f"{root}/checkpoint", 8).awaitTermination()
+
+    _in_files(spark, folder, f"{root}/in", range(3), 6)
+    go()
+    _in_files(spark, folder, f"{root}/in", range(3, 6), 6)
+    go()
+    return ingest.read_current(spark, f"{root}/out").select("term", "area", "status")
+
+
+from placebook.catalog import large, runs  # noqa: E402,F401 - they register their queries

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from placebook.functions.text import MOBILE, clean_phones
 
@@ -34,12 +35,56 @@ TAG = r"<[^>]+>"
 SCRIPTS = r"(?is)<(script|style)\b.*?</\1>"
 
 
-@F.pandas_udf(T.StringType())
-def unescape(html: pd.Series) -> pd.Series:
-    """HTML entities, named and numeric, as characters."""
-    from html import unescape as decode
+# what may follow an ampersand as a reference, and the names that also count without a semicolon
+_REFERENCE = r"^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+_OPEN_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+
+
+def _windows_1252(code: int) -> str:
+    """References to the bytes 128 to 159 mean the characters that Windows has there."""
+    try:
+        return bytes([code]).decode("cp1252")
+    except UnicodeDecodeError:
+        return chr(code)
+
+
+def _literal_map(pairs: dict[str, str]) -> Column:
+    """A constant map, folded once into the plan."""
+    return F.from_json(F.lit(json.dumps(pairs)), "map<string,string>")
+
+
+def _numbered(token: Column) -> Column:
+    """The character of a reference by number; '' where none is allowed, U+FFFD where there is none."""
+    digits = F.regexp_extract(token, "^#[xX]?0*([0-9a-fA-F]*)", 1)
+    hexadecimal = token.rlike("^#[xX]")
+    most = F.when(hexadecimal, 6).otherwise(7)               # longer numbers are no characters
+    code = F.when(digits == "", 0).when(F.length(digits) > most, 1 << 24).otherwise(
+        F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(digits).cast("int"))
+    low = F.try_element_at(F.array(*[F.lit(_windows_1252(c)) for c in range(128, 160)]), code - 127)
+    nothing = (code.between(1, 8) | (code == 11) | code.between(14, 31) | (code == 127) | code.between(0xFDD0, 0xFDEF)
+               | (F.pmod(code, F.lit(0x10000)) >= 0xFFFE))
+    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return (F.when((code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), "\ufffd").when(code.between(128, 159), low)
+            .when(nothing, "").otherwise(char))
+
+
+def _decoded(part: Column) -> Column:
+    """What follows an ampersand, with the reference at its start decoded."""
+    token = F.regexp_extract(part, _REFERENCE, 1)
+    rest = F.substr(part, F.length(token) + 1)
+    named = F.try_element_at(_literal_map(html5), token)
+    begun = F.get(F.filter(F.array(*[F.lit(n) for n in _OPEN_NAMES]), lambda n: F.startswith(token, n)), F.lit(0))
+    prefix = F.concat(F.try_element_at(_literal_map({n: html5[n] for n in _OPEN_NAMES}), begun), F.substr(token, F.length(begun) + 1))
+    value = F.when(token.startswith("#"), _numbered(token)).otherwise(F.coalesce(named, prefix, F.concat(F.lit("&"), token)))
+    return F.when(token == "", F.concat(F.lit("&"), part)).otherwise(F.concat(value, rest))
+
 
-    return html.map(lambda t: decode(t) if isinstance(t, str) and "&" in t else t)
+def unescape(html: Column | str) -> Column:
+    """HTML references, named and numbered, as characters: the text is split at its ampersands, and only what follows one is looked at."""
+    html = F.col(html) if isinstance(html, str) else html
+    parts = F.split(html, "&", -1)
+    decoded = F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), _decoded), ""))
+    return F.when(F.contains(html, F.lit("&")), decoded).otherwise(html)
 
 
 def emails(text: Column, words: Column) -> Column:
@@ -81,7 +126,7 @@ def delivery_signals(visible: Column) -> Column:
 def extract_contacts(pages: DataFrame, html: str = "html") -> DataFrame:
     """Add emails, phones, whatsapp, the five networks, delivery and order_online to a page table.
 
-    Entities are decoded in one Arrow pass; everything after is expressions in the JVM.
+    All of it is expressions in the JVM.
     """
     text, words, visible = F.col("_text"), F.col("_words"), F.col("_visible")
     numbers = F.concat(F.regexp_extract_all(text, F.lit(TEL_LINK), F.lit(1)),

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from placebook.areas import KM_PER_DEG_LAT, KM_PER_DEG_LNG, MAX_AREAS, Area
+from placebook.areas import KM_PER_DEG_LAT, KM_PER_DEG_LNG, Area
 from placebook.functions.text import column, let
 from placebook.schema import CORE_ZONE, OUTSIDE, RING_ZONE, UNASSIGNED
 
@@ -92,9 +92,8 @@ def assign_area(lat: Column | str, lng: Column | str, addr: Column | str, areas:
 
     The nearest area takes the point if it holds it: a point inside one area but nearer to another that
     does not hold it is outside. Beyond every geometry, or without coordinates, the address decides.
+    Every area is part of the expression: for a registry of hundreds use `operators.area_index`.
     """
-    if len(areas) > MAX_AREAS:
-        raise ValueError(f"more than {MAX_AREAS} areas")
     shapeless = [a for a in areas if a.kind == "name"]
     by_address = F.struct(F.coalesce(area_in_address(addr, areas), F.lit(UNASSIGNED)).alias("area"),
                           F.lit(None).cast("double").alias("distance_km"))

@@ -30,48 +30,63 @@ def first_hit(text: Column, rows: list[dict], ddl: str) -> Column:
     return let(text, look)
 
 
+def rule_text(label: Column | str, name: Column | str) -> Column:
+    """' label name ', in which keys are looked for: slashes count as blanks, runs of blanks as one."""
+    text = F.concat_ws(" ", F.coalesce(column(label), F.lit("")), F.coalesce(column(name), F.lit("")))
+    spaced = F.regexp_replace(F.replace(F.lower(text), F.lit("/"), F.lit(" ")), r"(?U)\s+", " ")
+    return F.concat(F.lit(" "), spaced, F.lit(" "))
+
+
 def classify(label: Column | str, name: Column | str, taxonomy: Taxonomy) -> Column:
     """struct(grp, sub, key) of the first rule whose key occurs in ' label name '.
 
-    Slashes count as blanks, runs of blanks as one; keys are substrings and are not trimmed, so a key
-    may ask for a word end ('park ').
+    Keys are substrings and are not trimmed, so a key may ask for a word end ('park ').
     """
-    text = F.concat_ws(" ", F.coalesce(column(label), F.lit("")), F.coalesce(column(name), F.lit("")))
-    spaced = F.regexp_replace(F.replace(F.lower(text), F.lit("/"), F.lit(" ")), r"(?U)\s+", " ")
-    blob = F.concat(F.lit(" "), spaced, F.lit(" "))
-    hit = first_hit(blob, [{"g": g, "s": s, "k": k.lower()} for g, s, k in taxonomy.rules],
+    hit = first_hit(rule_text(label, name), [{"g": g, "s": s, "k": k.lower()} for g, s, k in taxonomy.rules],
                     "struct<g:string,s:string,k:string>")
     nothing = F.struct(F.lit(UNCLASSIFIED_GROUP).alias("g"), F.lit(UNCLASSIFIED_SUB).alias("s"), F.lit("").alias("k"))
     return F.coalesce(hit, nothing).cast("struct<grp:string,sub:string,key:string>")
 
 
+def legacy_text(text: Column | str) -> Column:
+    """The text in which keys of the flat category are looked for."""
+    return F.concat(F.lit(" "), F.translate(F.lower(F.coalesce(column(text), F.lit(""))), "/-", "  "), F.lit(" "))
+
+
+def early_category(label: Column | str, name: Column | str) -> Column:
+    """The flat category by the early keys, which look at both texts; NULL without one."""
+    both = F.lower(F.concat_ws(" ", F.coalesce(column(label), F.lit("")), F.coalesce(column(name), F.lit(""))))
+    return F.coalesce(*[F.when(F.contains(both, F.lit(key)), F.lit(category)) for key, category in LEGACY_FIRST])
+
+
 def legacy_category(label: Column | str, name: Column | str, taxonomy: Taxonomy) -> Column:
     """The flat category: early keys over both texts, then the rules over the label, then over the name."""
-    label, name = F.coalesce(column(label), F.lit("")), F.coalesce(column(name), F.lit(""))
-    both = F.lower(F.concat_ws(" ", label, name))
     rows = [{"c": c, "k": k.strip()} for c, k in taxonomy.legacy if k.strip()]
 
-    def by_rules(text: Column) -> Column:
-        padded = F.concat(F.lit(" "), F.translate(F.lower(text), "/-", "  "), F.lit(" "))
-        return first_hit(padded, rows, "struct<c:string,k:string>")["c"]
+    def by_rules(text: Column | str) -> Column:
+        return first_hit(legacy_text(text), rows, "struct<c:string,k:string>")["c"]
 
-    early = [F.when(F.contains(both, F.lit(key)), F.lit(category)) for key, category in LEGACY_FIRST]
-    return F.coalesce(*early, by_rules(label), by_rules(name), F.lit(""))
+    return F.coalesce(early_category(label, name), by_rules(label), by_rules(name), F.lit(""))
 
 
 def unclassified(grp: Column | str = "grp", sub: Column | str = "sub") -> Column:
     return (column(grp) == UNCLASSIFIED_GROUP) & (column(sub) == UNCLASSIFIED_SUB)
 
 
+def retries() -> Column:
+    """Whether a record is classified a second time, if the first finds nothing: a directory listing without a category."""
+    return blank("label") & (source_kind("source") == "directory") & ~blank("notes")
+
+
 def classify_records(records: DataFrame, taxonomy: Taxonomy) -> DataFrame:
     """Fill grp, sub and, where empty, legacy18.
 
     A directory listing without a category is classified a second time, from its tagline. The first
-    result is a column of its own, so that it is worked out once.
+    result is a column of its own, so that it is worked out once. Every key is part of the expression: tables of
+    many hundred keys go through `operators.rule_index`, with the same results.
     """
     first = records.withColumn("_first", classify("label", "name", taxonomy))
-    retry = (unclassified(F.col("_first.grp"), F.col("_first.sub")) & blank("label")
-             & (source_kind("source") == "directory") & ~blank("notes"))
+    retry = unclassified(F.col("_first.grp"), F.col("_first.sub")) & retries()
     again = classify(F.substring("notes", 1, 160), "name", taxonomy)
     both = first.withColumn("_found", F.when(retry, again).otherwise(F.col("_first")))
     legacy = F.when(blank("legacy18"), legacy_category("label", "name", taxonomy)).otherwise(F.col("legacy18"))

@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from placebook.areas import Area
 from placebook.functions.rules import unclassified
+from placebook.functions.scoring import BAND_NAMES
 from placebook.functions.text import PHONE_FORMAT, blank
 from placebook.operators.priority import GOOGLE_VERIFIED, PRIORITY_A, PRIORITY_B, PRIORITY_C
-from placebook.schema import (CORE_ZONE, MULTI_SOURCE, OUTSIDE, RECORD, RING_ZONE, UNASSIGNED,
+from placebook.schema import (BASIS_FULL, COMPONENTS, CORE_ZONE, MULTI_SOURCE, OUTSIDE, RECORD, RING_ZONE, UNASSIGNED,
                               UNCLASSIFIED_GROUP, UNCLASSIFIED_SUB)
 from placebook.taxonomy import Taxonomy
 
+TOTAL = "TOTAL"
 MAX_UNCLASSIFIED = 0.05
 
 
@@ -63,6 +65,95 @@ def long_form(table: DataFrame, key: str, cols: list[str]) -> DataFrame:
     return table.select(key, F.explode(cells).alias("c")).select(key, "c.*")
 
 
+# ------------------------------------------------------------------------ the ledger: every number of every report as a cell
+
+def _cells(name: str, table: DataFrame, row: Column, cols: list[str]) -> DataFrame:
+    """A report as rows (tbl, row, col, value)."""
+    cells = F.array(*[F.struct(F.lit(c).alias("col"), F.col(f"`{c}`").cast("bigint").alias("value")) for c in cols])
+    return table.select(F.lit(name).alias("tbl"), row.alias("row"), F.explode(cells).alias("c")).select("tbl", "row", "c.col", "c.value")
+
+
+def _united(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+def census_cells(published: dict[str, DataFrame]) -> DataFrame:
+    """Every number of the census reports: tbl, row, col, value."""
+    matrix = published["group_area"]
+    pair = F.concat_ws(" > ", "area", "grp")
+    return _united([
+        _cells("kpis", published["kpis"], F.col("kpi"), ["value"]),
+        _cells("groups", published["group_table"], F.col("grp"), ["core", "ring", "total", "phone", "prio_a"]),
+        _cells("areas", published["area_summary"], F.col("area"), ["total", "phone", "google_verified", "prio_a", "prio_b", "prio_cd"]),
+        _cells("matrix", matrix, F.col("grp"), [c for c in matrix.columns if c not in ("group_ord", "grp")]),
+        _cells("tree", published["tree_coverage"], F.concat_ws(" > ", "grp", "sub"), ["found", "core", "ring"]),
+        _cells("research", published["research_matrix"], pair, ["found"])])
+
+
+def prospect_cells(published: dict[str, DataFrame]) -> DataFrame:
+    """Every number of the prospect reports: tbl, row, col, value."""
+    areas = published["area_category"]
+    return _united([
+        _cells("kpis", published["kpis"], F.col("kpi"), ["value"]),
+        _cells("areas", areas, F.col("area"), [c for c in areas.columns if c not in ("area_ord", "area")]),
+        _cells("components", published["components"], F.col("component"), ["prospects"]),
+        _cells("bands", published["bands"], F.col("band"), ["n"]), _cells("basis", published["basis"], F.col("score_basis"), ["n"])])
+
+
+def _recount(records: DataFrame, memberships: list[Column]) -> DataFrame:
+    """How many records are members of each cell; a membership is struct(tbl, row, col) or NULL. Combined before the shuffle."""
+    return (records.select(F.explode(F.array_compact(F.array(*memberships))).alias("m")).groupBy("m.tbl", "m.row", "m.col")
+            .agg(F.count(F.lit(1)).alias("recount")))
+
+
+def _member(tbl: str, row: Column | str, col: Column | str, test: Column | None = None) -> Column:
+    as_col = lambda x: F.lit(x) if isinstance(x, str) else x
+    cell = F.struct(F.lit(tbl).alias("tbl"), as_col(row).alias("row"), as_col(col).alias("col"))
+    return cell if test is None else F.when(test, cell)
+
+
+def recount_cells(records: DataFrame, taxonomy: Taxonomy, areas: list[Area], core: list[str]) -> DataFrame:
+    """The cells of the census reports, counted anew from what each record is a member of: tbl, row, col, recount."""
+    grp, area, zone, prio = F.col("grp"), F.col("area"), F.col("zone"), F.col("priority")
+    is_core, is_ring, phone = zone == CORE_ZONE, zone == RING_ZONE, F.length("phone") > 0
+    inside, checked, lead = is_core | is_ring, F.col("verification") == GOOGLE_VERIFIED, prio == PRIORITY_A
+    where = F.array(*[F.lit(a.name) for a in areas])
+    out = [_member("kpis", k, "value", test) for k, test in (
+        ("total", F.lit(True)), ("core", is_core), ("ring", is_ring), ("outside", zone == OUTSIDE), ("unassigned", zone == UNASSIGNED), ("phone", phone),
+        ("google_verified", checked), ("prio_a", lead), ("prio_b", prio == PRIORITY_B), ("prio_c", prio == PRIORITY_C), ("cross_verified", F.col("source") == MULTI_SOURCE))]
+    for row in (grp, F.lit(TOTAL)):
+        out += [_member("groups", row, c, test) for c, test in (
+            ("core", is_core), ("ring", is_ring), ("total", inside), ("phone", inside & phone), ("prio_a", lead))]
+        out += [_member("matrix", row, c) for c in (area, F.lit("total"))]
+    for row in (area, F.lit(TOTAL)):
+        out += [_member("areas", row, c, test) for c, test in (
+            ("total", None), ("phone", phone), ("google_verified", checked), ("prio_a", lead), ("prio_b", prio == PRIORITY_B),
+            ("prio_cd", ~F.coalesce(prio.isin(PRIORITY_A, PRIORITY_B), F.lit(False))))]
+    subs = F.concat_ws(" > ", "grp", "sub")
+    out += [_member("tree", subs, c, test) for c, test in (("found", None), ("core", is_core), ("ring", is_ring))]
+    out.append(_member("research", F.concat_ws(" > ", "area", "grp"), "found", F.array_contains(where, area)))
+    return _recount(records, out)
+
+
+def recount_prospects(records: DataFrame) -> DataFrame:
+    """The cells of the prospect reports, counted anew."""
+    parts, band, area = F.col("components"), F.col("band"), F.col("area")
+    out = [_member("kpis", k, "value", test) for k, test in (
+        ("total", F.lit(True)), *[(k, band == b) for k, b in zip(("hot", "warm", "cool", "cold"), BAND_NAMES)],
+        *[(k, parts[k] > 0) for k in ("delivery_flag", "catering", "chain")], *[(k, F.length(k) > 0) for k in ("phone", "whatsapp", "website", "email", "instagram")],
+        ("full_basis", F.col("score_basis") == BASIS_FULL))]
+    for row in (area, F.lit(TOTAL)):
+        out += [_member("areas", row, F.col("delivery_category")), _member("areas", row, "total"), _member("areas", row, "hot", band == BAND_NAMES[0])]
+    out += [_member("components", label, "prospects", parts[c] > 0) for c, label, _ in COMPONENTS]
+    out += [_member("bands", band, "n"), _member("basis", F.col("score_basis"), "n")]
+    return _recount(records, out)
+
+
+def reconcile_cells(published: DataFrame, recounted: DataFrame) -> DataFrame:
+    """Every cell beside its recount: tbl, row, col, published, recount, ok. A cell that only one side has counts 0 on the other."""
+    return reconcile(published, recounted, ["tbl", "row", "col"])
+
+
 def schema_problems(records: DataFrame, taxonomy: Taxonomy, areas: list[Area]) -> DataFrame:
     """Counts of records that break the schema: one row, all zeros when well."""
     known = F.array(*[F.lit(a.name) for a in areas], F.lit(OUTSIDE), F.lit(UNASSIGNED))
@@ -119,7 +210,7 @@ def report_totals(totals: dict[str, DataFrame]) -> DataFrame:
 
 def spot_check(records: DataFrame, run_id: str, n: int = 10) -> DataFrame:
     """A fixed sample for a human to check; the same for the same run. Nothing here says it was checked."""
-    return (records.withColumn("_h", F.xxhash64(F.lit(run_id), F.col("ord"))).orderBy("_h", "ord").limit(n)
+    return (records.withColumn("_h", F.md5(F.concat_ws(":", F.lit(run_id), F.col("ord")).cast("binary"))).orderBy("_h", "ord").limit(n)
             .select("ord", "name", "area", "grp", "sub", "phone", "addr", "source", "maps"))
 
 

@@ -1,13 +1,12 @@
 """Profiles and the stages they are made of.
 
-A run is geo -> classify -> dedupe -> enrich -> score -> report -> verify. Merging comes before
+A run is geo -> classify -> dedupe -> enrich -> score -> report -> verify, each stage stored (`stages`). Merging comes before
 enrichment and scoring, so that look-ups are spent once per business and a business listed twice does
 not pass for a chain.
 """
 
 from __future__ import annotations
 
-import time
 from dataclasses import dataclass, field
 from datetime import date
 
@@ -19,14 +18,15 @@ from placebook.functions.geo import assign_area, zone_of
 from placebook.functions.rules import classify_records
 from placebook.functions.scoring import in_scope, score_records
 from placebook.functions.text import first_filled, street_of
-from placebook.operators import enrich, quality, reports
+from placebook.operators import area_index, enrich, quality, reports, rule_index
 from placebook.operators.enrich import contact_channels
 from placebook.operators.ordering import census_order, number_rows, prospect_order
 from placebook.operators.priority import assign_priority, split_pois
 from placebook.operators.resolve import Resolution
+from placebook.plans.stages import Stages, files_of, read_metrics
 from placebook.schema import conform
 from placebook.session import materialise
-from placebook.sources.raw_store import write_metrics, write_reports, write_stage
+from placebook.sources.raw_store import read_stage
 from placebook.taxonomy import Taxonomy
 
 
@@ -70,17 +70,36 @@ def combined_profile(taxonomy: Taxonomy | None = None) -> Profile:
 
 # ------------------------------------------------------------------------ stages
 
+#: Areas that are tried one after another in an expression; a longer registry is looked up in an index, with the same areas.
+LITERAL_AREAS = 64
+
+
+def with_area(records: DataFrame, areas: list[Area]) -> DataFrame:
+    """Records with their area."""
+    if len(areas) <= LITERAL_AREAS:
+        return records.withColumn("area", assign_area("lat", "lng", "addr", areas)["area"])
+    index = area_index.build(area_index.registry(records.sparkSession, areas))
+    return area_index.assign(records, index).withColumn("area", F.col("placed.area")).drop("placed")
+
+
 def place(records: DataFrame, profile: Profile, today: str) -> DataFrame:
-    """Area, zone, street and date of mapped records; no shuffle."""
-    placed = records.withColumn("area", assign_area("lat", "lng", "addr", profile.areas)["area"])
+    """Area, zone, street and date of mapped records."""
+    placed = with_area(records, profile.areas)
     return placed.withColumns({
         "zone": zone_of("area", profile.core), "street": first_filled("street", street_of("addr")),
         "added": first_filled("added", F.lit(today))})
 
 
+#: Keys that are tried one after another in an expression; longer tables are looked up in an index, with the same results.
+LITERAL_KEYS = 400
+
+
 def classify(records: DataFrame, profile: Profile) -> DataFrame:
-    """Group, subcategory and legacy category; no shuffle."""
-    return classify_records(records, profile.taxonomy)
+    """Group, subcategory and legacy category."""
+    t, spark = profile.taxonomy, records.sparkSession
+    if max(len(t.rules), len(t.legacy)) <= LITERAL_KEYS:
+        return classify_records(records, t)
+    return rule_index.classify_records(records, t.rules_df(spark), t.legacy_df(spark))
 
 
 def warn_shapeless(profile: Profile) -> list[str]:
@@ -117,17 +136,6 @@ def score(records: DataFrame) -> DataFrame:
     return in_scope(score_records(records))
 
 
-def census(records: DataFrame, profile: Profile, today: str) -> dict[str, DataFrame]:
-    """From mapped records to the census: stages and reports by name."""
-    ready = materialise(conform(classify(place(records, profile, today), profile)), "classified")
-    resolution = Resolution(ready)
-    kept, dropped = finish_businesses(resolution.businesses(), profile)
-    kept = materialise(kept, "businesses")
-    out = {"classified": ready, "businesses": kept, "dropped_pois": dropped,
-           "decisions": resolution.decisions(), "conflicts": resolution.conflicts()}
-    return out | census_reports(kept, profile, today)
-
-
 def census_reports(records: DataFrame, profile: Profile, today: str) -> dict[str, DataFrame]:
     t, a, c = profile.taxonomy, profile.areas, profile.core
     return {
@@ -138,10 +146,8 @@ def census_reports(records: DataFrame, profile: Profile, today: str) -> dict[str
         "master": reports.census_export(number_rows(records, census_order()), a, today)}
 
 
-def prospects(businesses: DataFrame, profile: Profile, today: str) -> dict[str, DataFrame]:
-    """From enriched businesses to the scored prospect list and its reports."""
-    scored = materialise(score(businesses, businesses.count()), "scored")
-    return {"scored": scored, "kpis": reports.prospect_kpis(scored),
+def prospect_reports(scored: DataFrame, profile: Profile, today: str) -> dict[str, DataFrame]:
+    return {"kpis": reports.prospect_kpis(scored),
             "area_category": reports.area_category(scored, profile.areas), "components": reports.component_counts(scored),
             "bands": reports.count_by(scored, "band"), "basis": reports.count_by(scored, "score_basis"),
             "targets": reports.prospect_export(number_rows(scored, prospect_order()), today)}
@@ -153,7 +159,7 @@ def combine(runs: list[DataFrame], profile: Profile) -> tuple[Resolution, DataFr
     for i, run in enumerate(runs):
         part = conform(run.select(*[c for c in run.columns if c != "n_sightings"])).withColumn("_run", F.lit(i))
         union = part if union is None else union.unionByName(part)
-    placed = union.withColumn("area", assign_area("lat", "lng", "addr", profile.areas)["area"])
+    placed = with_area(union, profile.areas)
     order = [F.col("score").isNull(), F.col("_run"), F.col("ord")]
     numbered = number_rows(placed, order, "_ord").withColumn("ord", F.col("_ord")).drop("_ord", "_run")
     resolution = Resolution(numbered)
@@ -162,14 +168,18 @@ def combine(runs: list[DataFrame], profile: Profile) -> tuple[Resolution, DataFr
 
 
 def verify(records: DataFrame, profile: Profile, published: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The checks of a finished census, each a small table; `ok` columns say whether they hold."""
-    cells = ["core", "ring", "total", "phone", "prio_a"]
-    table = published["group_table"].filter(F.col("grp") != reports.TOTAL)
+    """The checks of a finished run, each a small table; `ok` columns say whether they hold.
+
+    `cells` recounts every number of every report from the records.
+    """
+    t, a, c = profile.taxonomy, profile.areas, profile.core
+    if profile.kind == "prospects":
+        return {"cells": quality.reconcile_cells(quality.prospect_cells(published), quality.recount_prospects(records)),
+                "schema": quality.schema_problems(records, t, a), "shared_phones": quality.shared_phones(records),
+                "shared_ids": quality.shared_place_ids(records)}
     return {
-        "kpis": quality.reconcile(published["kpis"], quality.recount_census(records), ["kpi"]),
-        "groups": quality.reconcile(quality.long_form(table, "grp", cells), quality.recount_groups(records), ["grp", "col"]),
-        "schema": quality.schema_problems(records, profile.taxonomy, profile.areas),
-        "unclassified": quality.unclassified_share(records),
+        "cells": quality.reconcile_cells(quality.census_cells(published), quality.recount_cells(records, t, a, c)),
+        "schema": quality.schema_problems(records, t, a), "unclassified": quality.unclassified_share(records),
         "shared_phones": quality.shared_phones(records), "shared_ids": quality.shared_place_ids(records),
         "row_counts": quality.report_totals({
             "records": records.agg(F.count(F.lit(1)).alias("n")),
@@ -177,16 +187,65 @@ def verify(records: DataFrame, profile: Profile, published: dict[str, DataFrame]
             "group_area": published["group_area"].filter(F.col("grp") == reports.TOTAL).select(F.col("total").alias("n"))})}
 
 
-def run_census(spark: SparkSession, records: DataFrame, profile: Profile, root: str, run_id: str, today: str) -> dict[str, DataFrame]:
-    """The census with its stages, reports and metrics stored below root."""
-    start = time.monotonic()
-    out = census(records, profile, today)
-    write_stage(out["businesses"].drop("n_sightings"), root, "businesses")
-    tables = {k: v for k, v in out.items() if k not in ("classified", "businesses")}
-    write_reports({k: _storable(v) for k, v in tables.items()}, root)
-    write_metrics(spark, root, run_id, "census", time.monotonic() - start,
-                  {"in": out["classified"].count(), "kept": out["businesses"].count()})
-    return out
+def _publish(stages: Stages, records: DataFrame, last: str, profile: Profile, today: str) -> dict[str, DataFrame]:
+    """Reports and checks of a run's finished records, stored."""
+    made = census_reports(records, profile, today) if profile.kind == "census" else prospect_reports(records, profile, today)
+    out = {name: stages.keep(name, lambda df=df: _storable(df), (last,), today, "reports") for name, df in made.items()}
+    checks = verify(records, profile, made)
+    return out | {f"check_{name}": stages.keep(f"check_{name}", lambda df=df: df, (last,), None, "checks") for name, df in checks.items()}
+
+
+def run(spark: SparkSession, records: DataFrame, profile: Profile, root: str, run_id: str, today: str, sites: DataFrame | None = None,
+        details: DataFrame | None = None, answers: DataFrame | None = None, inputs: str = "") -> dict[str, DataFrame]:
+    """A whole run from mapped records to reports and checks: stage by stage, each stored below root (`stages.Stages`).
+
+    sites, details and answers are what enrichment found (`enrich_records`). `inputs` names the version of the records, if the files
+    they are read from don't tell it. Started again after a crash, the run goes on at the first stage that isn't finished.
+    """
+    stages = Stages(spark, root, run_id, profile, inputs, files_of(records))
+    placed = stages.keep("geo", lambda: place(records, profile, today), settings=today, canonical=True)
+    ready = stages.keep("classify", lambda: classify(placed, profile), ("geo",), canonical=True)
+    resolved: list[Resolution] = []
+
+    def resolution() -> Resolution:
+        if not resolved:
+            resolved.append(Resolution(ready))
+        return resolved[0]
+
+    merged = stages.keep("dedupe", lambda: resolution().businesses().drop("n_sightings"), ("classify",), canonical=True)
+    decisions = stages.keep("decisions", lambda: resolution().decisions(), ("classify",),
+                            counts={"merged": F.count_if(F.col("action") == "merged"), "dropped": F.count_if(F.col("action") == "dropped")})
+    conflicts = stages.keep("conflicts", lambda: resolution().conflicts(), ("classify",))
+    found = [files_of(sites), files_of(details), files_of(answers)]
+    enriched = stages.keep("enrich", lambda: enrich_records(merged, today, sites, details, answers), ("dedupe",), [today, found], canonical=True)
+    kept = stages.keep("businesses", lambda: finish_businesses(enriched, profile)[0], ("enrich",), canonical=True)
+    dropped = stages.keep("dropped_pois", lambda: finish_businesses(enriched, profile)[1], ("enrich",))
+    out = {"classified": ready, "decisions": decisions, "conflicts": conflicts, "businesses": kept, "dropped_pois": dropped}
+    last = "businesses"
+    if profile.kind == "prospects":
+        out["scored"], last = stages.keep("scored", lambda: score(kept), ("businesses",), canonical=True), "scored"
+    return out | _publish(stages, out[last], last, profile, today)
+
+
+def run_combined(spark: SparkSession, roots: list[str], profile: Profile, root: str, run_id: str, today: str) -> dict[str, DataFrame]:
+    """Finished runs as one: the last records stage of each (scored ones, or businesses), merged, published and checked."""
+    runs = [_last_stage(spark, r) for r in roots]
+    stages = Stages(spark, root, run_id, profile, *[files_of(r) for r in runs])
+    resolved: list[tuple[Resolution, DataFrame]] = []
+
+    def both() -> tuple[Resolution, DataFrame]:
+        if not resolved:
+            resolved.append(combine(runs, profile))
+        return resolved[0]
+
+    kept = stages.keep("businesses", lambda: both()[1].drop("n_sightings"), canonical=True)
+    decisions = stages.keep("decisions", lambda: both()[0].decisions())
+    return {"businesses": kept, "decisions": decisions} | _publish(stages, kept, "businesses", profile, today)
+
+
+def _last_stage(spark: SparkSession, root: str) -> DataFrame:
+    done = {r["stage"] for r in read_metrics(spark, root).filter("state = 'done'").select("stage").collect()}      # one row per stage
+    return read_stage(spark, root, "scored" if "scored" in done else "businesses")
 
 
 def _storable(df: DataFrame) -> DataFrame:

@@ -126,9 +126,6 @@ STARTER_TERMS = [
     ("Hospitality", "hotel"), ("Food & Restaurants", "Restaurant"),
 ]
 
-# rules become a literal inside every row's expression: they are a dimension, and this is its bound
-MAX_LITERAL_ROWS = 20_000
-
 
 @dataclass(frozen=True)
 class Taxonomy:
@@ -146,10 +143,13 @@ class Taxonomy:
 
     @classmethod
     def load(cls, spark: SparkSession, folder: str) -> "Taxonomy":
-        """Read tree, rules, legacy and terms from CSV files with a header, ordered by their `ord`."""
+        """Read tree, rules, legacy and terms from CSV files with a header, ordered by their `ord`.
+
+        They are a project's settings, held by the driver; where records meet them, long tables are joined (`rule_index`).
+        """
         def rows(name: str, *cols: str) -> list[tuple]:
             df = (spark.read.option("header", True).option("multiLine", True).csv(f"{folder}/{name}.csv"))
-            return _bounded(df.selectExpr("cast(ord as bigint) ord", *cols).orderBy("ord"), name)
+            return [tuple(r)[1:] for r in df.selectExpr("cast(ord as bigint) ord", *cols).orderBy("ord").collect()]
         return cls(rows("tree", "grp", "sub"), rows("rules", "grp", "sub", "key"),
                    rows("legacy", "category", "key"), rows("terms", "grp", "term"))
 
@@ -169,6 +169,9 @@ class Taxonomy:
         return spark.createDataFrame([(i, g, s, k) for i, (g, s, k) in enumerate(self.rules)],
                                      "rule_ord int, grp string, sub string, key string")
 
+    def legacy_df(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame([(i, c, k) for i, (c, k) in enumerate(self.legacy)], "legacy_ord int, category string, key string")
+
     def terms_df(self, spark: SparkSession) -> DataFrame:
         """Search terms without case duplicates; the first spelling stays."""
         from pyspark.sql import functions as F
@@ -178,10 +181,3 @@ class Taxonomy:
         return (raw.groupBy(F.lower("term").alias("_k"))
                 .agg(F.min(F.struct("term_ord", "grp", "term")).alias("t"))
                 .select("t.term_ord", "t.grp", "t.term"))
-
-
-def _bounded(df: DataFrame, name: str) -> list[tuple]:
-    rows = df.limit(MAX_LITERAL_ROWS + 1).collect()
-    if len(rows) > MAX_LITERAL_ROWS:
-        raise ValueError(f"{name} holds more than {MAX_LITERAL_ROWS} rows; it must stay a dimension")
-    return [tuple(r)[1:] for r in rows]

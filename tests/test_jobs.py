@@ -9,7 +9,9 @@ from placebook.areas import CENSUS_AREAS
 from placebook.catalog import adapters as A
 from placebook.operators import quality, reports
 from placebook.plans import profiles
+from placebook.plans.stages import Stages, read_metrics
 from placebook.schema import RECORD, conform
+from placebook.session import materialise
 
 FOLDER = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.exists(FOLDER), reason="test tables not here")
@@ -24,7 +26,7 @@ def job(spark, tmp_path_factory):
     records = raw.unionByName(pois).unionByName(nameless)
     profile = profiles.census_profile()
     root = str(tmp_path_factory.mktemp("run"))
-    return profile, profiles.run_census(spark, records, profile, root, "r1", "2026-12-01"), root
+    return profile, profiles.run(spark, materialise(records, "mapped"), profile, root, "r1", "2026-12-01"), root
 
 
 @needs_tables
@@ -42,23 +44,30 @@ def test_every_record_is_accounted_for(spark, job):
     assert ids == list(range(1, n["businesses"] + 1)) and len(out["master"].columns) == 37
     stored = spark.read.parquet(f"{root}/reports/kpis")
     assert stored.count() == 11 and spark.read.schema(RECORD).parquet(f"{root}/stages/businesses").count() == n["businesses"]
-    assert spark.read.parquet(f"{root}/metrics").first().counts["kept"] == n["businesses"]
+    noted = {r.stage: r for r in read_metrics(spark, root).collect()}
+    assert noted["businesses"].counts["rows"] == n["businesses"] and noted["decisions"].counts["merged"] == actions["merged"]
+    assert {r.state for r in noted.values()} == {"done"} and {r.run_id for r in noted.values()} == {"r1"}
 
 
 @needs_tables
 def test_checks_hold_and_fail_when_they_must(spark, job):
     profile, out, _ = job
     kept = out["businesses"]
-    checks = profiles.verify(kept, profile, out)
-    assert checks["kpis"].filter("not ok").count() == 0 and checks["groups"].filter("not ok").count() == 0
+    published = profiles.census_reports(kept, profile, "2026-12-01")
+    checks = profiles.verify(kept, profile, published)
+    assert checks["cells"].filter("not ok").count() == 0 and checks["cells"].select("tbl").distinct().count() == 6
     assert checks["row_counts"].filter("not ok").count() == 0
     problems = checks["schema"].first()
     assert problems.records == kept.count() and problems[1:] == (0, 0, 0, 0, 0)
     assert checks["shared_phones"].filter("not ok").count() == 0 and checks["shared_ids"].count() == 0
     # a number taken from the wrong column, a bad phone, an unknown category, a true duplicate
-    wrong = out["kpis"].withColumn("value", F.when(F.col("kpi") == "phone", 0).otherwise(F.col("value")))
-    bad = quality.reconcile(wrong, quality.recount_census(kept), ["kpi"]).filter("not ok").collect()
-    assert [(r.kpi, r.published) for r in bad] == [("phone", 0)] and bad[0].recount > 0
+    wrong = published | {
+        "kpis": published["kpis"].withColumn("value", F.when(F.col("kpi") == "phone", 0).otherwise(F.col("value"))),
+        "tree_coverage": published["tree_coverage"].filter("found = 0 or grp <> 'Hospitality'")}
+    cells = quality.reconcile_cells(quality.census_cells(wrong), quality.recount_cells(kept, profile.taxonomy, profile.areas, profile.core))
+    bad = {(r.tbl, r.row, r.col): r for r in cells.filter("not ok").collect()}
+    assert bad["kpis", "phone", "value"].published == 0 < bad["kpis", "phone", "value"].recount
+    assert {k[1].split(" > ")[0] for k in bad if k[0] == "tree"} == {"Hospitality"} and {k[0] for k in bad} == {"kpis", "tree"}
     spoiled = kept.withColumns({"phone": F.when(F.col("ord") == kept.first().ord, "0803").otherwise(F.col("phone")),
                                 "sub": F.when(F.col("grp") == "Hospitality", "Castles").otherwise(F.col("sub"))})
     found = quality.schema_problems(spoiled, profile.taxonomy, CENSUS_AREAS).first()
@@ -79,22 +88,88 @@ def test_resolving_again_changes_little_and_never_grows(spark, job):
     assert again.clusters.select("cluster").distinct().count() <= once.count()
 
 
+@needs_tables
+def test_a_run_that_died_goes_on_where_it_stopped(spark, tmp_path, monkeypatch):
+    records = materialise(A.sightings(spark, FOLDER).filter("ord % 3 = 0"), "mapped")
+    profile, root = profiles.census_profile(), str(tmp_path / "run")
+    ran = []
+    keep, finish = Stages.keep, profiles.finish_businesses
+
+    def watched(self, name, make, *a, **b):
+        def counted():
+            ran.append(name)
+            return make()
+        return keep(self, name, counted, *a, **b)
+
+    monkeypatch.setattr(Stages, "keep", watched)
+    monkeypatch.setattr(profiles, "finish_businesses", lambda *a: (_ for _ in ()).throw(RuntimeError("died")))
+    with pytest.raises(RuntimeError, match="died"):
+        profiles.run(spark, records, profile, root, "r1", "2026-12-01")
+    assert ran == ["geo", "classify", "dedupe", "decisions", "conflicts", "enrich", "businesses"]
+    states = {r.stage: r.state for r in read_metrics(spark, root).collect()}
+    assert states["enrich"] == "done" and "businesses" not in states
+    monkeypatch.setattr(profiles, "finish_businesses", finish)
+    ran.clear()
+    out = profiles.run(spark, records, profile, root, "r1", "2026-12-01")
+    assert ran[:2] == ["businesses", "dropped_pois"] and "geo" not in ran and "dedupe" not in ran
+    first = sorted(map(str, out["businesses"].collect()))
+    ran.clear()
+    again = profiles.run(spark, records, profile, root, "r2", "2026-12-01")                     # everything is there
+    assert ran == [] and sorted(map(str, again["businesses"].collect())) == first
+    profiles.run(spark, records, profile, root, "r3", "2026-12-02")                             # another day: from the first stage
+    assert ran[0] == "geo" and "dedupe" in ran
+    ran.clear()
+    other = materialise(records.withColumn("name", F.concat("name", F.lit(" Stores"))), "other")
+    profiles.run(spark, other, profile, root, "r4", "2026-12-02")                                # other records: from the first stage
+    assert ran[0] == "geo"
+
+
+@needs_tables
+def test_a_prospect_run_with_enrichment(spark, tmp_path):
+    from placebook.catalog import queries as Q
+    from placebook.operators import enrich
+    from placebook.sources import place_details
+
+    records = materialise(A.sightings(spark, FOLDER), "mapped")
+    sites = materialise(enrich.site_contacts(A.site_pages(spark, FOLDER)), "sites")
+    details = materialise(place_details.parse_details(A.details(spark, FOLDER)), "details")
+    answers = materialise(place_details.latest_answers(A.api_answers(spark, FOLDER)), "answers")
+    profile = profiles.Profile("prospects", CENSUS_AREAS)
+    root = str(tmp_path / "prospects")
+    out = profiles.run(spark, records, profile, root, "p1", Q.TODAY, sites, details, answers)
+    scored = out["scored"]
+    assert scored.count() > 0 and scored.filter("score is null or delivery_category = 'Other'").count() == 0
+    assert {r.value for r in out["kpis"].filter("kpi = 'total'").collect()} == {scored.count()}
+    assert out["check_cells"].filter("not ok").count() == 0 and out["check_cells"].select("tbl").distinct().count() == 5
+    plain = profiles.run(spark, records, profile, str(tmp_path / "plain"), "p2", Q.TODAY)["businesses"]
+    assert out["businesses"].filter("email <> ''").count() > plain.filter("email <> ''").count() == 0          # enrichment took effect
+    assert sorted(r.rank for r in out["targets"].select("rank").collect()) == list(range(1, scored.count() + 1))
+    census = str(tmp_path / "census")
+    profiles.run(spark, records, profiles.census_profile(), census, "c1", Q.TODAY)
+    both = profiles.run_combined(spark, [census, root], profiles.combined_profile(), str(tmp_path / "both"), "b1", Q.TODAY)
+    assert both["businesses"].filter("score is not null").count() > 0 and both["check_cells"].filter("not ok").count() == 0
+    assert both["decisions"].filter("action = 'merged'").count() > 0
+
+
 def test_combined_runs(spark):
-    g = "Google Maps (sweep, Oct 2026)"
-    base = dict(source=g, sources_all=[g])
+    """A scored run leads, whatever its place in the list; a business of both keeps the score and the better place."""
+    found = "OpenStreetMap (Oct 2026)"
 
     def run(rows):
-        return conform(spark.createDataFrame([tuple({**base, **r}.get(f.name) for f in RECORD.fields) for r in rows], RECORD))
-
-    census = run([dict(ord=1, name="Fixture Mart Lekki", addr="Yaba", phone="+2348031234567"), dict(ord=2, name="Only Census", lat=6.5600, lng=3.3695)])
-    scored = run([dict(ord=1, name="Fixture Mart Lekki", addr="1 Road, Victoria Island", score=70.0, phone="+2348031234567",
-                       additional_info={"Service options": [{"Delivery": True}]}), dict(ord=2, name="Buka", addr="x", score=20.0)])
-    _, out = profiles.combine([census, scored], profiles.combined_profile())
-    got = {r.name: r for r in out.collect()}
-    assert set(got) == {"Fixture Mart Lekki", "Only Census", "Buka"}
-    mart = got["Fixture Mart Lekki"]
-    assert (mart.score, mart.area, mart.zone, mart.ord) == (70.0, "Victoria Island", "Ring area", 1) and mart.priority.startswith("C")
-    assert mart.additional_info == {"Service options": [{"Delivery": True}]} and got["Only Census"].zone == "Core catchment"
+        full = [{"source": found, "sources_all": [found], **r} for r in rows]
+        return conform(spark.createDataFrame([tuple(r.get(f.name) for f in RECORD.fields) for r in full], RECORD))
+
+    takeout = {"Service options": [{"Takeout": True}]}
+    plain = run([{"ord": 7, "name": "Corner Bakery Obanikoro", "addr": "Yaba market", "phone": "+2348055550101"},
+                 {"ord": 9, "name": "Tailor at the Gate", "lat": 6.5600, "lng": 3.3695}])
+    rated = run([{"ord": 3, "name": "Corner Bakery Obanikoro", "addr": "8 Close, Ikoyi", "score": 55.5, "phone": "+2348055550101", "additional_info": takeout},
+                 {"ord": 4, "name": "Night Kiosk", "addr": "nowhere", "score": 31.0}])
+    _, out = profiles.combine([plain, rated], profiles.combined_profile())
+    by_name = {r.name: r for r in out.collect()}
+    assert sorted(by_name) == ["Corner Bakery Obanikoro", "Night Kiosk", "Tailor at the Gate"]
+    bakery, tailor = by_name["Corner Bakery Obanikoro"], by_name["Tailor at the Gate"]
+    assert (bakery.ord, bakery.score, bakery.area, bakery.zone) == (1, 55.5, "Ikoyi", "Ring area") and bakery.additional_info == takeout
+    assert bakery.priority.startswith("C") and (tailor.ord, tailor.zone, tailor.score) == (3, "Core catchment", None)
 
 
 def test_profiles_refuse_nonsense():

@@ -209,3 +209,54 @@ def test_medians_of_large_groups(spark):
     for k in {k for k, _ in rows}:
         vs = [v for key, v in rows if key == k]
         assert abs(got[k][0] - statistics.median(vs)) < 1e-12 and got[k][1] == len(vs)
+
+
+def test_a_table_of_latest_rows(spark, tmp_path):
+    """Late rows, equal keys in one batch, a batch run twice, a second stream that numbers its batches from 0 again."""
+    import shutil
+
+    from placebook.streaming import ingest
+    src, out, mark = (str(tmp_path / x) for x in ("in", "out", "mark"))
+    schema = spark.createDataFrame([], "k string, at int, v string").schema
+
+    def feed(rows, where=src):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(where)
+
+    def go(where=src, checkpoint=mark):
+        ingest.upsert_latest(ingest.read_files(spark, where, schema), out, checkpoint, ["k"], ["at", "v"], 4).awaitTermination()
+        return {r.k: (r.at, r.v) for r in ingest.read_current(spark, out).collect()}
+
+    feed([("a", 5, "five"), ("a", 5, "tie"), ("b", 1, "x"), (None, 1, "no key")])
+    assert go() == {"a": (5, "tie"), "b": (1, "x"), None: (1, "no key")}
+    feed([("a", 4, "late"), ("b", 2, "y"), ("c", 1, "z")])
+    want = {"a": (5, "tie"), "b": (2, "y"), "c": (1, "z"), None: (1, "no key")}
+    assert go() == want
+    files = lambda: sorted(str(f) for f in (tmp_path / "out" / "current").rglob("*.parquet"))
+    before = files()
+    def lose() -> None:
+        for name in ("1", ".1.crc"):
+            (tmp_path / "mark" / "commits" / name).unlink()
+
+    lose()                                                                            # written, but the stream didn't know
+    assert go() == want and files() == before                                         # the marker kept it from doing it again
+    lose()
+    shutil.rmtree(tmp_path / "out" / "applied" / f"stream={ingest.stream_name(mark)}" / "batch=1")
+    assert go() == want and files() != before                                         # without one it is done again, to the same end
+    feed([("b", 3, "other stream")], str(tmp_path / "in2"))
+    assert go(str(tmp_path / "in2"), str(tmp_path / "mark2"))["b"] == (3, "other stream")
+    assert ingest.apply_batch(spark.createDataFrame([], schema), out, "stream=empty/batch=0", ["k"], ["at", "v"], 4)
+
+
+def test_search_states_go_on_from_the_checkpoint(spark, tmp_path):
+    from placebook.streaming import ingest
+    src, out, mark = (str(tmp_path / x) for x in ("in", "out", "mark"))
+    schema = spark.createDataFrame([], "source string, term string, area string, status string, happened_at int, event_id long").schema
+
+    def feed(*rows):
+        spark.createDataFrame([("s", *r) for r in rows], schema).coalesce(1).write.mode("append").parquet(src)
+        ingest.keep_states(ingest.search_states(ingest.read_files(spark, src, schema)), out, mark, 2).awaitTermination()
+        return {(r.term, r.area): r.status for r in ingest.read_current(spark, out).collect()}
+
+    assert feed(("t", "a", "running", 1, 1), ("t", "b", "done", 5, 2)) == {("t", "a"): "running", ("t", "b"): "done"}
+    assert feed(("t", "a", "error", 1, 3), ("t", "b", "running", 4, 9)) == {("t", "a"): "error", ("t", "b"): "done"}       # equal times: the later event
+    assert feed(("t", "a", "stale", 1, 2)) == {("t", "a"): "error", ("t", "b"): "done"}
