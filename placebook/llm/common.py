@@ -21,9 +21,9 @@ class Scratch:
         self.paths: dict[int, str] = {}
         self.written: set[str] = set()
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
         path = scratch_path(self.spark, f"{self.label}-{name}")
-        df.write.parquet(path)
+        df.write.option("compression", codec).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
         self.written.add(path)

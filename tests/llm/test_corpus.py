@@ -356,8 +356,9 @@ def test_packing_keeps_the_training_order(spark, tmp_path):
     assert [r["place"] for r in mixed] == list(range(1, len(mixed) + 1))
     assert [r["doc_id"] for r in mixed] == [r["doc_id"] for r in curriculum.mix(docs).collect()]
     curriculum.mix(docs).write.parquet(str(tmp_path / "mix"))
-    reread = corpus_pipeline.in_order(spark.read.parquet(str(tmp_path / "mix")))
-    assert [r["doc_id"] for r in reread.orderBy("place").collect()] == [r["doc_id"] for r in mixed]
+    reread = corpus_pipeline.numbered(spark, spark.read.parquet(str(tmp_path / "mix")))
+    assert [r["doc_id"] for r in reread.orderBy("_place").collect()] == [r["doc_id"] for r in mixed]
+    assert sorted(r["_place"] for r in reread.collect()) == list(range(1, len(mixed) + 1))
     shuffled = spark.createDataFrame(rng.sample(mixed, len(mixed)), "doc_id long, text string, source string, place long")
     got = packing.pack(shuffled, block_docs=50, order="place").collect()
     for block in range(-(-len(mixed) // 50)):
@@ -429,7 +430,21 @@ def test_pipeline(spark, odd):
     sets = {r["doc_id"]: shingles(r["text"]) for r in at["near_dedup"].collect()}
     assert not [1 for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        assert stage(spark, odd, "").columns == odd.columns
+        assert stage(spark, odd, "").columns == odd.columns and stage(spark, odd.limit(0), "").count() == 0
+    pack = corpus_pipeline.STAGES[-1][1]
+    assert pack(spark, odd, "").select("doc_id").distinct().count() == 8 and pack(spark, odd.limit(0), "").count() == 0
+
+
+def test_near_dedup_judges_rows_and_not_ids(spark):
+    import corpus_pipeline
+    rng = random.Random(21)
+    a, b, c, d = (words(rng, 40) for _ in range(4))
+    near = a.rsplit(" ", 2)[0] + " other end"
+    rows = [(3, a), (5, a), (5, b), (5, near), (None, c), (None, c), (None, d), (7, c), (8, None), (9, ""), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in got) == sorted((str(i), str(t)) for i, t in [
+        (3, a), (5, b), (7, c), (None, d), (8, None), (9, ""), (9, "")])
 
 
 @pytest.mark.parametrize("name", ["op3_impact_topk", "op4_minhash", "op8_cover_tree"])
