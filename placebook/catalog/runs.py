@@ -61,7 +61,7 @@ def stored_decisions(spark, folder):
 # ------------------------------------------------------------------------ the ledger
 
 def _ledger(spark, folder, name: str) -> DataFrame:
-    cells = spark.read.parquet(f"{run_root(spark, folder)}/checks/check_cells")
+    cells = spark.read.parquet(f"{run_root(spark, folder)}/checks/cells")
     return cells.filter(F.col("tbl") == name).select("row", "col", "published", "recount", "ok")
 
 

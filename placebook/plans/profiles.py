@@ -189,10 +189,12 @@ def verify(records: DataFrame, profile: Profile, published: dict[str, DataFrame]
 
 def _publish(stages: Stages, records: DataFrame, last: str, profile: Profile, today: str) -> dict[str, DataFrame]:
     """Reports and checks of a run's finished records, stored."""
-    made = census_reports(records, profile, today) if profile.kind == "census" else prospect_reports(records, profile, today)
-    out = {name: stages.keep(name, lambda df=df: _storable(df), (last,), today, "reports") for name, df in made.items()}
-    checks = verify(records, profile, made)
-    return out | {f"check_{name}": stages.keep(f"check_{name}", lambda df=df: df, (last,), None, "checks") for name, df in checks.items()}
+    def made() -> dict[str, DataFrame]:
+        return census_reports(records, profile, today) if profile.kind == "census" else prospect_reports(records, profile, today)
+
+    stored = stages.keep_all("reports", lambda: {k: _storable(v) for k, v in made().items()}, (last,), today)
+    checks = stages.keep_all("checks", lambda: verify(records, profile, made()), ("reports",))
+    return stored | {f"check_{k}": v for k, v in checks.items()}
 
 
 def run(spark: SparkSession, records: DataFrame, profile: Profile, root: str, run_id: str, today: str, sites: DataFrame | None = None,

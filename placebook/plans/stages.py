@@ -14,7 +14,7 @@ import time
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from placebook.schema import RECORD, conform
@@ -58,14 +58,14 @@ class Stages:
         self.spark.createDataFrame(row, MARK).coalesce(1).write.mode("overwrite").parquet(self._mark_path(name))
 
     def keep(self, name: str, make: Callable[[], DataFrame], after: tuple[str, ...] = ("",), settings: object = None,
-             folder: str = "stages", canonical: bool = False, counts: dict[str, Column] | None = None) -> DataFrame:
+             canonical: bool = False, counts: dict[str, Column] | None = None) -> DataFrame:
         """The stage's table: read back if it is finished, else made, stored and marked.
 
         after: the stages it reads; settings: what else decides its result; canonical: only the record's schema passes;
         counts: further aggregates to note, beside the number of rows.
         """
         self.marks[name] = mark_of(name, settings, *[self.marks[a] for a in after])
-        path = f"{self.root}/{folder}/{name}"
+        path = f"{self.root}/stages/{name}"
         before = self._state(name)
         if before == (self.marks[name], "done"):
             return self._read(path, canonical)
@@ -80,6 +80,26 @@ class Stages:
         self.ran.append(name)
         return out
 
+    def keep_all(self, name: str, make: Callable[[], dict[str, DataFrame]], after: tuple[str, ...], settings: object = None) -> dict[str, DataFrame]:
+        """A stage of several small tables (reports, checks) below a folder of its name, under one mark that counts their rows."""
+        self.marks[name] = mark_of(name, settings, *[self.marks[a] for a in after])
+        path = f"{self.root}/{name}"
+        before = self._state(name)
+        if before == (self.marks[name], "done"):
+            names = self.spark.read.schema(MARK).parquet(self._mark_path(name)).first()["counts"]
+            return {t: self.spark.read.parquet(f"{path}/{t}") for t in names}
+        start = time.monotonic()
+        if before:
+            self._note(name, "running", 0.0, {})
+        counts = {}
+        for table, df in make().items():
+            seen = Observation()
+            df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{path}/{table}")
+            counts[table] = seen.get["n"]
+        self._note(name, "done", time.monotonic() - start, counts)
+        self.ran.append(name)
+        return {t: self.spark.read.parquet(f"{path}/{t}") for t in counts}
+
     def _read(self, path: str, canonical: bool) -> DataFrame:
         return self.spark.read.schema(RECORD).parquet(path) if canonical else self.spark.read.parquet(path)
 

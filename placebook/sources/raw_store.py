@@ -1,4 +1,4 @@
-"""Raw rows, stage tables, reports and run metrics on shared storage."""
+"""Raw rows and record tables on shared storage."""
 
 from __future__ import annotations
 
@@ -80,17 +80,3 @@ def write_stage(records: DataFrame, root: str, stage: str) -> None:
 
 def read_stage(spark: SparkSession, root: str, stage: str) -> DataFrame:
     return spark.read.schema(RECORD).parquet(f"{root}/stages/{stage}")
-
-
-def write_reports(reports: dict[str, DataFrame], root: str) -> None:
-    """One Parquet dataset per report."""
-    for name, df in reports.items():
-        df.write.mode("overwrite").parquet(f"{root}/reports/{name}")
-
-
-def write_metrics(spark: SparkSession, root: str, run_id: str, stage: str, seconds: float, counts: dict) -> None:
-    """One row per finished stage: counts, time and versions. Writing a stage again replaces its row."""
-    row = [(run_id, stage, float(seconds), spark.version, {k: int(v) for k, v in counts.items()})]
-    (spark.createDataFrame(row, "run_id string, stage string, seconds double, spark_version string, "
-                                "counts map<string,bigint>")
-     .coalesce(1).write.mode("overwrite").parquet(f"{root}/metrics/run={run_id}/stage_dir={stage}"))

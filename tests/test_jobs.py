@@ -90,42 +90,49 @@ def test_resolving_again_changes_little_and_never_grows(spark, job):
 
 @needs_tables
 def test_a_run_that_died_goes_on_where_it_stopped(spark, tmp_path, monkeypatch):
-    records = materialise(A.sightings(spark, FOLDER).filter("ord % 3 = 0"), "mapped")
+    records = materialise(A.sightings(spark, FOLDER).filter("ord % 20 = 0"), "mapped")
     profile, root = profiles.census_profile(), str(tmp_path / "run")
-    ran = []
-    keep, finish = Stages.keep, profiles.finish_businesses
-
-    def watched(self, name, make, *a, **b):
-        def counted():
-            ran.append(name)
-            return make()
-        return keep(self, name, counted, *a, **b)
-
-    monkeypatch.setattr(Stages, "keep", watched)
+    finish, made = profiles.finish_businesses, []
     monkeypatch.setattr(profiles, "finish_businesses", lambda *a: (_ for _ in ()).throw(RuntimeError("died")))
     with pytest.raises(RuntimeError, match="died"):
         profiles.run(spark, records, profile, root, "r1", "2026-12-01")
-    assert ran == ["geo", "classify", "dedupe", "decisions", "conflicts", "enrich", "businesses"]
-    states = {r.stage: r.state for r in read_metrics(spark, root).collect()}
-    assert states["enrich"] == "done" and "businesses" not in states
+    before = {r.stage: r for r in read_metrics(spark, root).collect()}
+    assert set(before) == {"geo", "classify", "dedupe", "decisions", "conflicts", "enrich"}
     monkeypatch.setattr(profiles, "finish_businesses", finish)
-    ran.clear()
-    out = profiles.run(spark, records, profile, root, "r1", "2026-12-01")
-    assert ran[:2] == ["businesses", "dropped_pois"] and "geo" not in ran and "dedupe" not in ran
-    first = sorted(map(str, out["businesses"].collect()))
-    ran.clear()
-    again = profiles.run(spark, records, profile, root, "r2", "2026-12-01")                     # everything is there
-    assert ran == [] and sorted(map(str, again["businesses"].collect())) == first
-    profiles.run(spark, records, profile, root, "r3", "2026-12-02")                             # another day: from the first stage
-    assert ran[0] == "geo" and "dedupe" in ran
-    ran.clear()
-    other = materialise(records.withColumn("name", F.concat("name", F.lit(" Stores"))), "other")
-    profiles.run(spark, other, profile, root, "r4", "2026-12-02")                                # other records: from the first stage
-    assert ran[0] == "geo"
+    monkeypatch.setattr(profiles, "Resolution", lambda *a: made.append("resolved"))
+    out = profiles.run(spark, records, profile, root, "r2", "2026-12-01")
+    after = {r.stage: r for r in read_metrics(spark, root).collect()}
+    assert not made and all(after[s] == before[s] for s in before)                              # not run again
+    assert {s for s, r in after.items() if r.run_id == "r2"} == {"businesses", "dropped_pois", "reports", "checks"}
+    assert out["check_cells"].filter("not ok").count() == 0 and after["reports"].counts["master"] == out["businesses"].count()
+
+
+def test_stages_are_kept_until_something_changes(spark, tmp_path):
+    root, made = str(tmp_path / "run"), []
+
+    def go(run_id, base="b", today="1"):
+        made.clear()
+        stages = Stages(spark, root, run_id, base)
+
+        def make(name, n):
+            made.append(name)
+            return spark.range(n)
+
+        one = stages.keep("one", lambda: make("one", 3), counts={"even": F.count_if(F.col("id") % 2 == 0)})
+        two = stages.keep("two", lambda: make("two", 4), ("one",), today)
+        some = stages.keep_all("some", lambda: {"x": make("x", 1), "y": make("y", 2)}, ("two",))
+        assert (one.count(), two.count(), some["x"].count(), some["y"].count()) == (3, 4, 1, 2)
+        return list(made)
+
+    assert go("r1") == ["one", "two", "x", "y"] and go("r2") == []
+    assert go("r3", today="2") == ["two", "x", "y"] and go("r4", today="2") == []
+    assert go("r5", base="other", today="2") == ["one", "two", "x", "y"]
+    counts = {r.stage: r.counts for r in read_metrics(spark, root).collect()}
+    assert counts == {"one": {"rows": 3, "even": 2}, "two": {"rows": 4}, "some": {"x": 1, "y": 2}}
 
 
 @needs_tables
-def test_a_prospect_run_with_enrichment(spark, tmp_path):
+def test_a_prospect_run_with_enrichment(spark, job, tmp_path):
     from placebook.catalog import queries as Q
     from placebook.operators import enrich
     from placebook.sources import place_details
@@ -134,19 +141,15 @@ def test_a_prospect_run_with_enrichment(spark, tmp_path):
     sites = materialise(enrich.site_contacts(A.site_pages(spark, FOLDER)), "sites")
     details = materialise(place_details.parse_details(A.details(spark, FOLDER)), "details")
     answers = materialise(place_details.latest_answers(A.api_answers(spark, FOLDER)), "answers")
-    profile = profiles.Profile("prospects", CENSUS_AREAS)
     root = str(tmp_path / "prospects")
-    out = profiles.run(spark, records, profile, root, "p1", Q.TODAY, sites, details, answers)
+    out = profiles.run(spark, records, profiles.Profile("prospects", CENSUS_AREAS), root, "p1", Q.TODAY, sites, details, answers)
     scored = out["scored"]
-    assert scored.count() > 0 and scored.filter("score is null or delivery_category = 'Other'").count() == 0
-    assert {r.value for r in out["kpis"].filter("kpi = 'total'").collect()} == {scored.count()}
+    n = scored.count()
+    assert n > 0 and scored.filter("score is null or delivery_category = 'Other'").count() == 0
+    assert out["kpis"].filter("kpi = 'total'").first().value == n and out["targets"].count() == n
     assert out["check_cells"].filter("not ok").count() == 0 and out["check_cells"].select("tbl").distinct().count() == 5
-    plain = profiles.run(spark, records, profile, str(tmp_path / "plain"), "p2", Q.TODAY)["businesses"]
-    assert out["businesses"].filter("email <> ''").count() > plain.filter("email <> ''").count() == 0          # enrichment took effect
-    assert sorted(r.rank for r in out["targets"].select("rank").collect()) == list(range(1, scored.count() + 1))
-    census = str(tmp_path / "census")
-    profiles.run(spark, records, profiles.census_profile(), census, "c1", Q.TODAY)
-    both = profiles.run_combined(spark, [census, root], profiles.combined_profile(), str(tmp_path / "both"), "b1", Q.TODAY)
+    assert out["businesses"].filter("email <> ''").count() > 0                                 # enrichment took effect
+    both = profiles.run_combined(spark, [job[2], root], profiles.combined_profile(), str(tmp_path / "both"), "b1", Q.TODAY)
     assert both["businesses"].filter("score is not null").count() > 0 and both["check_cells"].filter("not ok").count() == 0
     assert both["decisions"].filter("action = 'merged'").count() > 0
 
@@ -169,7 +172,7 @@ def test_combined_runs(spark):
     assert sorted(by_name) == ["Corner Bakery Obanikoro", "Night Kiosk", "Tailor at the Gate"]
     bakery, tailor = by_name["Corner Bakery Obanikoro"], by_name["Tailor at the Gate"]
     assert (bakery.ord, bakery.score, bakery.area, bakery.zone) == (1, 55.5, "Ikoyi", "Ring area") and bakery.additional_info == takeout
-    assert bakery.priority.startswith("C") and (tailor.ord, tailor.zone, tailor.score) == (3, "Core catchment", None)
+    assert bakery.priority.startswith("C") and (tailor.ord, tailor.zone, tailor.score) == (4, "Core catchment", None)
 
 
 def test_profiles_refuse_nonsense():
