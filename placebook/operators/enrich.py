@@ -202,7 +202,7 @@ def apply_details(records: DataFrame, details: DataFrame, checked: str) -> DataF
     columns = records.columns
     renamed = details.select("key", F.lit(True).alias("read"), *[
         F.col(c).alias(f"f_{c}") for c in details.columns if c != "key"])
-    keyed = records.select("ord", detail_key().alias("key"))
+    keyed = records.select("ord", detail_key().alias("key")).filter("key <> ''")         # records without a place ask for nothing
     found = (lookup(keyed, renamed, ["key"], "inner").drop("key")
              .withColumn("found_phones", F.filter(F.array("f_phone"), lambda p: p != "")))
     granted = guard_phones(records, found.select("ord", F.col("found_phones").alias("phones")), [F.col("ord")])

@@ -6,6 +6,7 @@ over Arrow batches, page by page; everything before and after it is expressions.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -33,6 +34,7 @@ class _Page(HTMLParser):
         super().__init__()
         self.root = ["", {}, []]
         self.open = [self.root]
+        self.inside: Counter[str] = Counter()                    # open tags by name
         self.feed(html)
         self.close()
 
@@ -42,19 +44,27 @@ class _Page(HTMLParser):
         depth = len(self.open) - 1
         while depth > 0 and closes and self.open[depth][0] not in _HOLDS:
             if self.open[depth][0] in closes:
-                del self.open[depth:]
+                self._close(depth)
             depth -= 1
         self.open[-1][2].append(node)
         if tag not in _VOID:
             self.open.append(node)
+            self.inside[tag] += 1
+
+    def _close(self, depth: int) -> None:
+        for node in self.open[depth:]:
+            self.inside[node[0]] -= 1
+        del self.open[depth:]
 
     def handle_startendtag(self, tag, attrs):
         self.open[-1][2].append([tag, {k: v or "" for k, v in attrs}, []])
 
     def handle_endtag(self, tag):
-        if any(n[0] == tag for n in self.open[1:]):
-            while self.open.pop()[0] != tag:
-                pass
+        if self.inside[tag]:                                     # looked for only where there is one: closing tags stay cheap on deep pages
+            depth = len(self.open) - 1
+            while self.open[depth][0] != tag:
+                depth -= 1
+            self._close(depth)
 
     def handle_data(self, data):
         self.open[-1][2].append(data)
@@ -184,18 +194,33 @@ def parse_listings(pages: DataFrame) -> DataFrame:
         .otherwise("").alias("category"))
 
 
-def category_links(pages: DataFrame) -> DataFrame:
-    """Links of the category lists that lead below the page's own path: url, pos, link."""
+def _read_links(pages: DataFrame) -> DataFrame:
+    """url, pos, href of the links in category lists; a page that can't be read gives one row with its error."""
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for url, html in zip(batch["url"], batch["html"], strict=True):
-                links = [a[1]["href"] for box in _find(_Page(html or "").root, "div", "category-list")
-                         for a in _find(box, "a", test=lambda a: "href" in a[1])]
-                rows += [(url, pos, href) for pos, href in enumerate(dict.fromkeys(links))]
-            yield pd.DataFrame(rows, columns=["url", "pos", "href"])
+                try:
+                    links = [a[1]["href"] for box in _find(_Page(html or "").root, "div", "category-list")
+                             for a in _find(box, "a", test=lambda a: "href" in a[1])]
+                except Exception as e:                           # one page's markup must not stop a crawl's worth of them
+                    rows.append((url, None, None, f"{type(e).__name__}: {e}"[:300]))
+                    continue
+                rows += [(url, pos, href, None) for pos, href in enumerate(dict.fromkeys(links))]
+            yield pd.DataFrame(rows, columns=["url", "pos", "href", "error"]).astype({"pos": "Int32"})
+
+    marked = pages.filter(F.contains("html", F.lit("category-list"))).select("url", "html")
+    return marked.mapInPandas(read, "url string, pos int, href string, error string")
 
-    found = pages.filter(F.contains("html", F.lit("category-list"))).select("url", "html").mapInPandas(read, "url string, pos int, href string")
+
+def unreadable_links(pages: DataFrame) -> DataFrame:
+    """Pages whose category lists could not be read: url, error. Empty means all is well."""
+    return _read_links(pages).filter("error is not null").select("url", "error")
+
+
+def category_links(pages: DataFrame) -> DataFrame:
+    """Links of the category lists that lead below the page's own path: url, pos, link."""
+    found = _read_links(pages).filter("error is null")
     path = F.regexp_replace(F.regexp_replace("url", "^[a-z]+://[^/]*|[?#].*$", ""), "/+$", "")
     below = F.startswith(F.regexp_replace("href", "/+$", ""), F.concat(path, F.lit("/")))
     return found.filter(below).select("url", "pos", F.concat(F.lit(SITES["finelib"][1]), "href").alias("link"))

@@ -260,3 +260,16 @@ def test_search_states_go_on_from_the_checkpoint(spark, tmp_path):
     assert feed(("t", "a", "running", 1, 1), ("t", "b", "done", 5, 2)) == {("t", "a"): "running", ("t", "b"): "done"}
     assert feed(("t", "a", "error", 1, 3), ("t", "b", "running", 4, 9)) == {("t", "a"): "error", ("t", "b"): "done"}       # equal times: the later event
     assert feed(("t", "a", "stale", 1, 2)) == {("t", "a"): "error", ("t", "b"): "done"}
+
+
+def test_a_page_that_cannot_be_read_stops_no_link(spark, monkeypatch):
+    import time
+
+    from placebook.sources import directories
+    ok = '<div class="category-list"><a href="/x/food">Food</a><a href="/x/food">again</a></div>'
+    pages = spark.createDataFrame([("https://s.example/x", ok), ("https://s.example/y", '<div class="category-list"><a href="/y/z"'), ("u", None)], "url string, html string")
+    assert [(r.url, r.pos) for r in directories.category_links(pages).collect()] == [("https://s.example/x", 0)]
+    assert directories.unreadable_links(pages).count() == 0
+    start = time.monotonic()
+    page = directories._Page("<b>" * 20_000 + "<i>" + "</u></i>" * 20_000)           # closing tags that close nothing, on a deep page
+    assert page.root[2] and time.monotonic() - start < 5
