@@ -34,6 +34,7 @@ WORDS, GRAMS = 4000, 8192
 EMBED, HIDDEN = 8, 8
 PASSES, BATCH, RATE, DROP = 10, 64, 0.01, 0.3
 CACHE, CHUNK = 300_000, 2048
+SIZES = (3, 4, 5)
 _EDGES = "\"'.,;:!?()[]{}<>*_-~`|/\\"
 
 
@@ -44,7 +45,40 @@ def plain(word: str) -> str:
 def grams(word: str) -> list[int]:
     """Buckets of the word's character n-grams, its ends marked: stems and endings carry over to unseen words."""
     w = f"<{word}>"
-    return [zlib.crc32(w[i:i + n].encode("utf-8", "surrogatepass")) % GRAMS for n in (3, 4, 5) for i in range(max(len(w) - n + 1, n == 3))]
+    return [zlib.crc32(w[i:i + n].encode("utf-8", "surrogatepass")) % GRAMS for n in SIZES for i in range(max(len(w) - n + 1, n == 3))]
+
+
+# CRC-32 of every byte, from which the checksums of all n-grams of many words follow at once
+_STEP = np.array([zlib.crc32(bytes([i ^ 255])) ^ 0xFF000000 for i in range(256)], np.uint32)
+
+
+def all_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """What `grams` gives for each word, one after the other, and how many each has."""
+    length = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    per = [np.maximum(length - n + 1, int(n == 3)) for n in SIZES]
+    count = sum(per)
+    start = np.cumsum(count) - count
+    out = np.empty(int(count.sum()), np.int64)
+    plain_ones = np.fromiter((bool(w) and w.isascii() for w in words), bool, len(words))
+    for i in np.flatnonzero(~plain_ones):
+        out[start[i]:start[i] + count[i]] = grams(words[i])
+    some = np.flatnonzero(plain_ones)
+    if not len(some):
+        return out, count
+    text = np.frombuffer("".join([f"<{words[i]}>" for i in some.tolist()]).encode() + bytes(max(SIZES)), np.uint8)
+    size = length[some]
+    total = int(size.sum())
+    of = np.repeat(some, size)
+    place = np.arange(total) - np.repeat(np.cumsum(size) - size, size)
+    state, left = np.full(total, 0xFFFFFFFF, np.uint32), length[of] - place
+    to = start[of] + place
+    for k in range(max(SIZES)):
+        state = _STEP[(state ^ text[k:k + total]) & 255] ^ (state >> 8)
+        if k + 1 in SIZES:
+            fits = left > k
+            out[to[fits]] = (~state[fits]) % GRAMS
+            to = to + per[SIZES.index(k + 1)][of]
+    return out, count
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -97,9 +131,7 @@ class Network:
 
     def features(self, words: list[str]):
         ids = np.array([self.vocabulary.get(w, 0) for w in words], np.int64)
-        tri = [grams(w) for w in words]
-        flat = np.array([t for ts in tri for t in ts], np.int64)
-        return ids, flat, np.array([len(t) for t in tri], np.int64)
+        return ids, *all_grams(words)
 
     def embed(self, ids, flat, n) -> np.ndarray:
         starts = np.cumsum(n) - n

@@ -198,6 +198,14 @@ def test_minhash_finishes_split_buckets(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == components(texts, near)
 
 
+def test_grams_of_many_words_at_once():
+    words = ["", "a", "ab", "hello", "äö", "x" * 200, "日本語", "a\ud800", "", "zz-9", "q"]
+    flat, count = toxicity.all_grams(words)
+    assert flat.tolist() == [g for w in words for g in toxicity.grams(w)]
+    assert count.tolist() == [len(toxicity.grams(w)) for w in words]
+    assert [len(a) for a in toxicity.all_grams([])] == [0, 0]
+
+
 def test_toxicity(spark, odd, none):
     rng = random.Random(4)
     rows = [(i, words(rng, rng.randint(5, 150)).split(), i % 2) for i in range(240)]
