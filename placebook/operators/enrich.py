@@ -9,6 +9,7 @@ from placebook.functions.contacts import SOCIAL_FIELDS, extract_contacts, is_soc
 from placebook.functions.scoring import OTHER, category_of
 from placebook.functions.text import blank, clean_phone, first_filled
 from placebook.operators.matching import first_come
+from placebook.operators.ordering import first_rows
 from placebook.operators.skew import lookup
 from placebook.schema import BASIS_FULL, CHANNELS, CORE_ZONE, OUTSIDE, RING_ZONE, UNASSIGNED
 from placebook.session import materialise
@@ -40,6 +41,11 @@ def detail_key() -> Column:
 
 # ------------------------------------------------------------------------ whom to look up
 
+def most_reviewed() -> list[Column]:
+    """Many reviews first, unknown last."""
+    return [F.col("reviews").isNull().cast("int"), -F.coalesce("reviews", F.lit(0))]
+
+
 def detail_candidates(records: DataFrame, known: DataFrame, limit: int) -> DataFrame:
     """Records worth a visit to their detail page, most reviewed first, within what is left of the limit.
 
@@ -49,7 +55,7 @@ def detail_candidates(records: DataFrame, known: DataFrame, limit: int) -> DataF
              .filter(F.col("maps").startswith(DETAIL_URL) & inside_catchment() & (category_of() != OTHER))
              .join(known.select("key").distinct(), "key", "left_anti"))
     left = max(0, limit - known.count())
-    return fresh.orderBy(F.col("reviews").desc_nulls_last(), "ord").limit(left)
+    return first_rows(fresh, most_reviewed(), left).orderBy(*most_reviewed(), "ord")
 
 
 def api_candidates(records: DataFrame, known: DataFrame, top: int, in_scope_only: bool = False) -> DataFrame:
@@ -61,7 +67,7 @@ def api_candidates(records: DataFrame, known: DataFrame, top: int, in_scope_only
     if in_scope_only:
         able = able.filter(category_of() != OTHER)
     complete = (~blank("phone") & ~blank("website")).cast("int")
-    best = able.orderBy(complete, F.col("reviews").desc_nulls_last(), "ord").limit(top)
+    best = first_rows(able, [complete, *most_reviewed()], top)
     return best.join(known.select("key").distinct(), "key", "left_anti")
 
 
@@ -75,7 +81,7 @@ def site_order() -> list[Column]:
 
 def site_candidates(records: DataFrame, limit: int) -> DataFrame:
     """Records whose website to read: catchment first, then by reviews."""
-    return records.filter(~blank("website")).orderBy(*site_order()).limit(limit)
+    return first_rows(records.filter(~blank("website")), site_order()[:-1], limit)
 
 
 def quota(usage: DataFrame, ceiling_pct: int) -> DataFrame:

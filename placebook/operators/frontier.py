@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from placebook.areas import Area
-from placebook.session import materialise_counting
+from placebook.session import materialise, materialise_counting
 
 # fixed values: results a feed shows at most, closest zoom, screen of the reference window
 FEED_CAP = 120
@@ -130,25 +130,30 @@ def best_counts(searches: DataFrame) -> DataFrame:
 def suspect_results(log: DataFrame) -> DataFrame:
     """Results that look broken: none where the term worked before, or under 4 where it gave over 10.
 
-    The comparison is with the best of all earlier searches of the term, in log order. A term's history
-    can be long, so the running maximum is built in two steps: per bucket of events first, then inside
-    a bucket, starting from the best of the buckets before.
+    The comparison is with the best of all earlier searches of the term, in log order.
     """
     return running_best(log.filter("status = 'done'")).withColumn(
         "signal", F.when((F.col("raw_count") == 0) & (F.col("before") > 0), "empty")
         .when((F.col("before") > 10) & (F.col("raw_count") < 4), "suspect")).filter("signal is not null")
 
 
-def running_best(done: DataFrame, bucket_rows: int = 100_000) -> DataFrame:
-    """Add `before`: the most results of the term in earlier events. Events are ordered by event_id."""
-    cut = done.withColumn("_bucket", F.floor(F.col("event_id") / bucket_rows))
-    tops = cut.groupBy("term", "_bucket").agg(F.max("raw_count").alias("_top"))
-    earlier = Window.partitionBy("term").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    tops = tops.select("term", "_bucket", F.max("_top").over(earlier).alias("_carried"))
-    inside = Window.partitionBy("term", "_bucket").orderBy("event_id").rowsBetween(Window.unboundedPreceding, -1)
-    best = F.greatest(F.max("raw_count").over(inside), F.col("_carried"))
-    return (cut.join(tops, ["term", "_bucket"]).withColumn("before", F.coalesce(best, F.lit(0)))
-            .drop("_bucket", "_carried"))
+def running_best(done: DataFrame) -> DataFrame:
+    """Add `before`: the most results of the term in earlier events. Events are ordered by event_id.
+
+    The log is sorted into parts of about equal size, whatever gaps its ids have, and a term's parts are
+    scanned side by side: each starts from the best of the parts before it, of which there is one number
+    per term and part. So a term that holds most of the log is spread over all tasks.
+    """
+    # stored, since a part must stay the same rows for both passes
+    placed = materialise(done.repartitionByRange("event_id").withColumn("_part", F.spark_partition_id()), "parts")
+    tops = placed.groupBy("term", "_part").agg(F.max("raw_count").alias("_top"))
+    earlier = Window.partitionBy("term").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    tops = tops.select("term", "_part", F.max("_top").over(earlier).alias("_carried"))
+    inside = Window.partitionBy("term", "_part").orderBy("event_id").rowsBetween(Window.unboundedPreceding, -1)
+    scanned = placed.withColumn("_best", F.max("raw_count").over(inside))
+    return (scanned.join(tops, (scanned["term"].eqNullSafe(tops["term"])) & (scanned["_part"] == tops["_part"]))
+            .select(*[scanned[c] for c in done.columns],
+                    F.coalesce(F.greatest("_best", "_carried"), F.lit(0)).alias("before")))
 
 
 # ------------------------------------------------------------------------ plans

@@ -1,12 +1,14 @@
 """Source mappers, stored raw rows, search planning, streams."""
 
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from placebook.areas import CENSUS_AREAS, Area, with_centres
 from placebook.operators import centroids, frontier
-from placebook.operators.ordering import number_rows
+from placebook.operators.enrich import most_reviewed
+from placebook.operators.ordering import first_rows, number_rows
 from placebook.schema import conform
 from placebook.sources import csv_import, directories, map_cards, osm, raw_store
 
@@ -170,11 +172,34 @@ def test_quarters_outside_the_catchment_are_skipped(spark):
     assert got == {"x": "sweep 6.5695,3.3868,16z", "y": "topup Gbagada @6.5695,3.3868,16z"}
 
 
-def test_running_best_over_buckets(spark):
-    counts = [50, 3, 0, 70, 2, 80, 0]
-    df = spark.createDataFrame([(i, "a", c) for i, c in enumerate(counts)], "event_id bigint, term string, raw_count int")
-    got = {r.event_id: r.before for r in frontier.running_best(df, bucket_rows=2).collect()}
-    assert got == {0: 0, 1: 50, 2: 50, 3: 50, 4: 70, 5: 70, 6: 80}
+def test_running_best_over_parts(spark):
+    rng = random.Random(5)
+    ids = sorted({int(10 ** rng.uniform(0, 15)) for _ in range(400)})                # gaps of any width, one term with nine rows of ten
+    rows = [(i, rng.choice(["a"] * 9 + ["b", None]), rng.choice([None, 0, 1, 2, 5, rng.randrange(1 + n)])) for n, i in enumerate(ids)]
+    best, want = {}, {}
+    for i, term, count in rows:
+        want[i] = best.get(term, 0)
+        best[term] = max(best.get(term, 0), count or 0)
+    df = spark.createDataFrame(rows, "event_id bigint, term string, raw_count int").repartition(7)
+    with_parts = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")         # as many parts as a large log has
+    try:
+        got = frontier.running_best(df)
+        assert got.columns == ["event_id", "term", "raw_count", "before"] and {r.event_id: r.before for r in got.collect()} == want
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", with_parts)
+    assert frontier.running_best(df.limit(0)).count() == 0
+
+
+def test_first_rows_of_a_budget(spark):
+    rng = random.Random(6)
+    rows = [(i, rng.choice([None, None, 0, 0, 0, 3, 7, rng.randrange(50)])) for i in rng.sample(range(10_000), 300)]
+    df = spark.createDataFrame(rows, "ord bigint, reviews bigint")
+    order = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    for n in (-1, 0, 1, 7, 150, 299, 300, 301):
+        got = first_rows(df, most_reviewed(), n)
+        assert sorted(r.ord for r in got.collect()) == sorted(o for o, _ in order[:max(n, 0)])
+    assert "TakeOrdered" not in first_rows(df, most_reviewed(), 150)._jdf.queryExecution().toString()
 
 
 def test_stream_resumes_where_it_stopped(spark, tmp_path):
