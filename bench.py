@@ -59,8 +59,14 @@ def main() -> None:
     resolution, kept = timed("dedupe", dedupe)
     timed("merge_log", lambda: (run(resolution.decisions()), run(resolution.conflicts())))
     scored = timed("score", lambda: materialise(score_records(kept), "scored"))
-    tables = profiles.census_reports(kept, profile, Q.TODAY)
-    timed("report", lambda: [run(t) for t in tables.values()])
+
+    def report():
+        tables = profiles.census_reports(kept, profile, Q.TODAY)
+        for table in tables.values():
+            run(table)
+        return tables
+
+    tables = timed("report", report)
     timed("verify", lambda: [run(t) for t in profiles.verify(kept, profile, tables).values()])
     timed("contacts", lambda: run(extract_contacts(A.pages(spark, folder))))
     for name in ("osm_records", "card_records", "directory_records", "derive_centroids", "split_saturated", "suspect_results"):

@@ -441,37 +441,37 @@ def priority(spark, folder):
 
 @query
 def census_by_group(spark, folder):
-    return reports.group_table(businesses(spark, folder), PROFILE.taxonomy)
+    return reports.group_table(reports.census_cube(businesses(spark, folder)), PROFILE.taxonomy)
 
 
 @query
 def census_kpis(spark, folder):
-    return reports.census_kpis(businesses(spark, folder))
+    return reports.census_kpis(reports.census_cube(businesses(spark, folder)))
 
 
 @query
 def area_summary(spark, folder):
-    return reports.area_summary(businesses(spark, folder), CENSUS_AREAS, CENSUS_CORE)
+    return reports.area_summary(reports.census_cube(businesses(spark, folder)), CENSUS_AREAS, CENSUS_CORE)
 
 
 @query
 def group_area_matrix(spark, folder):
-    return reports.group_area_matrix(businesses(spark, folder), PROFILE.taxonomy, CENSUS_AREAS, CENSUS_CORE)
+    return reports.group_area_matrix(reports.census_cube(businesses(spark, folder)), PROFILE.taxonomy, CENSUS_AREAS, CENSUS_CORE)
 
 
 @query
 def tree_coverage(spark, folder):
-    return reports.tree_coverage(businesses(spark, folder), PROFILE.taxonomy)
+    return reports.tree_coverage(reports.census_cube(businesses(spark, folder)), PROFILE.taxonomy)
 
 
 @query
 def subs_outside_tree(spark, folder):
-    return reports.subs_outside_tree(businesses(spark, folder), PROFILE.taxonomy)
+    return reports.subs_outside_tree(reports.census_cube(businesses(spark, folder)), PROFILE.taxonomy)
 
 
 @query
 def research_matrix(spark, folder):
-    return reports.research_matrix(businesses(spark, folder), PROFILE.taxonomy, CENSUS_AREAS, CENSUS_CORE)
+    return reports.research_matrix(reports.census_cube(businesses(spark, folder)), PROFILE.taxonomy, CENSUS_AREAS, CENSUS_CORE)
 
 
 @query
@@ -542,17 +542,17 @@ def bands_and_basis(spark, folder):
 
 @query
 def prospect_kpis(spark, folder):
-    return reports.prospect_kpis(prospects(spark, folder))
+    return reports.prospect_kpis(reports.prospect_cube(prospects(spark, folder)))
 
 
 @query
 def component_counts(spark, folder):
-    return reports.component_counts(prospects(spark, folder))
+    return reports.component_counts(reports.prospect_cube(prospects(spark, folder)))
 
 
 @query
 def area_category(spark, folder):
-    return reports.area_category(prospects(spark, folder), CENSUS_AREAS)
+    return reports.area_category(reports.prospect_cube(prospects(spark, folder)), CENSUS_AREAS)
 
 
 @query

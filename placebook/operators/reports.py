@@ -1,7 +1,8 @@
 """Summary tables over finished records. Every dimension row is kept, at zero if need be.
 
-All reports are one partial aggregation over the columns they need; what is joined to dimensions
-afterwards has one row per area, group or subcategory.
+The records are read once per run: `census_cube` and `prospect_cube` count them by all dimensions together, and
+every table is a roll-up of that. A cube has at most one row per combination of registry values that occurs
+(areas, subcategories, bands), however many records there are; so have the dimensions joined afterwards.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ TOTAL = "TOTAL"
 MARKERS = [OUTSIDE, UNASSIGNED]
 # fixed values: research targets per zone
 TARGET_CORE, TARGET_RING = 30, 15
+PROSPECT_CHANNELS = ["phone", "whatsapp", "website", "email", "instagram"]
 CATEGORY_NAMES = [name for name, _, _ in CATEGORIES]
 
 
@@ -36,6 +38,28 @@ def n_where(test: Column) -> Column:
     return F.count_if(test)
 
 
+def census_cube(records: DataFrame) -> DataFrame:
+    """Records counted by zone, area, group and subcategory: what all census tables are made of."""
+    return records.groupBy("zone", "area", "grp", "sub").agg(
+        F.count(F.lit(1)).alias("n"), n_where(F.col("contactable") == "Yes").alias("phone"),
+        n_where(F.col("verification") == GOOGLE_VERIFIED).alias("google_verified"),
+        n_where(F.col("priority") == PRIORITY_A).alias("prio_a"), n_where(F.col("priority") == PRIORITY_B).alias("prio_b"),
+        n_where(F.col("priority") == PRIORITY_C).alias("prio_c"), n_where(F.col("source") == MULTI_SOURCE).alias("cross_verified"))
+
+
+def prospect_cube(records: DataFrame) -> DataFrame:
+    """Prospects counted by area, category, band and basis, with their channels and score components."""
+    return records.groupBy("area", "delivery_category", "band", "score_basis").agg(
+        F.count(F.lit(1)).alias("n"), *[n_where(~blank(c)).alias(c) for c in PROSPECT_CHANNELS],
+        *[n_where(F.col("components")[c] > 0).alias(f"part_{c}") for c, _, _ in COMPONENTS])
+
+
+def sum_where(measure: str, test: Column | None = None) -> Column:
+    """The measure of the cells that pass the test, 0 if there are none."""
+    value = F.col(measure) if test is None else F.when(test, F.col(measure))
+    return F.coalesce(F.sum(value), F.lit(0))
+
+
 def _unpivot(one_row: DataFrame, keys: list[str], name: str = "kpi") -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(k).alias(name), F.col(k).cast("bigint").alias("value"))
                       for i, k in enumerate(keys)])
@@ -52,26 +76,23 @@ def area_rows(spark, areas: list[Area], core: list[str], markers: bool = True) -
     return rows
 
 
-def census_kpis(records: DataFrame) -> DataFrame:
+def census_kpis(cube: DataFrame) -> DataFrame:
     """The eleven headline numbers: pos, kpi, value."""
-    one = records.agg(
-        F.count(F.lit(1)).alias("total"), n_where(F.col("zone") == CORE_ZONE).alias("core"),
-        n_where(F.col("zone") == RING_ZONE).alias("ring"), n_where(F.col("zone") == OUTSIDE).alias("outside"),
-        n_where(F.col("zone") == UNASSIGNED).alias("unassigned"), n_where(F.col("contactable") == "Yes").alias("phone"),
-        n_where(F.col("verification") == GOOGLE_VERIFIED).alias("google_verified"),
-        n_where(F.col("priority") == PRIORITY_A).alias("prio_a"), n_where(F.col("priority") == PRIORITY_B).alias("prio_b"),
-        n_where(F.col("priority") == PRIORITY_C).alias("prio_c"), n_where(F.col("source") == MULTI_SOURCE).alias("cross_verified"))
+    zones = {"core": CORE_ZONE, "ring": RING_ZONE, "outside": OUTSIDE, "unassigned": UNASSIGNED}
+    one = cube.agg(
+        sum_where("n").alias("total"), *[sum_where("n", F.col("zone") == z).alias(k) for k, z in zones.items()],
+        *[sum_where(c).alias(c) for c in ("phone", "google_verified", "prio_a", "prio_b", "prio_c", "cross_verified")])
     return _unpivot(one, one.columns)
 
 
-def group_table(records: DataFrame, taxonomy: Taxonomy) -> DataFrame:
+def group_table(cube: DataFrame, taxonomy: Taxonomy) -> DataFrame:
     """Businesses by category group, inside the catchment, with a TOTAL row and each group's share."""
     inside = F.col("zone").isin(CORE_ZONE, RING_ZONE)
-    counts = records.groupBy("grp").agg(
-        n_where(F.col("zone") == CORE_ZONE).alias("core"), n_where(F.col("zone") == RING_ZONE).alias("ring"),
-        n_where(inside & (F.col("contactable") == "Yes")).alias("phone"), n_where(F.col("priority") == PRIORITY_A).alias("prio_a"))
+    counts = cube.groupBy("grp").agg(
+        sum_where("n", F.col("zone") == CORE_ZONE).alias("core"), sum_where("n", F.col("zone") == RING_ZONE).alias("ring"),
+        sum_where("phone", inside).alias("phone"), sum_where("prio_a").alias("prio_a"))
     cols = ["core", "ring", "total", "phone", "prio_a"]
-    rows = (taxonomy.groups_df(records.sparkSession).join(counts, "grp", "left")
+    rows = (taxonomy.groups_df(cube.sparkSession).join(counts, "grp", "left")
             .select("group_ord", "grp", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("core", "ring", "phone", "prio_a")])
             .withColumn("total", F.col("core") + F.col("ring")))
     return _with_total(rows, "grp", "group_ord", cols)
@@ -87,13 +108,11 @@ def _with_total(rows: DataFrame, name: str, ord_col: str, cols: list[str]) -> Da
     return both.select(ord_col, name, *cols, share.alias("share"))
 
 
-def area_summary(records: DataFrame, areas: list[Area], core: list[str]) -> DataFrame:
+def area_summary(cube: DataFrame, areas: list[Area], core: list[str]) -> DataFrame:
     """Coverage by area, with the two markers and a TOTAL row."""
-    counts = records.groupBy("area").agg(
-        F.count(F.lit(1)).alias("total"), n_where(F.col("contactable") == "Yes").alias("phone"),
-        n_where(F.col("verification") == GOOGLE_VERIFIED).alias("google_verified"),
-        n_where(F.col("priority") == PRIORITY_A).alias("prio_a"), n_where(F.col("priority") == PRIORITY_B).alias("prio_b"))
-    dims = area_rows(records.sparkSession, areas, core)
+    counts = cube.groupBy("area").agg(
+        sum_where("n").alias("total"), *[sum_where(c).alias(c) for c in ("phone", "google_verified", "prio_a", "prio_b")])
+    dims = area_rows(cube.sparkSession, areas, core)
     cols = ["total", "phone", "google_verified", "prio_a", "prio_b", "prio_cd"]
     rows = (dims.join(counts, "area", "left")
             .select("area_ord", "area", *[F.coalesce(c, F.lit(0)).alias(c) for c in cols[:-1]])
@@ -103,24 +122,24 @@ def area_summary(records: DataFrame, areas: list[Area], core: list[str]) -> Data
         "zone", F.coalesce("zone", F.lit("")))
 
 
-def group_area_matrix(records: DataFrame, taxonomy: Taxonomy, areas: list[Area], core: list[str]) -> DataFrame:
+def group_area_matrix(cube: DataFrame, taxonomy: Taxonomy, areas: list[Area], core: list[str]) -> DataFrame:
     """Groups by areas, with totals both ways. The columns are known, so no pass looks for them."""
     names = [a.name for a in areas if a.name in core] + [a.name for a in areas if a.name not in core] + MARKERS
-    counts = records.groupBy("grp").agg(*[n_where(F.col("area") == n).alias(f"a{i}") for i, n in enumerate(names)])
+    counts = cube.groupBy("grp").agg(*[sum_where("n", F.col("area") == n).alias(f"a{i}") for i, n in enumerate(names)])
     cols = [f"a{i}" for i in range(len(names))]
-    rows = (taxonomy.groups_df(records.sparkSession).join(counts, "grp", "left")
+    rows = (taxonomy.groups_df(cube.sparkSession).join(counts, "grp", "left")
             .select("group_ord", "grp", *[F.coalesce(c, F.lit(0)).alias(c) for c in cols])
             .withColumn("total", reduce(lambda a, b: a + b, [F.col(c) for c in cols])))
     out = _with_total(rows, "grp", "group_ord", cols + ["total"])
     return out.select("group_ord", "grp", *[F.col(c).alias(n) for c, n in zip(cols, names)], "total")
 
 
-def tree_coverage(records: DataFrame, taxonomy: Taxonomy) -> DataFrame:
+def tree_coverage(cube: DataFrame, taxonomy: Taxonomy) -> DataFrame:
     """Every subcategory of the tree, then the ones found outside it, with counts and a status."""
-    counts = records.groupBy("grp", "sub").agg(
-        F.count(F.lit(1)).alias("found"), n_where(F.col("zone") == CORE_ZONE).alias("core"),
-        n_where(F.col("zone") == RING_ZONE).alias("ring"))
-    tree = taxonomy.tree_df(records.sparkSession)
+    counts = cube.groupBy("grp", "sub").agg(
+        sum_where("n").alias("found"), sum_where("n", F.col("zone") == CORE_ZONE).alias("core"),
+        sum_where("n", F.col("zone") == RING_ZONE).alias("ring"))
+    tree = taxonomy.tree_df(cube.sparkSession)
     rows = tree.join(counts, ["grp", "sub"], "full")
     found = F.coalesce("found", F.lit(0))
     return rows.select(
@@ -130,15 +149,15 @@ def tree_coverage(records: DataFrame, taxonomy: Taxonomy) -> DataFrame:
         .otherwise("Well covered").alias("status"))
 
 
-def subs_outside_tree(records: DataFrame, taxonomy: Taxonomy) -> DataFrame:
-    seen = records.select("grp", "sub").distinct()
-    return seen.join(F.broadcast(taxonomy.tree_df(records.sparkSession)), ["grp", "sub"], "left_anti")
+def subs_outside_tree(cube: DataFrame, taxonomy: Taxonomy) -> DataFrame:
+    seen = cube.select("grp", "sub").distinct()
+    return seen.join(F.broadcast(taxonomy.tree_df(cube.sparkSession)), ["grp", "sub"], "left_anti")
 
 
-def research_matrix(records: DataFrame, taxonomy: Taxonomy, areas: list[Area], core: list[str]) -> DataFrame:
+def research_matrix(cube: DataFrame, taxonomy: Taxonomy, areas: list[Area], core: list[str]) -> DataFrame:
     """Every area by every group: found, target, gap, coverage and what to do next."""
-    spark = records.sparkSession
-    counts = records.groupBy("area", "grp").agg(F.count(F.lit(1)).alias("found"))
+    spark = cube.sparkSession
+    counts = cube.groupBy("area", "grp").agg(sum_where("n").alias("found"))
     # the full grid of two registries, not of data
     groups = F.array(*[F.struct(F.lit(i).alias("group_ord"), F.lit(g).alias("grp")) for i, g in enumerate(taxonomy.groups)])
     grid = (area_rows(spark, areas, core, markers=False).withColumn("g", F.explode(groups))
@@ -153,35 +172,34 @@ def research_matrix(records: DataFrame, taxonomy: Taxonomy, areas: list[Area], c
         .otherwise(F.concat(F.lit("Canvass "), "area", F.lit(" for "), "grp")).alias("next_action"))
 
 
-def prospect_kpis(records: DataFrame) -> DataFrame:
+def prospect_kpis(cube: DataFrame) -> DataFrame:
     """The fourteen headline numbers of the prospect list."""
     bands = dict(zip(["hot", "warm", "cool", "cold"], BAND_NAMES))
-    one = records.agg(
-        F.count(F.lit(1)).alias("total"), *[n_where(F.col("band") == b).alias(k) for k, b in bands.items()],
-        *[n_where(F.col("components")[c] > 0).alias(k) for k, c in
-          (("delivery_flag", "delivery_flag"), ("catering", "catering"), ("chain", "chain"))],
-        *[n_where(~blank(c)).alias(c) for c in ("phone", "whatsapp", "website", "email", "instagram")],
-        n_where(F.col("score_basis") == BASIS_FULL).alias("full_basis"))
+    one = cube.agg(
+        sum_where("n").alias("total"), *[sum_where("n", F.col("band") == b).alias(k) for k, b in bands.items()],
+        *[sum_where(f"part_{c}").alias(c) for c in ("delivery_flag", "catering", "chain")],
+        *[sum_where(c).alias(c) for c in PROSPECT_CHANNELS],
+        sum_where("n", F.col("score_basis") == BASIS_FULL).alias("full_basis"))
     return _unpivot(one, one.columns)
 
 
-def area_category(records: DataFrame, areas: list[Area]) -> DataFrame:
+def area_category(cube: DataFrame, areas: list[Area]) -> DataFrame:
     """Prospects by area and delivery category, with the hot ones and a TOTAL row."""
     cats = in_display_order()
-    counts = records.groupBy("area").agg(
-        *[n_where(F.col("delivery_category") == c).alias(f"c{i}") for i, c in enumerate(cats)],
-        n_where(F.col("band") == BAND_NAMES[0]).alias("hot"))
+    counts = cube.groupBy("area").agg(
+        *[sum_where("n", F.col("delivery_category") == c).alias(f"c{i}") for i, c in enumerate(cats)],
+        sum_where("n", F.col("band") == BAND_NAMES[0]).alias("hot"))
     cols = [f"c{i}" for i in range(len(cats))] + ["hot"]
-    rows = (area_rows(records.sparkSession, areas, []).join(counts, "area", "left")
+    rows = (area_rows(cube.sparkSession, areas, []).join(counts, "area", "left")
             .select("area_ord", "area", *[F.coalesce(c, F.lit(0)).alias(c) for c in cols])
             .withColumn("total", reduce(lambda a, b: a + b, [F.col(c) for c in cols[:-1]])))
     out = _with_total(rows, "area", "area_ord", cols + ["total"])
     return out.select("area_ord", "area", *[F.col(f"c{i}").alias(c) for i, c in enumerate(cats)], "total", "hot")
 
 
-def component_counts(records: DataFrame) -> DataFrame:
+def component_counts(cube: DataFrame) -> DataFrame:
     """Per score component: most points and how many prospects have it."""
-    one = records.agg(*[n_where(F.col("components")[c] > 0).alias(c) for c, _, _ in COMPONENTS])
+    one = cube.agg(*[sum_where(f"part_{c}").alias(c) for c, _, _ in COMPONENTS])
     items = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(label).alias("component"), F.lit(most).alias("max_points"),
                                F.col(c).alias("prospects")) for i, (c, label, most) in enumerate(COMPONENTS)])
     return one.select(F.explode(items).alias("i")).select("i.*")
@@ -191,6 +209,10 @@ def count_by(records: DataFrame, column: str) -> DataFrame:
     return records.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
 
 
+def cells_by(cube: DataFrame, column: str) -> DataFrame:
+    return cube.groupBy(column).agg(sum_where("n").alias("n"))
+
+
 def source_log(records: DataFrame) -> DataFrame:
     """Records per source text; a record counts once for each of its sources."""
     return (records.select(F.explode(F.array_distinct("sources_all")).alias("source"))

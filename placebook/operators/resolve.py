@@ -209,8 +209,8 @@ def resolve(records: DataFrame) -> DataFrame:
     `records` need ord (unique), name, addr, place_id, phone, source, sources_all.
     """
     cols = ["ord", "name", "addr", "place_id", "phone", "source", "sources_all"]
-    keyed, _ = split_nameless(records.select(*cols))
-    keyed = materialise(keyed, "keyed")
+    # filtered after it is stored: a filter in the same plan would work out the normalised name twice
+    keyed = materialise(with_match_keys(records.select(*cols)), "keyed").filter("nn != ''")
     has_id = keyed.select("ord", (F.col("place_id") != "").alias("has_id"))
     keys = match_keys(keyed)
     firsts = materialise(

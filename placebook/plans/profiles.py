@@ -138,18 +138,20 @@ def score(records: DataFrame) -> DataFrame:
 
 def census_reports(records: DataFrame, profile: Profile, today: str) -> dict[str, DataFrame]:
     t, a, c = profile.taxonomy, profile.areas, profile.core
+    cube = materialise(reports.census_cube(records), "census-cube")
     return {
-        "kpis": reports.census_kpis(records), "group_table": reports.group_table(records, t),
-        "area_summary": reports.area_summary(records, a, c), "group_area": reports.group_area_matrix(records, t, a, c),
-        "tree_coverage": reports.tree_coverage(records, t), "research_matrix": reports.research_matrix(records, t, a, c),
+        "kpis": reports.census_kpis(cube), "group_table": reports.group_table(cube, t),
+        "area_summary": reports.area_summary(cube, a, c), "group_area": reports.group_area_matrix(cube, t, a, c),
+        "tree_coverage": reports.tree_coverage(cube, t), "research_matrix": reports.research_matrix(cube, t, a, c),
         "source_log": reports.source_log(records),
         "master": reports.census_export(number_rows(records, census_order()), a, today)}
 
 
 def prospect_reports(scored: DataFrame, profile: Profile, today: str) -> dict[str, DataFrame]:
-    return {"kpis": reports.prospect_kpis(scored),
-            "area_category": reports.area_category(scored, profile.areas), "components": reports.component_counts(scored),
-            "bands": reports.count_by(scored, "band"), "basis": reports.count_by(scored, "score_basis"),
+    cube = materialise(reports.prospect_cube(scored), "prospect-cube")
+    return {"kpis": reports.prospect_kpis(cube),
+            "area_category": reports.area_category(cube, profile.areas), "components": reports.component_counts(cube),
+            "bands": reports.cells_by(cube, "band"), "basis": reports.cells_by(cube, "score_basis"),
             "targets": reports.prospect_export(number_rows(scored, prospect_order()), today)}
 
 

@@ -189,5 +189,5 @@ def test_profiles_refuse_nonsense():
 def test_reports_keep_empty_rows(spark):
     empty = conform(spark.createDataFrame([], "name string"))
     p = profiles.census_profile()
-    assert reports.group_table(empty, p.taxonomy).count() == 30
-    assert reports.research_matrix(empty, p.taxonomy, CENSUS_AREAS, p.core).filter("gap = target").count() == 7 * 29
+    assert reports.group_table(reports.census_cube(empty), p.taxonomy).count() == 30
+    assert reports.research_matrix(reports.census_cube(empty), p.taxonomy, CENSUS_AREAS, p.core).filter("gap = target").count() == 7 * 29
