@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -298,3 +299,37 @@ def test_a_page_that_cannot_be_read_stops_no_link(spark, monkeypatch):
     start = time.monotonic()
     page = directories._Page("<b>" * 20_000 + "<i>" + "</u></i>" * 20_000)           # closing tags that close nothing, on a deep page
     assert page.root[2] and time.monotonic() - start < 5
+
+
+def test_pages_come_out_in_bounded_batches(monkeypatch):
+    """However many pages a task gets in one batch, it hands listings on page by page."""
+    monkeypatch.setattr(directories, "BATCH_ROWS", 3)
+    read = 0
+
+    class Pages:
+        def select(self, *_):
+            return self
+
+        def filter(self, _):
+            return self
+
+        def mapInArrow(self, fn, schema):
+            return fn
+
+    monkeypatch.setattr(directories.F, "contains", lambda *_: None)
+    columns = {"finelib": ["finelib"] * 50, "page_no": list(range(50)), "url": ["https://x"] * 50, "html": [BOX + BOX] * 50}
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], names=["site", "page_no", "url", "html"])
+    monkeypatch.setitem(directories._LAYOUTS, "finelib", lambda html, parse=directories._LAYOUTS["finelib"]: _counted(parse(html)))
+
+    def _counted(rows):
+        nonlocal read
+        read += 1
+        return rows
+
+    out = directories._read_pages(Pages())(iter([batch]))
+    first = next(out)
+    assert first.num_rows == 4 and read == 2                     # two pages of two listings, not all fifty
+    assert first.num_rows + sum(b.num_rows for b in out) == 100
+    links = '<div class="category-list">' + "".join(f'<a href="/{i}">x</a>' for i in range(4)) + "</div>"
+    found = list(directories._read_links(Pages())(iter([pa.RecordBatch.from_arrays([pa.array(["u"] * 5), pa.array([links] * 5)], names=["url", "html"])])))
+    assert [b.num_rows for b in found] == [4] * 5
