@@ -108,3 +108,21 @@ def mix(docs: DataFrame, number: str | None = None, **how) -> DataFrame:
     if number is None:
         return rows.orderBy(at, "doc_id").select(*docs.columns)
     return number_rows(rows.select(*docs.columns, at), [F.col(at), F.col("doc_id")], number).select(*docs.columns, number)
+
+
+def schedule(docs: DataFrame, **how) -> tuple[DataFrame, str, str]:
+    """The rows of `plan` without their texts, with one more column: the places (1, 2, 3, ...) that the mix has for each row.
+
+    Only a row's number and position are sorted. Rows that share position and id go by size; what is alike in all of that is
+    interchangeable. Returned are the rows, the name of the plan's struct and that of the places.
+    """
+    scratch = Scratch(docs.sparkSession, "mix")
+    rows, col = plan(docs, **how)
+    row, at, places = (fresh(rows, x) for x in ("_row", "_position", "_places"))
+    rows = scratch.keep(rows.drop("text").withColumn(row, F.monotonically_increasing_id()), "planned")
+    taken = rows.select(row, "doc_id", F.col(f"{col}.size").alias("size"), F.col(f"{col}.source_size").alias("source_size"),
+                        F.explode(f"{col}.positions").alias(at))
+    order = number_rows(taken, [F.col(at), F.col("doc_id"), F.col("size"), F.col("source_size")], "place")
+    found = order.groupBy(row).agg(F.array_sort(F.collect_list("place")).alias(places))
+    out = rows.join(found, row, "left").withColumn(places, F.coalesce(places, F.array().cast("array<bigint>")))
+    return out.drop(row), col, places

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from placebook.llm import (cover_tree, curriculum, impact_topk, language, line_templates, minhash, packing, pii, toxicity,
+from placebook.llm import (cover_tree, curriculum, impact_topk, language, line_templates, minhash, packing, pii, queries, toxicity,
                            url_rules)
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_lines int, score string, kept string"
@@ -242,6 +242,28 @@ def test_gradients():
         net.p[k][at] += 1e-3
 
 
+def test_schedule_is_the_mix(spark, odd, none):
+    """The query's rows say where the range-sorted mix puts each document, every time it is taken."""
+    df = spark.createDataFrame([(i, "w " * (i % 7), "ab"[i % 2]) for i in range(60)] + [(3, "w w", "a"), (None, None, None)],
+                               "doc_id long, text string, source string")
+    rows, col, places = curriculum.schedule(df)
+    rows = rows.collect()
+    assert len(rows) == df.count() and all(len(r[places]) == r[col]["copies"] or not r[col]["positions"] for r in rows)
+    order = sorted((p, r["doc_id"]) for r in rows for p in r[places])
+    assert [p for p, _ in order] == list(range(1, len(order) + 1))
+    assert [i for _, i in order] == [r["doc_id"] for r in curriculum.mix(df, number="place").orderBy("place").collect()]
+    positions = [at for _, at in sorted(x for r in rows for x in zip(r[places], r[col]["positions"], strict=True))]
+    assert positions == sorted(positions)
+    assert curriculum.schedule(odd)[0].count() == odd.count() and curriculum.schedule(none)[0].count() == 0
+
+
+def test_query_of_the_mix_gives_places(spark, tmp_path):
+    spark.createDataFrame([(i, "w " * (1 + i % 7), "ab"[i % 2]) for i in range(60)], "doc_id long, text string, source string").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    rows = queries.op6_curriculum(spark, str(tmp_path)).collect()
+    assert len(rows) == 60 and sorted(p for r in rows for p in r["places"]) == list(range(1, 1 + sum(r["copies"] for r in rows)))
+
+
 def test_curriculum(spark, odd, none):
     rng = random.Random(5)
     rows = [(i, words(rng, rng.randint(0, 30)), rng.choice(["b", "a", None, "Z", "é", "e"])) for i in range(400)]
