@@ -65,6 +65,25 @@ def test_key_index_finds_all_and_only_what_is_there(spark):
     assert key_index.matches(t, k.limit(0)).count() == 0 and key_index.matches(t.limit(0), k).count() == 0
 
 
+def test_word_index_finds_names_between_word_ends(spark, monkeypatch):
+    """Every name that stands in a text as words, whatever their case; and only texts that share a rare word meet a name."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("aßéİıſK") for _ in range(rng.randint(1, 2)))
+    names = ["", "--", "(x)", "a-é", *{" ".join(word() for _ in range(rng.randint(1, 2))) for _ in range(60)}]
+    texts = ["", "--", "a -- é (x) b", *{rng.choice([", ", " ", "-"]).join(word() for _ in range(rng.randint(1, 5))) for _ in range(300)}]
+    k = spark.createDataFrame(list(enumerate(names)), "ord int, name string").withColumn("folded", F.lower("name")).withColumn(
+        "pattern", F.concat(F.lit(r"(?iU)\b"), F.regexp_replace("name", r"([^\p{L}\p{N}\s])", r"\\$1"), F.lit(r"\b")))
+    t = spark.createDataFrame([(x,) for x in texts], "text string").withColumn("low", F.lower("text"))
+    ends = F.rlike(F.col("text"), F.col("pattern"))
+    want = {(r.text, r.ord) for r in key_index.matches(t, k, "low", "folded").filter(ends).collect()}
+    assert len(want) > 100 and {(r.text, r.ord) for r in key_index.word_matches(t, k, "low", "folded").filter(ends).collect()} == want
+    estates = spark.range(500).select(F.concat(F.lit("estate "), (F.col("id") + 100_000).cast("string")).alias("key"))
+    # whatever shares its rarest word is let through here: a text meets one name, not all that share "estate"
+    monkeypatch.setattr(key_index.F, "contains", lambda a, b: F.lit(True))
+    said = estates.select(F.concat(F.lit("no 1, "), "key", F.lit(" road")).alias("text"))
+    assert key_index.word_matches(said, estates).count() == 500
+
+
 def test_rule_index_agrees_with_the_expression(spark):
     rng = random.Random(5)
     stems = ["ba", "ker", "y sho", "/p", "park ", "É", "-x", "n"]
