@@ -25,6 +25,8 @@ steps are joins and partial aggregations; no key group is ever gathered in one t
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,9 +56,11 @@ def with_match_keys(records: DataFrame) -> DataFrame:
 def split_nameless(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(records that can be matched, dropped records with the reason)."""
     keyed = with_match_keys(records)
-    dropped = (keyed.filter("nn = ''")
-               .select("ord", "name", "source", F.lit("empty normalised name").alias("reason")))
-    return keyed.filter("nn != ''"), dropped
+    return keyed.filter("nn != ''"), dropped_nameless(keyed)
+
+
+def dropped_nameless(keyed: DataFrame) -> DataFrame:
+    return keyed.filter("nn = ''").select("ord", "name", "source", F.lit("empty normalised name").alias("reason"))
 
 
 def match_keys(keyed: DataFrame) -> DataFrame:
@@ -180,13 +184,33 @@ def _leaders(level_rows: list[Column]) -> Column:
         firsts, lambda o: (o["ord"] < e["ord"]) & (o["t"] > e["t"])))
 
 
+def _deciding(rows: DataFrame, clusters: DataFrame, tests: list[Column]) -> DataFrame:
+    """The sightings that can decide a business: its first, the first of each trust level, the first to pass each test: cluster, ord.
+
+    Only numbers are compared, which aggregate by hash, so that neither a sort nor a shuffle of whole sightings is needed
+    to find them. What is a minimum by `ord` over all sightings is the same minimum over these.
+    """
+    bits = F.lit(0).cast("long")
+    for i, test in enumerate(tests):
+        bits = bits + F.when(test, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long"))
+    narrow = rows.select("ord", bits.alias("bits"), trust(F.get("sources_all", F.lit(0))).cast("byte").alias("t_lead"),
+                         trust("source").cast("byte").alias("t_own"))
+    placed = lookup(narrow, clusters.select("ord", "cluster"), ["ord"], "inner")
+    t = F.when(F.col("ord") == F.col("cluster"), F.col("t_lead")).otherwise(F.col("t_own"))
+    marks = [t == level for level in TRUST_LEVELS] + [F.col("bits").bitwiseAND(F.lit(1 << i).cast("long")) != 0 for i in range(len(tests))]
+    firsts = placed.groupBy("cluster").agg(F.min("ord").alias("f"), *[F.min(F.when(m, F.col("ord"))).alias(f"f{i}") for i, m in enumerate(marks)])
+    found = F.array_distinct(F.array_compact(F.array("f", *[f"f{i}" for i in range(len(marks))])))
+    return firsts.select("cluster", F.explode(found).alias("ord"))
+
+
 def _borrowed_keys(keyed: DataFrame, clusters: DataFrame, firsts: DataFrame) -> DataFrame:
     """Name+address keys a business owns before any record brings them: key, first.
 
     These are its own name with an address taken over from a sighting of another name.
     """
+    few = _deciding(keyed, clusters, [F.col("addr") != ""])
     rows = (keyed.select("ord", "nn", "ak", "source", "sources_all",
-                         (F.col("addr") != "").alias("filled")).join(clusters, "ord"))
+                         (F.col("addr") != "").alias("filled")).join(few, "ord"))
     rows = rows.select("ord", "cluster", "nn", _effective_trust().alias("t"),
                        F.when(F.col("filled"), F.col("ak")).alias("ak"))
     slot = F.struct("ord", "t", "ak")
@@ -203,14 +227,20 @@ def _borrowed_keys(keyed: DataFrame, clusters: DataFrame, firsts: DataFrame) ->
     return events.join(own, "key").filter("borrowed < first").select("key", F.col("borrowed").alias("first"))
 
 
-def resolve(records: DataFrame) -> DataFrame:
+def keyed_records(records: DataFrame) -> DataFrame:
+    """What matching reads of the records, with their keys, stored: normalised once, whoever reads them."""
+    cols = ["ord", "name", "addr", "place_id", "phone", "source", "sources_all"]
+    return materialise(with_match_keys(records.select(*cols)), "keyed")
+
+
+def resolve(records: DataFrame, keyed: DataFrame | None = None) -> DataFrame:
     """Assign every nameable record to its business: ord, cluster, via.
 
-    `records` need ord (unique), name, addr, place_id, phone, source, sources_all.
+    `records` need ord (unique), name, addr, place_id, phone, source, sources_all; `keyed` are its `keyed_records`,
+    if they are known.
     """
-    cols = ["ord", "name", "addr", "place_id", "phone", "source", "sources_all"]
     # filtered after it is stored: a filter in the same plan would work out the normalised name twice
-    keyed = materialise(with_match_keys(records.select(*cols)), "keyed").filter("nn != ''")
+    keyed = (keyed_records(records) if keyed is None else keyed).filter("nn != ''")
     has_id = keyed.select("ord", (F.col("place_id") != "").alias("has_id"))
     keys = match_keys(keyed)
     firsts = materialise(
@@ -268,6 +298,19 @@ def _slot_filled(slot: Column, field: str) -> Column:
     return slot[field].isNotNull() if field in [*SURVIVING_NUMBERS, "lat"] else slot[field] != ""
 
 
+def _state_tests() -> list[Column]:
+    """What decides a field besides trust: the first sighting that fills it."""
+    return [*map(_filled, _TRACKED), _filled("lat"), ~unclassified() & (F.col("sub") != ""), F.col("meta").isNotNull()]
+
+
+def mark_deciding(records: DataFrame, clusters: DataFrame) -> DataFrame:
+    """Records with their business: cluster, via and `decides`, whether the sighting can decide anything about it."""
+    few = _deciding(records, clusters, _state_tests()).withColumn("decides", F.lit(True))
+    marked = clusters.join(few, ["ord", "cluster"], "left").select("ord", "cluster", "via", "decides").withColumn("decides", F.coalesce("decides", F.lit(False)))
+    # stored, so that a small table of businesses is known to be small before all records are shuffled to meet it
+    return records.join(materialise(marked, "marked"), "ord")
+
+
 def merge_state(members: DataFrame) -> DataFrame:
     """Per business, what decides every field: a few rows' worth, however many sightings it has.
 
@@ -275,9 +318,9 @@ def merge_state(members: DataFrame) -> DataFrame:
     * s_<field>: the first sighting that fills the field
     * grp/sub of the first classified sighting; whole first record
 
-    One shuffle, with partial aggregation before it.
+    Only sightings that decide something (`mark_deciding`) are sorted and shuffled, a bounded number per business.
     """
-    rows = members.withColumn("t", _effective_trust())
+    rows = members.filter("decides").withColumn("t", _effective_trust())
     values = ["lat", "lng", *_TRACKED]
     lead = F.when(F.col("ord") == F.col("cluster"), F.get("sources_all", F.lit(0))).otherwise(F.col("source"))
     slot = F.struct("ord", "t", lead.alias("source"), *values)
@@ -289,8 +332,8 @@ def merge_state(members: DataFrame) -> DataFrame:
     aggs.append(F.min_by(F.struct("meta"), F.when(F.col("meta").isNotNull(), F.col("ord"))).alias("s_meta"))
     kept = [c for c in RECORD.names if c not in {"ord", "lat", "lng", *_TRACKED} and c in members.columns]
     aggs.append(F.min_by(F.struct(*kept), F.col("ord")).alias("head"))
-    aggs.append(F.count(F.lit(1)).alias("n_sightings"))
-    state = rows.groupBy("cluster").agg(*aggs)
+    sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n_sightings"))
+    state = rows.groupBy("cluster").agg(*aggs).join(sizes, "cluster")
     leaders = _leaders([F.col(f"l{t}") for t in TRUST_LEVELS])
     return state.withColumn("leaders", leaders).drop(*[f"l{t}" for t in TRUST_LEVELS])
 
@@ -335,6 +378,9 @@ def survivors(state: DataFrame, lists: DataFrame) -> DataFrame:
     return joined.select(*out, "n_sightings")
 
 
+_PLACES = 1 << 31                                                # more than an array has elements
+
+
 def list_items(members: DataFrame) -> DataFrame:
     """Every distinct source, phone and delivery signal of a business, in order of appearance.
 
@@ -346,10 +392,13 @@ def list_items(members: DataFrame) -> DataFrame:
     all_items = F.concat(tagged("source", F.col("sources_all")),
                          tagged("phone", F.concat("phones_all", F.array("phone"))),
                          tagged("signal", F.col("delivery_text_signals")))
-    return (members.select("ord", "cluster", F.explode(all_items).alias("i"))
-            .filter("i.value != ''")
-            .groupBy("cluster", "i.kind", "i.value").agg(F.min(F.struct("ord", "i.pos")).alias("at"))
-            .select("cluster", "kind", "value", "at.ord", "at.pos"))
+    # one number in the order of (ord, pos): minima of numbers aggregate by hash, those of structs sort every element
+    at = F.col("ord").cast("decimal(19,0)") * F.lit(_PLACES).cast("decimal(10,0)") + F.col("i.pos").cast("decimal(10,0)")
+    firsts = (members.select("ord", "cluster", F.explode(all_items).alias("i"))
+              .filter("i.value != ''")
+              .groupBy("cluster", "i.kind", "i.value").agg(F.min(at).alias("at"))
+              .withColumn("pos", F.pmod("at", F.lit(_PLACES).cast("decimal(10,0)")).cast("int")))
+    return firsts.select("cluster", "kind", "value", F.expr(f"(at - pos) div {_PLACES}L").alias("ord"), "pos")
 
 
 def united_lists(items: DataFrame, members: DataFrame) -> DataFrame:
@@ -375,7 +424,7 @@ def merge_events(members: DataFrame, state: DataFrame, items: DataFrame) -> Data
     """Every sighting that joined a business, beside the business as it stood just before.
 
     The state per business is small and joins back to its sightings; the values of that moment follow
-    from the leaders and fillers that came earlier.
+    from the leaders and fillers that came earlier. States are looked up by hash: sightings are not sorted.
     """
     sources = items.filter("kind = 'source'").select("cluster", F.struct("ord", "pos").alias("at"))
     first = sources.groupBy("cluster").agg(F.min("at").alias("first"))
@@ -385,7 +434,7 @@ def merge_events(members: DataFrame, state: DataFrame, items: DataFrame) -> Data
                           F.col("head")["name"].alias("kept_name"), F.col("head")["source"].alias("head_source"))
     before = before.join(second, "cluster", "left")
     joined = members.filter("ord != cluster").withColumn("t", _effective_trust())
-    rows = lookup(joined, before, ["cluster"])
+    rows = lookup(joined, before.hint("shuffle_hash"), ["cluster"])
     rows = rows.withColumn("earlier", F.filter("leaders", lambda e: e["ord"] < F.col("ord")))
     rows = rows.withColumn("lead", F.element_at("earlier", -1))
     return rows.withColumn("wins", F.col("t") > F.col("lead")["t"])
@@ -450,25 +499,29 @@ class Resolution:
     """One run of entity resolution and the tables that come out of it, each computed on demand."""
 
     def __init__(self, records: DataFrame):
-        records = conform(records)
-        self.clusters = resolve(records)
-        _, self.dropped = split_nameless(records)
-        self.members = materialise(records.join(self.clusters, "ord"), "members")
-        # businesses, conflicts and decisions all read these two: worked out once, when first asked for
+        self._records = conform(records)
+        keyed = keyed_records(self._records)
+        self.clusters = resolve(self._records, keyed)
+        self.dropped = dropped_nameless(keyed)
+        # businesses, conflicts and decisions all read these: worked out once, when first asked for
         self._stored: dict[str, DataFrame] = {}
 
-    def _once(self, name: str, make) -> DataFrame:
+    def _once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._stored:
-            self._stored[name] = materialise(make(self.members), name)
+            self._stored[name] = materialise(make(), name)
         return self._stored[name]
 
+    @property
+    def members(self) -> DataFrame:
+        return self._once("members", lambda: mark_deciding(self._records, self.clusters))
+
     @property
     def items(self) -> DataFrame:
-        return self._once("items", list_items)
+        return self._once("items", lambda: list_items(self.members))
 
     @property
     def state(self) -> DataFrame:
-        return self._once("state", merge_state)
+        return self._once("state", lambda: merge_state(self.members))
 
     def businesses(self) -> DataFrame:
         lists = united_lists(self.items, self.members)

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from placebook.operators.resolve import Resolution
+from placebook.operators.resolve import Resolution, list_items
 from placebook.schema import MULTI_SOURCE, RECORD, conform
 
 G, O, D, M, A = ("Google Maps (sweep, Oct 2026)", "OpenStreetMap (Oct 2026)", "Finelib (Oct 2026)",
@@ -167,3 +167,24 @@ def test_later_members_give_meta_but_no_empty_class(spark):
         .cast(RECORD["meta"].dataType)).withColumn("grp", F.when(F.col("ord") == 2, "Food").otherwise(F.lit(""))).withColumn("sub", F.lit(""))
     out = Resolution(df).businesses().first()
     assert out.meta.order_online_url == "https://order.example" and out.grp == ""
+
+
+def test_only_deciding_sightings_are_sorted(spark):
+    """However many sightings a business has, a bounded number of them is sorted and shuffled whole."""
+    rows = [record(i, f"Shop {i}", phone="+2348030000001", source=[G, O, D, M, A][i % 5], email="" if i < 300 else f"e{i}@x.example",
+                   lat=6.5 if i > 200 else None, lng=3.3 if i > 200 else None) for i in range(1, 401)]
+    res = Resolution(frame(spark, rows))
+    assert not res._stored                                       # the clusters alone need no sightings stored
+    few = [r.ord for r in res.members.filter("decides").collect()]
+    assert {1, 201, 300} <= set(few) and len(few) <= 9 and res.members.count() == 400
+    plan = list_items(res.members)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    out = res.businesses().first()
+    assert (out.email, out.lat) == ("e300@x.example", 6.5) and res.state.first().n_sightings == 400
+
+
+def test_items_keep_the_order_of_large_and_negative_places(spark):
+    top = (1 << 63) - 1
+    rows = [record(i, "Shop", phone=p, source=M) for i, p in ((-5, "+2348030000001"), (-4, "+2348030000002"), (top, "+2348030000003"))]
+    got = {r.value: (r.ord, r.pos) for r in Resolution(frame(spark, rows)).items.filter("kind = 'phone'").collect()}
+    assert got == {"+2348030000001": (-5, 0), "+2348030000002": (-4, 0), "+2348030000003": (top, 0)}
