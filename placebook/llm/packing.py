@@ -25,6 +25,7 @@ from itertools import repeat
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ from placebook.llm.common import batches
 
 WINDOW, END = 2048, 1
 BLOCK_DOCS = 4096
-CACHE_WORDS, PIECE = 1_000_000, 1 << 20
+CACHE_WORDS, PIECE, BATCH = 1_000_000, 1 << 20, 4 << 20
 MARKS = ",.;:!?"
 
 
@@ -54,6 +55,11 @@ class Words:
 
         self.tokenizer = Tokenizer.from_file(vocabulary_path(vocabulary))
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        self.last = None                                        # by token: whether a piece ends with it, if the vocabulary says so
+        if suffix := getattr(self.tokenizer.model, "end_of_word_suffix", None):
+            vocab = self.tokenizer.get_vocab()
+            self.last = np.zeros(max(vocab.values()) + 1, bool)
+            self.last[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
         self._clear()
 
     def _clear(self) -> None:
@@ -79,46 +85,72 @@ class Words:
         total = np.cumsum(n)
         return self.flat[np.arange(total[-1] if len(total) else 0) + np.repeat(start - total + n, n)], n
 
+    def _spelt(self, new: list[str], letters: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of new words one after the other, and how many each has: all in one call."""
+        text = " ".join(new)
+        if letters and self.last is not None:
+            # letters only: at least one piece a word, so with as many last tokens as words each of them ends its word
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(new):
+                return ids, np.diff(ends, prepend=0)
+        e = self.tokenizer.encode(text, add_special_tokens=False)    # a token belongs to the word in which it starts
+        begins = np.fromiter((a for a, _ in e.offsets), np.int64, len(e.ids))
+        cuts = np.searchsorted(begins, np.cumsum([0, *(len(w) + 1 for w in new)]))
+        return np.array(e.ids, self.kind), np.diff(cuts)
+
     def _learn(self, words: list[str]) -> None:
         # a mark behind a letter is a piece of its own, and ASCII letters are lower-cased: few words are new
         cores = [w[:-1] if len(w) > 1 and w[-1] in MARKS and w[-2].lower().isalpha() else w for w in words]
         cores = [c.lower() if c.isascii() and "<" not in c else c for c in cores]
-        new = [c for c in dict.fromkeys([*MARKS, *cores]) if c not in self.code]
-        if new:                                                  # all in one call; a token belongs to the word in which it starts
-            e = self.tokenizer.encode(" ".join(new), add_special_tokens=False)
-            begins = np.fromiter((a for a, _ in e.offsets), np.int64, len(e.ids))
-            cuts = np.searchsorted(begins, np.cumsum([0, *(len(w) + 1 for w in new)]))
-            self._add(new, np.array(e.ids, self.kind), np.diff(cuts))
+        new: tuple[list[str], list[str]] = [], []
+        for c in dict.fromkeys([*MARKS, *cores]):
+            if c not in self.code:
+                new[c.isalpha()].append(c)
+        for letters, some in enumerate(new):
+            if some:
+                self._add(some, *self._spelt(some, bool(letters)))
         marked = []
         for w, c in zip(words, cores, strict=True):
             if len(c) < len(w):
-                marked.append((w, self.code[c], self.code[w[-1]]))
+                marked.append(w)
             elif w not in self.code:
                 self.code[w] = self.code[c]
         if marked:
-            ids, n = self._flat(np.array([x[1:] for x in marked]).ravel())
-            self._add([x[0] for x in marked], ids, n.reshape(-1, 2).sum(1))
+            parts = [self.code[c] for w, c in zip(words, cores, strict=True) if len(c) < len(w)]
+            both = np.array([parts, [self.code[w[-1]] for w in marked]]).T
+            ids, n = self._flat(both.ravel())
+            self._add(marked, ids, n.reshape(-1, 2).sum(1))
 
-    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words one after the other, and how many each has."""
+    def _codes(self, words: list[str]) -> np.ndarray:
+        """Numbers of the words; those not met before are learnt."""
         if len(self.code) > CACHE_WORDS:
             self._clear()
         codes = np.fromiter(map(self.code.get, words, repeat(-1)), np.int64, len(words))
-        if (codes < 0).any():
-            self._learn(list(dict.fromkeys(w for w, c in zip(words, codes.tolist(), strict=True) if c < 0)))
-            codes = np.fromiter(map(self.code.get, words), np.int64, len(words))
-        return self._flat(codes)
+        missed = np.flatnonzero(codes < 0)
+        if len(missed):
+            new = [words[i] for i in missed.tolist()]
+            self._learn(list(dict.fromkeys(new)))
+            codes[missed] = np.fromiter(map(self.code.get, new), np.int64, len(new))
+        return codes
+
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one after the other, and how many each has."""
+        return self._flat(self._codes(words))
 
-    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+    def encode(self, texts: list[str | None] | pa.Array) -> Iterator[np.ndarray]:
         """Ids of each text with the end id."""
-        short = [t or "" for t in texts]
-        if sum(map(len, short)) <= 2 * PIECE:
-            words = [t.replace("\n", " ").split(" ") for t in short]
-            flat, n = self._ids([w for ws in words for w in ws])
-            ends = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum([len(ws) for ws in words])])]
-            for a, b in zip(ends[:-1], ends[1:], strict=True):
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        if column.nbytes <= 2 * BATCH:
+            # split and told apart in Arrow: only the distinct words of a batch become Python's
+            words = pc.split_pattern(pc.replace_substring(pc.fill_null(column, ""), "\n", " "), " ")
+            distinct = words.flatten().dictionary_encode()
+            flat, n = self._flat(self._codes(distinct.dictionary.to_numpy(zero_copy_only=False).tolist())[distinct.indices.to_numpy()])
+            ends = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy())])]
+            for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
                 yield np.append(flat[a:b], self.kind(END))
             return
+        short = [t or "" for t in column.to_pylist()]
         for t in short:
             parts, at = [], 0
             while at < len(t):
@@ -206,10 +238,10 @@ def pack(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", window: int = W
     def tokenize(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, number = words_of(vocabulary), TaskContext.get().partitionId() << 40
         for batch in stream:
-            for part in batches(batch, "text", 1 << 20):
+            for part in batches(batch, "text", BATCH):
                 out = []
                 for doc, place, ids in zip(part.column("doc_id").to_pylist(), part.column("place").to_pylist(),
-                                           words.encode(part.column("text").to_pylist()), strict=True):
+                                           words.encode(part.column("text")), strict=True):
                     number = number + 1 if place is None else place
                     for start in range(0, len(ids), window):
                         some = ids[start:start + window]

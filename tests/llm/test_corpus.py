@@ -351,6 +351,25 @@ def test_cover_tree_nodes_cover_their_points():
     assert sorted(seen) == list(range(700))
 
 
+def test_words_of_a_batch_are_looked_up_once_each():
+    pytest.importorskip("public_tokenizers")
+    made = packing.Words("word_bpe_49k.json")
+    asked = []
+
+    class Counted(dict):
+        def get(self, key, default=None):
+            asked.append(key)
+            return super().get(key, default)
+
+    made.code = Counted()
+    # letters that come apart when normalised (Devanagari qa, dotted I) are more pieces than words
+    texts = ["\u0958\u0958 plain\nWords, \u0130 words", None, "", "  words plain \u00e9t\u00e9. x" * 500, "\u1100\u1161 <|endoftext|> 3a"]
+    for _ in range(2):
+        got = [ids.tolist() for ids in made.encode(texts)]
+        assert got == [made.tokenizer.encode(t or "", add_special_tokens=False).ids + [packing.END] for t in texts]
+    assert len(asked) < 100
+
+
 def test_packing(spark, odd, none):
     public = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
