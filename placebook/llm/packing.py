@@ -7,8 +7,8 @@ full leaves the array. What is partly filled when a block ends is joined end to
 the last one is cut at powers of two, which need no padding. So no window is padded.
 
 Documents are dealt into blocks of some BLOCK_DOCS by a running number, whatever their ids, so copies and hot
-ids spread; in a given order, blocks are ranges of it. Blocks pack on their own. Tokens come from a public vocabulary, with a bounded cache per worker of
-the ids of words between spaces (no token of these vocabularies reaches over a space).
+ids spread; in a given order, blocks are ranges of it. Blocks pack on their own. Tokens come from a public vocabulary, with a cache per worker, bounded in
+words and characters, of the ids of words between spaces (no token of these vocabularies reaches over a space).
 
 Null and empty texts are the end id alone. Repeated rows and ids are documents of their own. A long text is
 tokenised in pieces cut at spaces. An empty table gives no windows. Other columns are not read.
@@ -34,7 +34,8 @@ from placebook.llm.common import batches
 
 WINDOW, END = 2048, 1
 BLOCK_DOCS = 4096
-CACHE_WORDS, PIECE, BATCH = 1_000_000, 1 << 20, 4 << 20
+CACHE_WORDS, CACHE_CHARS, PIECE, BATCH = 1_000_000, 16 << 20, 1 << 20, 4 << 20
+SPELL = 1 << 16                                                 # characters spelt in one call, whose splits and offsets take some hundred bytes each
 MARKS = ",.;:!?"
 
 
@@ -66,6 +67,7 @@ class Words:
         self.code: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, self.kind)
         self.ends, self.known = np.zeros(1 << 16, np.int64), 0   # of the ids of word i: ends[i] to ends[i + 1]
+        self.chars = 0                                          # of all words held
 
     def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         """Words with their ids one after the other."""
@@ -81,12 +83,23 @@ class Words:
 
     def _flat(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of known words one after the other, and how many each has."""
-        start, n = self.ends[codes], self.ends[codes + 1] - self.ends[codes]
+        start = self.ends[codes]
+        n = self.ends[codes + 1] - start
         total = np.cumsum(n)
-        return self.flat[np.arange(total[-1] if len(total) else 0) + np.repeat(start - total + n, n)], n
+        size = int(total[-1]) if len(total) else 0
+        kind = np.int32 if max(size, len(self.flat)) < 1 << 31 else np.int64
+        at = np.repeat((start - total + n).astype(kind), n)
+        at += np.arange(size, dtype=kind)
+        return self.flat[at], n
 
     def _spelt(self, new: list[str], letters: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of new words one after the other, and how many each has: all in one call."""
+        """Ids of new words one after the other, and how many each has: some SPELL characters to a call."""
+        calls = np.cumsum([len(w) + 1 for w in new]) // SPELL
+        cuts = [0, *(np.flatnonzero(np.diff(calls)) + 1).tolist(), len(new)]
+        ids, n = zip(*(self._spelt_at_once(new[a:b], letters) for a, b in zip(cuts[:-1], cuts[1:], strict=True)), strict=True)
+        return np.concatenate(ids), np.concatenate(n)
+
+    def _spelt_at_once(self, new: list[str], letters: bool) -> tuple[np.ndarray, np.ndarray]:
         text = " ".join(new)
         if letters and self.last is not None:
             # letters only: at least one piece a word, so with as many last tokens as words each of them ends its word
@@ -124,13 +137,14 @@ class Words:
 
     def _codes(self, words: list[str]) -> np.ndarray:
         """Numbers of the words; those not met before are learnt."""
-        if len(self.code) > CACHE_WORDS:
+        if len(self.code) > CACHE_WORDS or self.chars > CACHE_CHARS:
             self._clear()
         codes = np.fromiter(map(self.code.get, words, repeat(-1)), np.int64, len(words))
         missed = np.flatnonzero(codes < 0)
         if len(missed):
             new = [words[i] for i in missed.tolist()]
-            self._learn(list(dict.fromkeys(new)))
+            self._learn(distinct := list(dict.fromkeys(new)))
+            self.chars += sum(map(len, distinct))
             codes[missed] = np.fromiter(map(self.code.get, new), np.int64, len(new))
         return codes
 
@@ -145,8 +159,12 @@ class Words:
             # split and told apart in Arrow: only the distinct words of a batch become Python's
             words = pc.split_pattern(pc.replace_substring(pc.fill_null(column, ""), "\n", " "), " ")
             distinct = words.flatten().dictionary_encode()
-            flat, n = self._flat(self._codes(distinct.dictionary.to_numpy(zero_copy_only=False).tolist())[distinct.indices.to_numpy()])
-            ends = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy())])]
+            per_text = np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy())])
+            codes, of = self._codes(distinct.dictionary.to_numpy(zero_copy_only=False).tolist()), distinct.indices
+            del words, distinct
+            flat, n = self._flat(codes[of.to_numpy()])
+            ends = np.concatenate([[0], np.cumsum(n)])[per_text]
+            del n
             for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
                 yield np.append(flat[a:b], self.kind(END))
             return

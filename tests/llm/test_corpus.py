@@ -370,6 +370,34 @@ def test_words_of_a_batch_are_looked_up_once_each():
     assert len(asked) < 100
 
 
+def test_words_are_spelt_in_bounded_calls_and_held_within_bounds(monkeypatch):
+    pytest.importorskip("public_tokenizers")
+    made = packing.Words("word_bpe_49k.json")
+    plain, sizes = made.tokenizer, []
+
+    class Measured:
+        def encode(self, text, **options):
+            sizes.append(len(text))
+            return plain.encode(text, **options)
+
+        def encode_batch_fast(self, texts, **options):
+            sizes.append(sum(map(len, texts)))
+            return plain.encode_batch_fast(texts, **options)
+
+    made.tokenizer = Measured()
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9)) + end for end in ("", "7", ".", "\u00e9") for _ in range(12_000)]
+    texts = [" ".join(words[i:i + 500]) for i in range(0, len(words), 500)] + ["\u4e16\u754c" * 50_000, None, "x"]
+    got = [ids.tolist() for ids in made.encode(texts)]
+    assert got == [plain.encode(t or "", add_special_tokens=False).ids + [packing.END] for t in texts]
+    assert sorted(sizes)[-2] <= packing.SPELL + 20 < sorted(sizes)[-1] < 100_000 + packing.SPELL      # a word longer than that is spelt by itself
+    # long words count by their characters: a few fill the cache
+    monkeypatch.setattr(packing, "CACHE_CHARS", 50_000)
+    for i in range(8):
+        list(made.encode([f"{i}" + "y" * 20_000]))
+        assert sum(map(len, made.code)) <= 100_000
+
+
 def test_packing(spark, odd, none):
     public = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
