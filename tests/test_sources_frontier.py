@@ -108,6 +108,20 @@ def test_a_listing_crawled_again_supersedes(spark):
     assert {r.name for r in out.collect()} == {"New Name", "Keyless", "Keyless 2"}
 
 
+def test_latest_listing_parses_pages_once(spark):
+    pages = spark.createDataFrame([("finelib", 1, "u", "<html></html>")], "site string, page_no int, url string, html string")
+    raw = directories.parse_listings(pages).withColumn("ord", F.col("page_no").cast("bigint"))
+    plan = directories.latest_listing(raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    # rows without an id stay, equal ones and those without a number too; of an id whose rows have no number nothing is known
+    rows = [(None, "a", None, "x"), (None, "a", None, "x"), (5, "", "7", "y"), (5, None, "7", "y"), (1, "a", "7", "old"), (2, "a", "7", "new"),
+            (None, "a", "7", "none"), (None, "b", "7", "z")]
+    out = directories.latest_listing(spark.createDataFrame(rows, "ord bigint, site string, listing_id string, name string"))
+    assert out.columns == ["site", "listing_id", "ord", "name"]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([
+        ("a", None, None, "x"), ("a", None, None, "x"), ("", "7", 5, "y"), (None, "7", 5, "y"), ("a", "7", 2, "new"), ("b", "7", None, None)], key=str)
+
+
 def test_raw_rows_and_stages(spark, tmp_path):
     root = str(tmp_path)
     rows = spark.createDataFrame([("a",), ("b",)], "name string").coalesce(1)
