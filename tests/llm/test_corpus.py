@@ -614,3 +614,61 @@ def test_line_templates_compare_token_by_token(spark, size):
     assert sum(got[i] for i in texts) == 7 and got[90] == got[91] == 0
     short = line_templates.dedup_lines(docs, min_tokens=2)[0].collect()
     assert sum(r["n_dropped"] for r in short if r["doc_id"] >= 90) == 1
+
+
+def families(rng, n):
+    """Lines of few leaves: each leaf with many families, whose lines differ in one or two tokens."""
+    out = set()
+    for f in range(n):
+        base = ["aa", "bb", "cc"] + [rng.choice("defgh") + str(rng.choice("xyz")) for _ in range(rng.choice([2, 4, 7, 13]))]
+        for _ in range(rng.randint(1, 5)):
+            line = list(base)
+            for at in rng.sample(range(3, len(line)), rng.randint(0, 2)):
+                line[at] = rng.choice("pqrstuv") * 2
+            out.add(" ".join(line))
+    return sorted(out)
+
+
+def greedy_templates(tokens):
+    """template -> the one that it joined, leaf by leaf and line by line; tokens: template -> (leaf, tokens)."""
+    out, leaves = {}, {}
+    for template, (leaf, t) in tokens.items():
+        leaves.setdefault(leaf, {})[template] = t
+    for left in leaves.values():
+        n = len(next(iter(left.values())))
+        b = int((1 - line_templates.SIMILAR) * n + 1e-9) + 1
+        cut = {x: [(k, tuple(t[k * n // b:(k + 1) * n // b])) for k in range(b)] for x, t in left.items()}
+        while left:
+            count = {}
+            for x in left:
+                for block in cut[x]:
+                    count[block] = count.get(block, 0) + 1
+            rank = {x: sum(count[c] for c in cut[x] if count[c] > 1) for x in left}
+            first = max(rank, key=lambda x: (rank[x], x))
+            if not rank[first]:
+                break
+            gone = [x for x in left if rank[x] and sum(a != c for a, c in zip(left[x], left[first])) < b]
+            out |= {x: first for x in gone}
+            left = {x: t for x, t in left.items() if x not in gone}
+    return out
+
+
+@pytest.mark.parametrize("leaf_lines, most", [(256, 1), (9, 99), (0, 99)])
+def test_line_templates_of_a_leaf(spark, monkeypatch, leaf_lines, most):
+    """Leaves are worked off as one template after another would be; rounds don't go by the templates of a leaf that a row holds."""
+    monkeypatch.setattr(line_templates, "LEAF_LINES", leaf_lines)
+    docs = spark.createDataFrame(list(enumerate(families(random.Random(leaf_lines), 60 if leaf_lines > 99 else 14))), "doc_id long, text string")
+    kept, keep = [], line_templates.Scratch.keep
+    monkeypatch.setattr(line_templates.Scratch, "keep", lambda self, df, name, *a: (kept.append(name), keep(self, df, name, *a))[1])
+    found = line_templates.lines(docs).select("template", "leaf", "n", "t").dropDuplicates(["template"])
+    general = line_templates.generalise(found, line_templates.Scratch(spark, "test"))
+    tokens = {r["template"]: (r["leaf"], r["t"].split(" ")) for r in found.collect()}
+    got, want = {}, {}
+    for r in general.collect():
+        assert r["template"] not in [x for xs in got.values() for x in xs]
+        got.setdefault(r["general"], set()).add(r["template"])
+    for x, first in greedy_templates(tokens).items():
+        want.setdefault(first, set()).add(x)
+    assert len(want) > 5 and {frozenset(x) for x in got.values() if len(x) > 1} == {frozenset(x) for x in want.values() if len(x) > 1}
+    assert set().union(*got.values()) == set().union(*want.values())
+    assert kept.count("general") <= most
