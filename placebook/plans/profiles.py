@@ -97,7 +97,7 @@ LITERAL_KEYS = 400
 def classify(records: DataFrame, profile: Profile) -> DataFrame:
     """Group, subcategory and legacy category."""
     t, spark = profile.taxonomy, records.sparkSession
-    if max(len(t.rules), len(t.legacy)) <= LITERAL_KEYS:
+    if not t.keys_beyond(LITERAL_KEYS):
         return classify_records(records, t)
     return rule_index.classify_records(records, t.rules_df(spark), t.legacy_df(spark))
 

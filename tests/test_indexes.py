@@ -112,3 +112,33 @@ def test_references_are_decoded_as_browsers_do(spark):
     df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string").select("t", unescape("t").alias("u"))
     assert all(r.u == (html.unescape(r.t) if r.t is not None else None) for r in df.collect())
     assert "EvalPython" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_long_rule_files_do_not_pass_the_driver(spark, tmp_path, monkeypatch):
+    """Rules stay files: numbered in the order of `ord` (equal ones as they stand), joined, never collected."""
+    rng = random.Random(5)
+    rows = [(rng.randint(0, 90), f"G{i % 7}", f"S{i}", f"key{i} ") for i in range(600)] + [(None, "G", "none", "zz"), (5, "G", "five", "key")]
+    spark.createDataFrame(rows, "ord int, grp string, sub string, key string").coalesce(1).write.option("header", True).option(
+        "ignoreTrailingWhiteSpace", False).csv(str(tmp_path / "rules.csv"))
+    spark.createDataFrame([(2, "B", "b"), (1, "A", "key")], "ord int, category string, key string").write.option("header", True).csv(str(tmp_path / "legacy.csv"))
+    df = conform(spark.createDataFrame([(1, "key3 x"), (2, "zz"), (3, "KEY")], "ord long, name string").withColumns(
+        {"label": F.lit(""), "source": F.lit("x")}))
+    most, collect = [0], type(df).collect
+
+    def counted(self):
+        found = collect(self)
+        most.append(len(found))
+        return found
+
+    monkeypatch.setattr(type(df), "collect", counted)
+    t = Taxonomy.load(spark, str(tmp_path))
+    rules_df = t.rules_df(spark)
+    out = rule_index.classify_records(df, rules_df, t.legacy_df(spark))
+    got = {r["ord"]: (r["sub"], r["legacy18"]) for r in out.collect()}
+    assert t.keys_beyond(400) and not t.keys_beyond(700) and max(most) < 20
+    listed = collect(rules_df.orderBy("rule_ord"))
+    want = sorted(rows, key=lambda r: -1 if r[0] is None else r[0])
+    assert [(r["rule_ord"], r["sub"], r["key"]) for r in listed] == [(i, *r[2:]) for i, r in enumerate(want)]
+    first = next(r[2] for r in want if r[3].lower() in " key3 x ")
+    assert got == {1: (first, "A"), 2: ("none", ""), 3: (next(r[2] for r in want if r[3] in " key "), "A")}
+    assert t.rules[0] == ("G", "none", "zz") and Taxonomy.starter().keys_beyond(84) and not Taxonomy.starter().keys_beyond(85)
