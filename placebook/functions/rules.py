@@ -33,7 +33,9 @@ def first_hit(text: Column, rows: list[dict], ddl: str) -> Column:
 def rule_text(label: Column | str, name: Column | str) -> Column:
     """' label name ', in which keys are looked for: slashes count as blanks, runs of blanks as one."""
     text = F.concat_ws(" ", F.coalesce(column(label), F.lit("")), F.coalesce(column(name), F.lit("")))
-    spaced = F.regexp_replace(F.replace(F.lower(text), F.lit("/"), F.lit(" ")), r"(?U)\s+", " ")
+    # most texts have single plain blanks only: a search in classes of Unicode costs as much as all keys
+    spaced = let(F.replace(F.lower(text), F.lit("/"), F.lit(" ")), lambda t: F.when(
+        t.rlike("  |[^ -~]"), F.regexp_replace(t, r"(?U)\s+", " ")).otherwise(t))
     return F.concat(F.lit(" "), spaced, F.lit(" "))
 
 
@@ -82,13 +84,13 @@ def classify_records(records: DataFrame, taxonomy: Taxonomy) -> DataFrame:
     """Fill grp, sub and, where empty, legacy18.
 
     A directory listing without a category is classified a second time, from its tagline. The first
-    result is a column of its own, so that it is worked out once. Every key is part of the expression: tables of
+    result is worked out once. Every key is part of the expression: tables of
     many hundred keys go through `operators.rule_index`, with the same results.
     """
-    first = records.withColumn("_first", classify("label", "name", taxonomy))
-    retry = unclassified(F.col("_first.grp"), F.col("_first.sub")) & retries()
     again = classify(F.substring("notes", 1, 160), "name", taxonomy)
-    both = first.withColumn("_found", F.when(retry, again).otherwise(F.col("_first")))
+    found = let(classify("label", "name", taxonomy), lambda first: F.when(
+        unclassified(first["grp"], first["sub"]) & retries(), again).otherwise(first))
     legacy = F.when(blank("legacy18"), legacy_category("label", "name", taxonomy)).otherwise(F.col("legacy18"))
-    return both.withColumns({"grp": F.col("_found.grp"), "sub": F.col("_found.sub"), "legacy18": legacy}).drop(
-        "_first", "_found")
+    # what holds lambdas is worked out in one step, so that wide rows are copied once
+    return records.withColumns({"_found": found, "_flat": legacy}).withColumns({
+        "grp": F.col("_found.grp"), "sub": F.col("_found.sub"), "legacy18": F.col("_flat")}).drop("_found", "_flat")

@@ -114,7 +114,8 @@ def _bare_words(c: Column | str, words: list[str]) -> Column:
     for word in [w for w in words if "'" in w]:
         text = F.when(F.contains(text, F.lit("'")), F.regexp_replace(text, rf"\b{word}\b", " ")).otherwise(text)
     kept = F.filter(F.split(text, "[^a-z0-9_]+"), lambda w: ~w.isin(words))
-    return F.trim(F.regexp_replace(F.array_join(kept, " "), "[ _]+", " "))
+    return F.trim(let(F.array_join(kept, " "), lambda t: F.when(                     # only a first or last word is empty
+        F.contains(t, F.lit("_")), F.regexp_replace(t, "[ _]+", " ")).otherwise(t)))
 
 
 def norm_name(c: Column | str) -> Column:

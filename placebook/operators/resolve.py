@@ -307,8 +307,8 @@ def mark_deciding(records: DataFrame, clusters: DataFrame) -> DataFrame:
     """Records with their business: cluster, via and `decides`, whether the sighting can decide anything about it."""
     few = _deciding(records, clusters, _state_tests()).withColumn("decides", F.lit(True))
     marked = clusters.join(few, ["ord", "cluster"], "left").select("ord", "cluster", "via", "decides").withColumn("decides", F.coalesce("decides", F.lit(False)))
-    # stored, so that a small table of businesses is known to be small before all records are shuffled to meet it
-    return records.join(materialise(marked, "marked"), "ord")
+    # looked up by hash in its few numbers a record: whole records are not sorted
+    return records.join(materialise(marked, "marked").hint("shuffle_hash"), "ord")
 
 
 def merge_state(members: DataFrame) -> DataFrame:
@@ -457,7 +457,9 @@ def conflicts(events: DataFrame) -> DataFrame:
     """
     lead_source = F.col("lead")["source"]
     entries = []
-    old = _before("lat")
+    # columns of their own, so that each is worked out once, and only where the sighting has a value itself
+    events = events.withColumns({f"_had_{f}": F.when(_filled(f) & (F.col("wins") if f == "lat" else F.lit(True)), _before(f)) for f in ["lat", *_LOGGED]})
+    old = F.col("_had_lat")
     moved = distance_km(F.col("lat"), F.col("lng"), old["lat"], old["lng"]) > 0.2
 
     def pair(lat: Column, lng: Column) -> Column:
@@ -467,8 +469,7 @@ def conflicts(events: DataFrame) -> DataFrame:
         F.lit(0).alias("pos"), F.lit("lat,lng").alias("field"), pair(F.col("lat"), F.col("lng")).alias("kept"),
         pair(old["lat"], old["lng"]).alias("dropped"), lead_source.alias("dropped_source"))))
     for pos, f in enumerate(_LOGGED, start=1):
-        had = _before(f)
-        new = F.col(f)
+        had, new = F.col(f"_had_{f}"), F.col(f)
         entries.append(F.when(_filled(f) & had.isNotNull() & (had != new), F.struct(
             F.lit(pos).alias("pos"), F.lit(f).alias("field"),
             F.when(F.col("wins"), new).otherwise(had).alias("kept"),

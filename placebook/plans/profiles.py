@@ -191,8 +191,12 @@ def verify(records: DataFrame, profile: Profile, published: dict[str, DataFrame]
 
 def _publish(stages: Stages, records: DataFrame, last: str, profile: Profile, today: str) -> dict[str, DataFrame]:
     """Reports and checks of a run's finished records, stored."""
+    tables: dict[str, DataFrame] = {}
+
     def made() -> dict[str, DataFrame]:
-        return census_reports(records, profile, today) if profile.kind == "census" else prospect_reports(records, profile, today)
+        if not tables:                                           # reports and checks read one count of the records
+            tables.update(census_reports(records, profile, today) if profile.kind == "census" else prospect_reports(records, profile, today))
+        return tables
 
     stored = stages.keep_all("reports", lambda: {k: _storable(v) for k, v in made().items()}, (last,), today)
     checks = stages.keep_all("checks", lambda: verify(records, profile, made()), ("reports",))

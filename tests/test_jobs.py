@@ -191,3 +191,16 @@ def test_reports_keep_empty_rows(spark):
     p = profiles.census_profile()
     assert reports.group_table(reports.census_cube(empty), p.taxonomy).count() == 30
     assert reports.research_matrix(reports.census_cube(empty), p.taxonomy, CENSUS_AREAS, p.core).filter("gap = target").count() == 7 * 29
+
+
+def test_a_run_counts_its_records_once(spark, tmp_path, monkeypatch):
+    """Reports and checks are made of one cube and one numbering of the businesses."""
+    rows = [(i, f"Shop {i}", "Bar" if i % 2 else "", f"+23480300000{i:02d}", "Google Maps (sweep, Oct 2026)", 6.56, 3.37) for i in range(20)]
+    records = conform(spark.createDataFrame(rows, "ord long, name string, label string, phone string, source string, lat double, lng double"))
+    made = []
+    for module, name in ((reports, "census_cube"), (profiles, "number_rows")):
+        monkeypatch.setattr(module, name, lambda *a, f=getattr(module, name), n=name: (made.append(n), f(*a))[1])
+    out = profiles.run(spark, materialise(records, "few"), profiles.census_profile(), str(tmp_path / "run"), "r", "2026-12-01")
+    assert sorted(made) == ["census_cube", "number_rows"]
+    assert out["check_cells"].filter("not ok").count() == 0 and out["check_cells"].filter("published > 0").count() > 0
+    assert {r.kpi: r.value for r in out["kpis"].collect()}["total"] == 20

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from placebook.operators.resolve import Resolution, list_items
+from placebook.operators.resolve import Resolution, list_items, mark_deciding
 from placebook.schema import MULTI_SOURCE, RECORD, conform
 
 G, O, D, M, A = ("Google Maps (sweep, Oct 2026)", "OpenStreetMap (Oct 2026)", "Finelib (Oct 2026)",
@@ -188,3 +188,11 @@ def test_items_keep_the_order_of_large_and_negative_places(spark):
     rows = [record(i, "Shop", phone=p, source=M) for i, p in ((-5, "+2348030000001"), (-4, "+2348030000002"), (top, "+2348030000003"))]
     got = {r.value: (r.ord, r.pos) for r in Resolution(frame(spark, rows)).items.filter("kind = 'phone'").collect()}
     assert got == {"+2348030000001": (-5, 0), "+2348030000002": (-4, 0), "+2348030000003": (top, 0)}
+
+
+def test_whole_records_are_not_sorted_to_meet_their_business(spark):
+    """Records meet the few numbers of their business by hash, whatever their number."""
+    rows = conform(frame(spark, random_rows(3, 60)))
+    marked = mark_deciding(rows, Resolution(rows).clusters)
+    plan = marked._jdf.queryExecution().sparkPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and marked.count() == 60

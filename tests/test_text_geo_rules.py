@@ -1,5 +1,8 @@
 """Cleaning, geometry and classification, case by case."""
 
+import re
+import unicodedata
+
 from pyspark.sql import functions as F
 
 from placebook.areas import CENSUS_AREAS, CENSUS_CORE, PROSPECT_AREAS, Area, load_areas
@@ -108,3 +111,17 @@ def test_taxonomy_from_files(spark, tmp_path):
     assert [r.term for r in t.terms_df(spark).collect()] == ["Foo"]
     got = table(spark, [("x y", ""), ("x", "z")], "l string, n string", c=rules.classify("l", "n", t)["sub"])
     assert got == [("a",), ("b",)]
+
+
+def test_rule_text_and_names_with_and_without_odd_blanks(spark):
+    """Plain texts take a short way; it gives what the pattern for every kind of blank gives."""
+    names = ["", " ", "a b", "a  b", " a/b ", "a\tb", "a\u00a0b", "a\u2003 b", "é x", "a_b", "_a  _ b_", "the a", "Ltd", "a - the - b", "x_the y", "..", "_"]
+    out = table(spark, [(x, y) for x in names for y in (None, "", " L/M ")], "name string, label string",
+                name=F.col("name"), label=F.col("label"), text=rules.rule_text("label", "name"), nn=text.norm_name("name"))
+    drop = set(text.COMPANY_WORDS)
+    for name, label, got, nn in out:
+        plain = f"{label or ''} {name}".lower().replace("/", " ")
+        assert got == " " + re.sub(r"\s+", " ", plain) + " ", (name, label)
+        ascii_ = "".join(c for c in unicodedata.normalize("NFKD", name.lower()) if ord(c) < 128)
+        kept = " ".join(w for w in re.split("[^a-z0-9_]+", ascii_) if w not in drop)
+        assert nn == re.sub("[ _]+", " ", kept).strip(" "), name
