@@ -7,7 +7,7 @@ import pyarrow as pa
 
 from placebook.llm.common import mix64, utf8_buffer
 
-PIECE = 1 << 21
+PIECE = 1 << 19                                                   # bytes; some 60 bytes of arrays for each
 WIDTH = 5
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _LOWER = np.arange(256, dtype=np.uint8)
